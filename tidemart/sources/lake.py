@@ -29,9 +29,14 @@ def scan_lake(spark: SparkSession, base: str, schema: T.StructType, start=None,
     return filter_months(df, start, end)
 
 
-def scan_paths(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
-    """U1 as a read: several month folders/files in one scan (UNION ALL of months)."""
-    return spark.read.schema(schema).parquet(*paths)
+def scan_paths(spark: SparkSession, paths: list[str], schema: T.StructType,
+               base: str | None = None) -> DataFrame:
+    """U1 as a read: several month folders/files in one scan (UNION ALL of months).
+    With ``base`` the ``year``/``month`` partition columns are recovered from the paths."""
+    reader = spark.read.schema(schema)
+    if base is not None:
+        reader = reader.option("basePath", base)
+    return reader.parquet(*paths)
 
 
 def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -80,6 +80,11 @@ def append_table(spark: SparkSession, df: DataFrame, table: str) -> None:
     _aligned(spark, df, table).write.insertInto(table, overwrite=False)
 
 
+def read_published(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
+    """A layer table in its published column order (Spark stores partition columns last)."""
+    return spark.table(table).select(*[f.name for f in schema.fields])
+
+
 def create_view(df: DataFrame, name: str) -> DataFrame:
     """Materialise as a (temporary) view."""
     df.createOrReplaceTempView(name)
