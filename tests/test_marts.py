@@ -157,5 +157,5 @@ def test_fixture_counts_match_survey(spark):
     sla, sst = staging.stage_sla(fx.raw_sla(spark, sf)), staging.regrid_sst(fx.raw_sst(spark, sf))
     assert sst.count() == 5056 and sla.count() == 1441
     j = joins.cell_join(sla, sst)
-    assert j.count() == 406 and j.select("year_month").distinct().count() == 79
+    assert j.count() == 406 and j.select("year", "month").distinct().count() == 79
     assert joins.raw_cell_join(fx.raw_sla(spark, sf), fx.raw_sst(spark, sf)).count() == 55

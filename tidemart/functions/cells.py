@@ -45,9 +45,25 @@ class GridSpec:
 GRID_025 = GridSpec()  # 721 x 1441 cells
 
 
+def round_half_away(q: Column) -> Column:
+    """``ROUND(q)`` (half away from zero) as a DOUBLE integer, in primitive arithmetic.
+
+    Spark's ``round`` on a double goes through ``BigDecimal`` for every row. Here,
+    with ``a = |q|`` and ``f = floor(a + 0.5)``: the float sum can only round *up*
+    onto an integer, and ``a < f - 0.5`` (exact, as ``f - 0.5`` is representable)
+    detects exactly that case, so ``0.49999999999999994`` rounds to 0 and 0.5 to 1.
+    Only null-intolerant operators are used (no CASE), so the ``isnotnull`` that a
+    join infers on a cell index reduces to ``isnotnull`` of the coordinate column
+    instead of repeating the whole expression in the scan filter.
+    """
+    a = F.abs(q)
+    f = F.floor(a + F.lit(0.5))
+    return F.signum(q) * (f - (a < (f - F.lit(0.5))).cast("long"))
+
+
 def snap_index(x, step: float = 0.25) -> Column:
     """Integer cell index ``round(x / step)`` (half away from zero)."""
-    return F.round(_col(x).cast("double") / F.lit(float(step))).cast("int")
+    return round_half_away(_col(x).cast("double") / F.lit(float(step))).cast("int")
 
 
 def snap(x, step: float = 0.25) -> Column:

@@ -1,8 +1,9 @@
 """Joins between the two observation variables.
 
 * :func:`cell_join` (J1) — inner equi-join of staged SLA and SST on the integer cell
-  key ``(year_month, lat_idx, lon_idx)``. Both inputs come out of aggregates that are
-  already hash-partitioned on exactly these keys, so Spark reuses that partitioning
+  key ``(year, month, lat_idx, lon_idx)``, i.e. ``USING (year_month, latitude,
+  longitude)``. Both inputs come out of aggregates that are already
+  hash-partitioned on exactly these keys, so Spark reuses that partitioning
   (no exchange at the join). Each key is unique per side, so there is no join skew
   even when one month holds a third of all rows: the hash spreads it over cells.
 * :func:`raw_cell_join` (J2) — inner join of the *unsnapped* raw tables on

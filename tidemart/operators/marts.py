@@ -23,8 +23,10 @@ from tidemart.operators.joins import cell_join, raw_cell_join
 from tidemart.operators.staging import filter_months
 
 
-def _month_parts(ym: str = "year_month"):
-    return [F.year(ym).cast("long").alias("year"), F.month(ym).cast("long").alias("month")]
+def _month_parts():
+    """``year_month, year, month`` of an aggregate grouped on integer (year, month)."""
+    return [month_date("year", "month").alias("year_month"),
+            F.col("year").cast("long").alias("year"), F.col("month").cast("long").alias("month")]
 
 
 def _measures():
@@ -43,21 +45,21 @@ def monthly_global_trends(sla_keyed: DataFrame, sst_keyed: DataFrame,
     ``start``/``end`` bound ``year_month`` inclusively (None = unbounded). The bound is
     written on the SLA side; Spark infers it for the SST side through the join key.
     """
-    sla = filter_months(sla_keyed, start, end, col="year_month")
+    sla = filter_months(sla_keyed, start, end)
     joined = cell_join(sla, sst_keyed)
-    agg = joined.groupBy("year_month").agg(*_measures())
-    return agg.select("year_month", *_month_parts(), "avg_sla_m", "avg_sst_celsius",
+    agg = joined.groupBy("year", "month").agg(*_measures())
+    return agg.select(*_month_parts(), "avg_sla_m", "avg_sst_celsius",
                       "avg_sea_ice_fraction", "grid_points")
 
 
 def latitude_zone_stats(sla_keyed: DataFrame, sst_keyed: DataFrame,
                         start=None, end=None, step: float = 0.25) -> DataFrame:
     """A4: one row per month and latitude zone (zone of the *snapped* latitude)."""
-    sla = filter_months(sla_keyed, start, end, col="year_month")
+    sla = filter_months(sla_keyed, start, end)
     joined = cell_join(sla, sst_keyed).withColumn(
         "latitude_zone", latitude_zone(cell_coordinate("lat_idx", step)))
-    agg = joined.groupBy("year_month", "latitude_zone").agg(*_measures())
-    return agg.select("year_month", *_month_parts(), "latitude_zone", "avg_sla_m",
+    agg = joined.groupBy("year", "month", "latitude_zone").agg(*_measures())
+    return agg.select(*_month_parts(), "latitude_zone", "avg_sla_m",
                       "avg_sst_celsius", "avg_sea_ice_fraction", "grid_points")
 
 

@@ -4,10 +4,12 @@ and cell, measures averaged).
 Plan shape: the raw scan is pruned to the month range (partition filter on
 ``year, month``), projected to the integer cell key, partially aggregated on the map
 side (a 0.05 degree source has 25 raw points per cell, so the shuffle carries ~1/25
-of the rows), then hash-partitioned on ``(year_month, lat_idx, lon_idx)``. That is
-exactly the distribution the cell join needs, so the join adds no exchange.
+of the rows), then hash-partitioned on ``(year, month, lat_idx, lon_idx)`` — four
+integers, no per-row DATE or DOUBLE key. That is exactly the distribution the cell
+join needs, so the join adds no exchange. ``year_month`` is a function of
+``(year, month)`` and is built once per output row, after aggregation.
 
-Keyed frames (``year_month, lat_idx, lon_idx, <measures>``) are what the marts
+Keyed frames (``year, month, lat_idx, lon_idx, <measures>``) are what the marts
 consume; :func:`public_cells` turns one into the published staging schema.
 """
 
@@ -19,16 +21,15 @@ from pyspark.sql import functions as F
 from tidemart.functions.calendar import month_date
 from tidemart.functions.cells import cell_coordinate, snap_index
 
-CELL_KEYS = ["year_month", "lat_idx", "lon_idx"]
+CELL_KEYS = ["year", "month", "lat_idx", "lon_idx"]
 
 
 def filter_months(df: DataFrame, start=None, end=None, col: str | None = None) -> DataFrame:
-    """Inclusive month-range filter. On raw frames it is written over ``year, month``
-    so it prunes lake partitions; on staged frames over ``year_month``."""
+    """Inclusive month-range filter, written over ``year, month`` (or ``col``) so it
+    is pushed through aggregations down to the scan and prunes lake partitions."""
     if start is None and end is None:
         return df
-    key = F.col(col) if col else (F.col("year_month") if "year_month" in df.columns
-                                  else month_date(F.col("year").cast("int"), F.col("month").cast("int")))
+    key = F.col(col) if col else month_date(F.col("year").cast("int"), F.col("month").cast("int"))
     conds = []
     if start is not None:
         conds.append(key >= F.lit(str(start)).cast("date"))
@@ -40,7 +41,8 @@ def filter_months(df: DataFrame, start=None, end=None, col: str | None = None) -
 
 def _keyed(raw: DataFrame, step: float) -> DataFrame:
     return raw.select(
-        month_date(F.col("year").cast("int"), F.col("month").cast("int")).alias("year_month"),
+        F.col("year").cast("int").alias("year"),
+        F.col("month").cast("int").alias("month"),
         snap_index("latitude", step).alias("lat_idx"),
         snap_index("longitude", step).alias("lon_idx"),
         *[c for c in raw.columns if c not in ("year", "month", "latitude", "longitude")],
@@ -72,9 +74,9 @@ def public_cells(keyed: DataFrame, step: float = 0.25) -> DataFrame:
     ``year_month, year, month, latitude, longitude, <measures>``."""
     measures = [c for c in keyed.columns if c not in CELL_KEYS]
     return keyed.select(
-        "year_month",
-        F.year("year_month").cast("long").alias("year"),
-        F.month("year_month").cast("long").alias("month"),
+        month_date("year", "month").alias("year_month"),
+        F.col("year").cast("long").alias("year"),
+        F.col("month").cast("long").alias("month"),
         cell_coordinate("lat_idx", step).alias("latitude"),
         cell_coordinate("lon_idx", step).alias("longitude"),
         *measures,
@@ -86,7 +88,8 @@ def keyed_cells(staged: DataFrame, step: float = 0.25) -> DataFrame:
     measures = [c for c in staged.columns
                 if c not in ("year_month", "year", "month", "latitude", "longitude")]
     return staged.select(
-        "year_month",
+        F.year("year_month").alias("year"),
+        F.month("year_month").alias("month"),
         snap_index("latitude", step).alias("lat_idx"),
         snap_index("longitude", step).alias("lon_idx"),
         *measures,

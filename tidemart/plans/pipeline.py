@@ -52,7 +52,7 @@ def build(spark: SparkSession, layout: Layout, start: str, end: str) -> None:
     delete_insert(spark, public_cells(regrid_sst(raw_sst)), layout.staging_sst)
 
     staged_sst = keyed_cells(filter_months(spark.table(layout.staging_sst), start, end,
-                                           col="year_month"))
+                                           col="year_month"))  # partition-pruned read
     raw_sla = scan_lake(spark, layout.sla_lake, RAW_SLA, start, end)
     sla = stage_sla(raw_sla)
     create_view(public_cells(sla), f"{layout.prefix.replace('.', '_')}staging_sea_level_anomaly")
