@@ -4,6 +4,8 @@ lazy DataFrame built from the marts, staging or raw tables.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,9 @@ from tidemart.operators.marts import decadal_means
 from tidemart.operators.quantiles import percentile_limits
 from tidemart.operators.reshape import dense_raster, pivot_grid, zone_series
 from tidemart.operators.series import first_point_per_zone, slice_month
-from tidemart.operators.trends import days_since_start
+
+# fixed origin for day numbers inside the trend aggregate (any date works)
+_EPOCH = _dt.date(1993, 1, 1)
 
 
 def trends(monthly: DataFrame, year_min: int = 1993, year_max: int = 2023,
@@ -23,22 +27,36 @@ def trends(monthly: DataFrame, year_min: int = 1993, year_max: int = 2023,
 
     ``x_days`` counts days from the first month *after* the year filter; the fit is
     least squares of each series on ``x_days`` (NULL with fewer than two points).
-    Both fits come from one aggregate read as a scalar subquery.
+
+    Everything comes from ONE aggregate over the series, read as a scalar subquery:
+    the slope does not depend on the x origin, and the intercept at the series start
+    ``d0`` is ``mean(y) - slope * (mean(d) - d0)`` with ``d`` = days since a fixed
+    epoch. The subquery reads the same columns as the main query, so the series is
+    computed once (its shuffle stages are reused) — no join, no global window.
     """
     df = (monthly
           .where(F.year("year_month").between(F.lit(year_min), F.lit(year_max)))
           .select("year_month", metres_to_cm("avg_sla_m").alias("avg_sla_cm"), "avg_sst_celsius"))
-    df = days_since_start(df, "year_month", out="x_days")
-    if not show_trend:
-        return df
+    d = F.datediff(F.col("year_month"), F.lit(_EPOCH)).cast("double")
     fit = df.select(F.struct(
-        F.regr_slope("avg_sla_cm", "x_days").alias("a_sla"),
-        F.regr_intercept("avg_sla_cm", "x_days").alias("b_sla"),
-        F.regr_slope("avg_sst_celsius", "x_days").alias("a_sst"),
-        F.regr_intercept("avg_sst_celsius", "x_days").alias("b_sst")).alias("_fit")).scalar()
-    return df.withColumns({
-        "trend_sla_cm": fit.getField("a_sla") * F.col("x_days") + fit.getField("b_sla"),
-        "trend_sst_celsius": fit.getField("a_sst") * F.col("x_days") + fit.getField("b_sst"),
+        F.min(d).alias("d0"),
+        F.regr_slope("avg_sla_cm", d).alias("a_sla"),
+        F.regr_avgx("avg_sla_cm", d).alias("dx_sla"),
+        F.regr_avgy("avg_sla_cm", d).alias("y_sla"),
+        F.regr_slope("avg_sst_celsius", d).alias("a_sst"),
+        F.regr_avgx("avg_sst_celsius", d).alias("dx_sst"),
+        F.regr_avgy("avg_sst_celsius", d).alias("y_sst")).alias("_fit")).scalar()
+    out = df.withColumn("x_days", d - fit.getField("d0"))
+    if not show_trend:
+        return out
+
+    def line(a, dx, y):
+        slope = fit.getField(a)
+        intercept = fit.getField(y) - slope * (fit.getField(dx) - fit.getField("d0"))
+        return slope * F.col("x_days") + intercept
+    return out.withColumns({
+        "trend_sla_cm": line("a_sla", "dx_sla", "y_sla"),
+        "trend_sst_celsius": line("a_sst", "dx_sst", "y_sst"),
     })
 
 
