@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # Derivation of the observation views (shared with the oracle SQL)
 RAW_SST_EXPRS = [
@@ -40,8 +41,27 @@ def select_sql(exprs) -> str:
     return ", ".join(f"{e} as {a}" for a, e in exprs)
 
 
+# Declared schemas of the two driver tables the views read (no inference job per read).
+DRIVER_SCHEMAS = {
+    "lineitem": T.StructType([
+        T.StructField("l_orderkey", T.LongType()), T.StructField("l_partkey", T.LongType()),
+        T.StructField("l_suppkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType()),
+        T.StructField("l_quantity", T.DoubleType()), T.StructField("l_extendedprice", T.DoubleType()),
+        T.StructField("l_discount", T.DoubleType()), T.StructField("l_tax", T.DoubleType()),
+        T.StructField("l_returnflag", T.StringType()), T.StructField("l_linestatus", T.StringType()),
+        T.StructField("l_shipdate", T.TimestampNTZType())]),
+    "orders": T.StructType([
+        T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+        T.StructField("o_orderstatus", T.StringType()), T.StructField("o_totalprice", T.DoubleType()),
+        T.StructField("o_orderdate", T.TimestampNTZType()), T.StructField("o_orderpriority", T.StringType())]),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    reader = spark.read
+    if name in DRIVER_SCHEMAS:
+        reader = reader.schema(DRIVER_SCHEMAS[name])
+    return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def raw_sst(spark: SparkSession, sf_dir: str) -> DataFrame:
