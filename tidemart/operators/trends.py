@@ -56,13 +56,24 @@ def linear_trend(df: DataFrame, y: str, x: str, by: list[str] | None = None,
         F.count(F.col(y)).alias(f"{prefix}n_points"))
 
 
-def with_fitted(df: DataFrame, y: str, x: str, out: str, by: list[str] | None = None) -> DataFrame:
-    """Add ``out = slope * x + intercept`` of the series fit of ``y`` on ``x``."""
+def with_fitted(df: DataFrame, y, x: str, out, by: list[str] | None = None) -> DataFrame:
+    """Add ``out = slope * x + intercept`` of each series fit of ``y`` on ``x``.
+
+    ``y``/``out`` may be lists: all fits come from one aggregate (one subquery or one
+    keyed join), so the input series is evaluated once for every fitted column.
+    """
     by = list(by or [])
-    fit = linear_trend(df, y, x, by, prefix="_fit_").drop("_fit_n_points")
-    return (_join_stats(df, fit, by)
-            .withColumn(out, F.col("_fit_slope") * F.col(x) + F.col("_fit_intercept"))
-            .drop("_fit_slope", "_fit_intercept"))
+    ys = [y] if isinstance(y, str) else list(y)
+    outs = [out] if isinstance(out, str) else list(out)
+    aggs = []
+    for i, yc in enumerate(ys):
+        aggs += [F.regr_slope(F.col(yc), F.col(x)).alias(f"_a{i}"),
+                 F.regr_intercept(F.col(yc), F.col(x)).alias(f"_b{i}")]
+    fit = df.groupBy(*by).agg(*aggs)
+    joined = _join_stats(df, fit, by)
+    return (joined
+            .withColumns({o: F.col(f"_a{i}") * F.col(x) + F.col(f"_b{i}") for i, o in enumerate(outs)})
+            .drop(*[f"_a{i}" for i in range(len(ys))], *[f"_b{i}" for i in range(len(ys))]))
 
 
 def fitted_value(slope: Column, intercept: Column, x: Column) -> Column:

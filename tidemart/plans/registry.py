@@ -201,8 +201,8 @@ def q_linear_trend(spark, sf):
 def q_linear_trend_ordinal(spark, sf):
     df = marts.raw_monthly_trends(fx.raw_sla(spark, sf), fx.raw_sst(spark, sf))
     df = month_ordinal(df, "year_month", out="x_ordinal")
-    df = with_fitted(df, "avg_sla_m", "x_ordinal", "trend_sla_m")
-    df = with_fitted(df, "avg_sst_celsius", "x_ordinal", "trend_sst_celsius")
+    df = with_fitted(df, ["avg_sla_m", "avg_sst_celsius"], "x_ordinal",
+                     ["trend_sla_m", "trend_sst_celsius"])
     return rounded(df)
 
 

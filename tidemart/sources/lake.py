@@ -43,14 +43,20 @@ def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def write_lake_month(df: DataFrame, base: str, schema: T.StructType | None = None) -> None:
+def write_lake_month(df: DataFrame, base: str, schema: T.StructType | None = None,
+                     range_partitions: int | None = None) -> None:
     """S3: write the frame's months, replacing those months only.
 
     Rows are sorted by (year, month, latitude, longitude) inside each task so every
     file covers a contiguous latitude band and its row-group statistics prune
-    point and band lookups.
+    point and band lookups. With ``range_partitions`` the rows are first range
+    partitioned on (year, month, latitude): each task then writes one latitude band
+    of one month — few, well-sized files, and a huge month is split over many tasks
+    instead of landing in one (no skew from a month holding most of the rows).
     """
     out = _conform(df, schema) if schema is not None else df
+    if range_partitions:
+        out = out.repartitionByRange(range_partitions, *PARTITION_COLS, "latitude")
     (out.sortWithinPartitions(*PARTITION_COLS, "latitude", "longitude")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
