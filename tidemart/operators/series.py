@@ -9,22 +9,27 @@ from pyspark.sql import functions as F
 def latest_month(df: DataFrame, year: str = "year", month: str = "month") -> DataFrame:
     """The newest (year, month) — ``MAX(year)`` and the largest month of that year —
     in one distributed pass (``max`` of a struct orders by year, then month)."""
-    m = F.max(F.struct(F.col(year).cast("int").alias("y"), F.col(month).cast("int").alias("m")))
-    return df.agg(m.alias("_ym")).select(
+    return df.agg(F.max(_ym(year, month)).alias("_ym")).select(
         F.col("_ym.y").alias("latest_year"), F.col("_ym.m").alias("latest_month"))
 
 
 def latest_month_value(df: DataFrame, year: str = "year", month: str = "month") -> Column:
-    """A8 + B2 as a scalar subquery Column (struct ``latest_year, latest_month``)."""
-    return latest_month(df, year, month).select(
-        F.struct("latest_year", "latest_month").alias("_s")).scalar()
+    """A8 + B2 as a scalar subquery Column: ``struct<y: int, m: int>`` of the newest month."""
+    return df.agg(F.max(_ym(year, month)).alias("_ym")).select("_ym").scalar()
+
+
+def _ym(year: str, month: str) -> Column:
+    return F.struct(F.col(year).cast("int").alias("y"), F.col(month).cast("int").alias("m"))
 
 
 def slice_latest_month(df: DataFrame, year: str = "year", month: str = "month") -> DataFrame:
-    """F4 on the newest month, without a round trip through the driver."""
-    s = latest_month_value(df, year, month)
-    return df.where((F.col(year) == s.getField("latest_year"))
-                    & (F.col(month) == s.getField("latest_month")))
+    """F4 on the newest month, without a round trip through the driver.
+
+    The predicate ``struct(year, month) = (scalar subquery)`` references partition
+    columns only, so on a lake it is a runtime partition filter: the subquery reads
+    partition values (no data columns) and only the newest month's files are opened.
+    """
+    return df.where(_ym(year, month) == latest_month_value(df, year, month))
 
 
 def slice_month(df: DataFrame, year: int, month: int, ycol: str = "year",

@@ -20,7 +20,9 @@ def _join_stats(df: DataFrame, stats: DataFrame, by: list[str]) -> DataFrame:
         return df.join(stats, on=by, how="inner")
     cols = [c for c in stats.columns]
     s = stats.select(F.struct(*cols).alias("_s")).scalar()
-    return df.withColumns({c: s.getField(c) for c in cols})
+    # one subquery expression, then plain field reads (not one subquery per field)
+    return (df.withColumn("_stats", s)
+              .select(*df.columns, *[F.col("_stats").getField(c).alias(c) for c in cols]))
 
 
 def days_since_start(df: DataFrame, date_col: str = "year_month", by: list[str] | None = None,

@@ -46,18 +46,19 @@ def trends(monthly: DataFrame, year_min: int = 1993, year_max: int = 2023,
         F.regr_slope("avg_sst_celsius", d).alias("a_sst"),
         F.regr_avgx("avg_sst_celsius", d).alias("dx_sst"),
         F.regr_avgy("avg_sst_celsius", d).alias("y_sst")).alias("_fit")).scalar()
-    out = df.withColumn("x_days", d - fit.getField("d0"))
+    f = F.col("_fit")  # the subquery is attached once; fields are read from the column
+    out = df.withColumn("_fit", fit).withColumn("x_days", d - f.getField("d0"))
     if not show_trend:
-        return out
+        return out.drop("_fit")
 
     def line(a, dx, y):
-        slope = fit.getField(a)
-        intercept = fit.getField(y) - slope * (fit.getField(dx) - fit.getField("d0"))
+        slope = f.getField(a)
+        intercept = f.getField(y) - slope * (f.getField(dx) - f.getField("d0"))
         return slope * F.col("x_days") + intercept
     return out.withColumns({
         "trend_sla_cm": line("a_sla", "dx_sla", "y_sla"),
         "trend_sst_celsius": line("a_sst", "dx_sst", "y_sst"),
-    })
+    }).drop("_fit")
 
 
 def decades(monthly: DataFrame, edges=None) -> DataFrame:

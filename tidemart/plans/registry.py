@@ -181,8 +181,7 @@ def q_sst_map_limits(spark, sf):
     # the exploration script slices SST with the month found on the SLA table
     s = series.latest_month_value(fx.raw_sla(spark, sf))
     raw = fx.raw_sst(spark, sf)
-    latest = raw.where((F.col("year") == s.getField("latest_year"))
-                       & (F.col("month") == s.getField("latest_month")))
+    latest = raw.where(F.struct(F.col("year").alias("y"), F.col("month").alias("m")) == s)
     return rounded(dashboard.map_limits(latest, "sst_celsius", symmetric=False))
 
 
