@@ -113,3 +113,22 @@ def test_range_partitioned_lake_write(spark, scratch):
     back = scan_lake(spark, base, RAW_SST)
     assert back.count() == months.count()
     assert sorted(back.collect()) == sorted(months.select(*back.columns).collect())
+
+
+def test_ingest_gridded_month(spark, scratch):
+    from tidemart.plans.pipeline import ingest_month
+    from tidemart.sources.gridded import grid_flatten
+    rows = spark.createDataFrame(
+        [(1993, 1, 0.0, [10.0, 10.05], [300.15, float("nan")], [0.0, 0.5]),
+         (1993, 1, 0.05, [10.0, 10.05], [float("nan"), 301.15], [float("nan"), float("nan")])],
+        "year int, month int, latitude double, lon array<double>, sst array<double>, ice array<double>")
+    sst = grid_flatten(rows, "sst", "sst_celsius", lon_axis_col="lon", keep=["year", "month", "latitude"])
+    ice = grid_flatten(rows, "ice", "sea_ice_fraction", lon_axis_col="lon",
+                       keep=["year", "month", "latitude"])
+    both = sst.join(ice, ["year", "month", "latitude", "longitude"])
+    base = os.path.join(_tmp(scratch, "ingest"), "sst")
+    ingest_month(spark, both, base, RAW_SST, "sst_celsius", "sst_celsius",
+                 measures=["sst_celsius", "sea_ice_fraction"], kelvin=["sst_celsius"])
+    got = sorted((round(r.latitude, 4), round(r.longitude, 4), round(r.sst_celsius, 4), r.sea_ice_fraction)
+                 for r in scan_lake(spark, base, RAW_SST).collect())
+    assert got == [(0.0, 10.0, 27.0, 0.0), (0.05, 10.05, 28.0, None)]

@@ -59,3 +59,33 @@ def build(spark: SparkSession, layout: Layout, start: str, end: str) -> None:
 
     delete_insert(spark, monthly_global_trends(sla, staged_sst, start, end), layout.monthly)
     delete_insert(spark, latitude_zone_stats(sla, staged_sst, start, end), layout.zones)
+
+
+def ingest_month(spark: SparkSession, grid_rows, base: str, schema, measure: str,
+                 primary: str, measures: list[str] | None = None,
+                 kelvin: list[str] | None = None, range_partitions: int | None = None) -> None:
+    """Gridded month rows (one row per latitude with a values array, already flattened
+    by ``sources.gridded.grid_flatten``) -> cleaned observations -> the raw lake,
+    replacing the months present."""
+    from tidemart.sources.lake import ingest_grid, write_lake_month
+    clean = ingest_grid(grid_rows, measure, primary, measures=measures, kelvin=kelvin)
+    write_lake_month(clean, base, schema, range_partitions=range_partitions)
+
+
+def main(argv=None) -> None:
+    """``python -m tidemart.plans.pipeline --sla-lake P --sst-lake P --start D --end D``"""
+    import argparse
+    from tidemart.session import get_session
+    ap = argparse.ArgumentParser(description="Rebuild staging and marts for a month range.")
+    ap.add_argument("--sla-lake", required=True)
+    ap.add_argument("--sst-lake", required=True)
+    ap.add_argument("--start", default="1993-01-01")
+    ap.add_argument("--end", default="2023-12-31")
+    ap.add_argument("--prefix", default="")
+    args = ap.parse_args(argv)
+    spark = get_session()
+    build(spark, Layout(args.sla_lake, args.sst_lake, args.prefix), args.start, args.end)
+
+
+if __name__ == "__main__":
+    main()
