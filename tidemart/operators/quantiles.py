@@ -83,29 +83,32 @@ def exact_percentiles(df: DataFrame, value: str, probs, names=None, by=None,
                 *[F.min(F.when(counting & (F.col("_v") > F.col(f"_U{j}")), F.col("_v")))
                   .alias(f"_succ{j}") for j in range(nj)]))
 
-    # 3. exact rank of every candidate value
-    per_group = Window.partitionBy(*keys)
+    # 3. exact rank of every candidate value. The per-group counters (one row per
+    # group) are attached to the candidates by scalar subquery / key join; the only
+    # window is the running count inside one (group, bracket), whose size is the
+    # number of distinct values in the bracket.
+    counters = (agg.where(counting)
+                .select(*keys, "_n", *[F.col(f"_{c}{j}").alias(f"_{c}{j}")
+                                       for c in ("below", "upto", "pred", "succ") for j in range(nj)]))
+    cands = agg.where(~counting).select(*keys, "_j", "_cv", "_cnt")
     per_bracket = (Window.partitionBy(*keys, "_j").orderBy("_cv")
                    .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    below_here = F.element_at(
-        F.array(*[F.max(F.when(counting, F.col(f"_below{j}"))).over(per_group) for j in range(nj)]),
-        F.greatest(F.col("_j"), F.lit(0)) + 1)
-    ranked = agg.withColumn("_rank_upto", below_here + F.sum("_cnt").over(per_bracket))
+    with_counts = _join_stats(cands, counters, keys)
+    below_here = F.element_at(F.array(*[F.col(f"_below{j}") for j in range(nj)]), F.col("_j") + 1)
+    ranked = with_counts.withColumn("_rank_upto", below_here + F.sum("_cnt").over(per_bracket))
 
     outs = []
     for j in range(nj):
         pos = F.lit(probs[j]) * (F.col("_n") - F.lit(1)).cast("double")
         outs += [
-            F.max(F.when(counting, F.col(f"_below{j}"))).alias(f"_below{j}"),
-            F.max(F.when(counting, F.col(f"_upto{j}"))).alias(f"_upto{j}"),
-            F.max(F.when(counting, F.col(f"_pred{j}"))).alias(f"_pred{j}"),
-            F.max(F.when(counting, F.col(f"_succ{j}"))).alias(f"_succ{j}"),
+            *[F.first(f"_{c}{j}").alias(f"_{c}{j}") for c in ("below", "upto", "pred", "succ")],
             F.min(F.when((F.col("_j") == j) & (F.col("_rank_upto") > F.floor(pos)), F.col("_cv")))
              .alias(f"_vlo{j}"),
             F.min(F.when((F.col("_j") == j) & (F.col("_rank_upto") > F.ceil(pos)), F.col("_cv")))
              .alias(f"_vhi{j}"),
         ]
-    final = ranked.groupBy(*keys).agg(F.max("_n").alias("n"), *outs)
+    # (without keys this is a global aggregate: one row even when no value is valid)
+    final = ranked.groupBy(*keys).agg(F.first("_n").alias("n"), *outs)
 
     result_cols = []
     for j, name in enumerate(names):
