@@ -39,6 +39,10 @@ def dense_raster(obs: DataFrame, value: str, grid: GridSpec = GRID_025,
 
     ``months`` (one column ``month_col``) selects which months get a full raster;
     by default every month present in ``obs``.
+
+    Cells are reduced to one value each first (partial aggregation absorbs any
+    number of duplicate copies before the shuffle), so every collected row holds at
+    most ``n_lon`` entries whatever the input's duplication.
     """
     cells = raster_cells(obs, value, grid, month_col)
     rows = (cells.groupBy(month_col, "lat_i")
