@@ -159,3 +159,21 @@ def test_fixture_counts_match_survey(spark):
     j = joins.cell_join(sla, sst)
     assert j.count() == 406 and j.select("year", "month").distinct().count() == 79
     assert joins.raw_cell_join(fx.raw_sla(spark, sf), fx.raw_sst(spark, sf)).count() == 55
+
+
+def test_marts_from_partials_equal_direct_marts(spark):
+    from tidemart.sources import fixtures as fx
+    sf = "/root/testdata/sf0.001"
+    sla, sst = staging.stage_sla(fx.raw_sla(spark, sf)), staging.regrid_sst(fx.raw_sst(spark, sf))
+    monthly, zones = marts.marts_from_partials(marts.zone_partials(sla, sst))
+    direct_m = marts.monthly_global_trends(sla, sst)
+    direct_z = marts.latitude_zone_stats(sla, sst)
+    assert monthly.columns == direct_m.columns and zones.columns == direct_z.columns
+
+    def close(a, b):
+        assert len(a) == len(b)
+        for ra, rb in zip(sorted(a), sorted(b)):
+            for x, y in zip(ra, rb):
+                assert (x == y) or (x is not None and y is not None and abs(x - y) < 1e-12)
+    close(monthly.collect(), direct_m.collect())
+    close(zones.collect(), direct_z.collect())

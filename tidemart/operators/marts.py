@@ -92,3 +92,38 @@ def raw_zone_stats(raw_sla: DataFrame, raw_sst: DataFrame) -> DataFrame:
         F.avg("sst_celsius").alias("avg_sst_celsius"))
     return agg.select(month_date("year", "month").alias("year_month"), "latitude_zone",
                       "avg_sla_m", "avg_sst_celsius")
+
+
+def zone_partials(sla_keyed: DataFrame, sst_keyed: DataFrame, start=None, end=None,
+                  step: float = 0.25) -> DataFrame:
+    """One pass of the cell join reduced to sums and counts per (month, zone) — at
+    most 5 rows per month. Both marts are exact re-aggregations of it
+    (:func:`marts_from_partials`), so a build joins the cells once, not twice."""
+    sla = filter_months(sla_keyed, start, end)
+    joined = cell_join(sla, sst_keyed).withColumn(
+        "latitude_zone", latitude_zone(cell_coordinate("lat_idx", step)))
+    sums = []
+    for m in ("sea_level_anomaly_m", "sst_celsius", "sea_ice_fraction"):
+        sums += [F.sum(m).alias(f"sum_{m}"), F.count(m).alias(f"n_{m}")]
+    return joined.groupBy("year", "month", "latitude_zone").agg(
+        F.count(F.lit(1)).alias("grid_points"), *sums)
+
+
+def _avgs(total):
+    return [
+        F.try_divide(total("sum_sea_level_anomaly_m"), total("n_sea_level_anomaly_m")).alias("avg_sla_m"),
+        F.try_divide(total("sum_sst_celsius"), total("n_sst_celsius")).alias("avg_sst_celsius"),
+        F.try_divide(total("sum_sea_ice_fraction"), total("n_sea_ice_fraction")).alias("avg_sea_ice_fraction"),
+    ]
+
+
+def marts_from_partials(partials: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(monthly_global_trends, latitude_zone_stats)`` from :func:`zone_partials`
+    (average = sum / count of non-NULL values; ``grid_points`` = joined cells)."""
+    zones = partials.select(*_month_parts(), "latitude_zone", *_avgs(F.col),
+                            F.col("grid_points"))
+    monthly = (partials.groupBy("year", "month")
+               .agg(*[F.sum(c).alias(c) for c in partials.columns
+                      if c.startswith(("sum_", "n_")) or c == "grid_points"])
+               .select(*_month_parts(), *_avgs(F.col), F.col("grid_points").cast("long")))
+    return monthly, zones

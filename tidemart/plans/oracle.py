@@ -175,6 +175,10 @@ ORACLE: dict[str, str] = {
         ["avg_sla_m", "avg_sst_celsius", "avg_sea_ice_fraction"]),
     "latitude_zone_stats": q("SELECT * FROM zone_stats",
                              ["avg_sla_m", "avg_sst_celsius", "avg_sea_ice_fraction"]),
+    "monthly_from_partials": q("SELECT * FROM monthly",
+                               ["avg_sla_m", "avg_sst_celsius", "avg_sea_ice_fraction"]),
+    "zones_from_partials": q("SELECT * FROM zone_stats",
+                             ["avg_sla_m", "avg_sst_celsius", "avg_sea_ice_fraction"]),
     "decadal_means": q(f"""SELECT {_DEFAULT_DECADE} AS decade, avg(avg_sla_m) AS avg_sla_m,
                            avg(avg_sst_celsius) AS avg_sst_celsius FROM monthly GROUP BY 1""",
                        ["avg_sla_m", "avg_sst_celsius"]),

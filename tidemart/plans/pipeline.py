@@ -4,7 +4,9 @@
 2. regrid SST and replace those months of ``staging.sea_surface_temperature``;
 3. read the staged months back (the written table cuts the lineage: a lost
    executor recomputes from the table, not from the raw lake), stage SLA as a view,
-   and replace those months of both marts.
+   join the cells ONCE into per-(month, zone) sums and counts, checkpoint that small
+   table to the shared ``spark.checkpoint.dir``, and replace those months of both
+   marts from it.
 
 Every write is a dynamic partition overwrite keyed by ``year_month``, so re-running
 a range is idempotent and other months are untouched.
@@ -16,10 +18,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
-from tidemart.operators.marts import latitude_zone_stats, monthly_global_trends
+from tidemart.operators.marts import marts_from_partials, zone_partials
 from tidemart.operators.staging import filter_months, keyed_cells, public_cells, regrid_sst, stage_sla
 from tidemart.schemas import RAW_SLA, RAW_SST
 from tidemart.sources.lake import scan_lake
+from tidemart.session import ensure_checkpoint_dir
 from tidemart.sources.tables import create_tables, create_view, delete_insert
 
 
@@ -57,8 +60,11 @@ def build(spark: SparkSession, layout: Layout, start: str, end: str) -> None:
     sla = stage_sla(raw_sla)
     create_view(public_cells(sla), f"{layout.prefix.replace('.', '_')}staging_sea_level_anomaly")
 
-    delete_insert(spark, monthly_global_trends(sla, staged_sst, start, end), layout.monthly)
-    delete_insert(spark, latitude_zone_stats(sla, staged_sst, start, end), layout.zones)
+    ensure_checkpoint_dir(spark)
+    partials = zone_partials(sla, staged_sst, start, end).checkpoint(eager=True)
+    monthly, zones = marts_from_partials(partials)
+    delete_insert(spark, monthly, layout.monthly)
+    delete_insert(spark, zones, layout.zones)
 
 
 def ingest_month(spark: SparkSession, grid_rows, base: str, schema, measure: str,

@@ -139,6 +139,18 @@ def q_latitude_zone_stats(spark, sf):
     return rounded(_zones(spark, sf))
 
 
+def q_monthly_from_partials(spark, sf):
+    """A3 as the batch build computes it: one cell join -> zone partials -> mart."""
+    sla, sst = _keyed(spark, sf)
+    return rounded(marts.marts_from_partials(marts.zone_partials(sla, sst))[0])
+
+
+def q_zones_from_partials(spark, sf):
+    """A4 as the batch build computes it."""
+    sla, sst = _keyed(spark, sf)
+    return rounded(marts.marts_from_partials(marts.zone_partials(sla, sst))[1])
+
+
 def q_decadal_means(spark, sf):
     return rounded(marts.decadal_means(_monthly(spark, sf)))
 
@@ -319,6 +331,8 @@ QUERIES: dict[str, Query] = {
     "monthly_global_trends": q_monthly_global_trends,
     "monthly_global_trends_range": q_monthly_global_trends_range,
     "latitude_zone_stats": q_latitude_zone_stats,
+    "monthly_from_partials": q_monthly_from_partials,
+    "zones_from_partials": q_zones_from_partials,
     "decadal_means": q_decadal_means,
     "decadal_means_narrow": q_decadal_means_narrow,
     "raw_cell_join": q_raw_cell_join,
