@@ -132,3 +132,18 @@ def test_ingest_gridded_month(spark, scratch):
     got = sorted((round(r.latitude, 4), round(r.longitude, 4), round(r.sst_celsius, 4), r.sea_ice_fraction)
                  for r in scan_lake(spark, base, RAW_SST).collect())
     assert got == [(0.0, 10.0, 27.0, 0.0), (0.05, 10.05, 28.0, None)]
+
+
+def test_bulk_load_append_appends_again_on_rerun(spark, scratch):
+    from tidemart.sources.tables import bulk_load_append
+    root = _tmp(scratch, "bulk")
+    files = []
+    for m in (1, 2):
+        path = os.path.join(root, f"1993_{m:02d}.parquet")
+        _sst_month(spark, 1993, m, float(m)).write.parquet(path)
+        files.append(path)
+    name = "raw_sst_" + os.path.basename(root).replace("-", "_")
+    bulk_load_append(spark, files, RAW_SST, name, ["year", "month"])
+    assert spark.table(name).count() == 10
+    bulk_load_append(spark, files[:1], RAW_SST, name, ["year", "month"])  # append semantics
+    assert spark.table(name).count() == 15

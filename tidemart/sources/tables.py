@@ -80,6 +80,20 @@ def append_table(spark: SparkSession, df: DataFrame, table: str) -> None:
     _aligned(spark, df, table).write.insertInto(table, overwrite=False)
 
 
+def bulk_load_append(spark: SparkSession, paths: list[str], schema: T.StructType, table: str,
+                     partition_cols: list[str] | None = None) -> None:
+    """Load month files (Parquet) into a table with append semantics, without the
+    data passing through the driver; the table is created on first use."""
+    df = spark.read.schema(schema).parquet(*paths)
+    if not spark.catalog.tableExists(table):
+        writer = df.write.format("parquet")
+        if partition_cols:
+            writer = writer.partitionBy(*partition_cols)
+        writer.saveAsTable(table)
+        return
+    append_table(spark, df, table)
+
+
 def read_published(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
     """A layer table in its published column order (Spark stores partition columns last)."""
     return spark.table(table).select(*[f.name for f in schema.fields])
