@@ -274,8 +274,8 @@ def q_latest_sla_grid(spark, sf):
 
 def q_quality_checks(spark, sf):
     sla, sst = _keyed(spark, sf)
-    return quality.mart_checks(marts.monthly_global_trends(sla, sst),
-                               marts.latitude_zone_stats(sla, sst))
+    monthly, zones = marts.marts_from_partials(marts.zone_partials(sla, sst))
+    return quality.mart_checks(monthly, zones)
 
 
 def q_check_unique(spark, sf):

@@ -11,8 +11,13 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Defaults for a local run; a cluster session keeps whatever it already has.
+# Defaults for a local run; a cluster session keeps whatever it already has (see
+# README "Cluster settings" for the recommended cluster equivalents).
 LOCAL_DEFAULTS = {
+    # broadcast only what AQE has *measured* after a shuffle stage, never a plan-time
+    # estimate derived from compressed file sizes
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.shuffle.partitions": "8",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
