@@ -105,3 +105,11 @@ def test_clipping_collision_is_deterministic(spark):
     cells = reshape.raster_cells(df, "sst_celsius", SMALL).collect()
     assert len(cells) == 1 and cells[0].sst_celsius == 2.0
     assert F is not None
+
+
+def test_rename_and_tag_month(spark):
+    from tidemart.sources.gridded import rename_source_columns, tag_month
+    df = spark.createDataFrame([(1.0, 2.0, 280.0)], "lat double, lon double, analysed_sst double")
+    out = tag_month(rename_source_columns(df), 1993, 1)
+    assert out.columns == ["latitude", "longitude", "sst_celsius", "year", "month"]
+    assert out.schema["year"].dataType.simpleString() == "int"

@@ -12,6 +12,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Source variable/coordinate names -> published column names
+SOURCE_NAMES = {
+    "lat": "latitude",
+    "lon": "longitude",
+    "sla": "sea_level_anomaly_m",
+    "analysed_sst": "sst_celsius",
+}
+
+
+def rename_source_columns(df: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
+    """Source names -> published names (only the columns present are renamed)."""
+    mapping = {k: v for k, v in (names or SOURCE_NAMES).items() if k in df.columns}
+    return df.withColumnsRenamed(mapping) if mapping else df
+
+
+def tag_month(df: DataFrame, year: int, month: int) -> DataFrame:
+    """Add the month's ``year`` and ``month`` as INT literals."""
+    return df.withColumns({"year": F.lit(int(year)).cast("int"), "month": F.lit(int(month)).cast("int")})
+
 
 def split_rows(df: DataFrame, grid_col: str, lat_axis_col: str, keep: list[str]) -> DataFrame:
     """2-D grid row -> one row per latitude: ``(keep..., latitude, values)``."""
