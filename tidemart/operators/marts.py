@@ -29,6 +29,10 @@ def _month_parts():
             F.col("year").cast("long").alias("year"), F.col("month").cast("long").alias("month")]
 
 
+def _bounded_join(sla_keyed: DataFrame, sst_keyed: DataFrame, start, end) -> DataFrame:
+    return cell_join(filter_months(sla_keyed, start, end), filter_months(sst_keyed, start, end))
+
+
 def _measures():
     return [
         F.avg("sea_level_anomaly_m").alias("avg_sla_m"),
@@ -42,11 +46,13 @@ def monthly_global_trends(sla_keyed: DataFrame, sst_keyed: DataFrame,
                           start=None, end=None) -> DataFrame:
     """A3: one row per month with global averages and the joined cell count.
 
-    ``start``/``end`` bound ``year_month`` inclusively (None = unbounded). The bound is
-    written on the SLA side; Spark infers it for the SST side through the join key.
+    ``start``/``end`` bound ``year_month`` inclusively (None = unbounded). The bound
+    is applied to *both* join inputs: the predicate spans two join keys
+    (``make_date(year, month, 1)``), which Spark cannot transfer across the join by
+    itself, and stating it twice gives both lake scans static partition pruning
+    (same result, as the join is inner).
     """
-    sla = filter_months(sla_keyed, start, end)
-    joined = cell_join(sla, sst_keyed)
+    joined = _bounded_join(sla_keyed, sst_keyed, start, end)
     agg = joined.groupBy("year", "month").agg(*_measures())
     return agg.select(*_month_parts(), "avg_sla_m", "avg_sst_celsius",
                       "avg_sea_ice_fraction", "grid_points")
@@ -55,8 +61,7 @@ def monthly_global_trends(sla_keyed: DataFrame, sst_keyed: DataFrame,
 def latitude_zone_stats(sla_keyed: DataFrame, sst_keyed: DataFrame,
                         start=None, end=None, step: float = 0.25) -> DataFrame:
     """A4: one row per month and latitude zone (zone of the *snapped* latitude)."""
-    sla = filter_months(sla_keyed, start, end)
-    joined = cell_join(sla, sst_keyed).withColumn(
+    joined = _bounded_join(sla_keyed, sst_keyed, start, end).withColumn(
         "latitude_zone", latitude_zone(cell_coordinate("lat_idx", step)))
     agg = joined.groupBy("year", "month", "latitude_zone").agg(*_measures())
     return agg.select(*_month_parts(), "latitude_zone", "avg_sla_m",
@@ -99,8 +104,7 @@ def zone_partials(sla_keyed: DataFrame, sst_keyed: DataFrame, start=None, end=No
     """One pass of the cell join reduced to sums and counts per (month, zone) — at
     most 5 rows per month. Both marts are exact re-aggregations of it
     (:func:`marts_from_partials`), so a build joins the cells once, not twice."""
-    sla = filter_months(sla_keyed, start, end)
-    joined = cell_join(sla, sst_keyed).withColumn(
+    joined = _bounded_join(sla_keyed, sst_keyed, start, end).withColumn(
         "latitude_zone", latitude_zone(cell_coordinate("lat_idx", step)))
     sums = []
     for m in ("sea_level_anomaly_m", "sst_celsius", "sea_ice_fraction"):
