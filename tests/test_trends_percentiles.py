@@ -2,6 +2,8 @@ import datetime as dt
 
 import numpy as np
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemart.operators.quantiles import exact_percentiles, percentile_limits
@@ -121,3 +123,29 @@ def test_map_limits_symmetric(spark):
     r = dashboard.map_limits(df, "v", symmetric=True).collect()[0]
     vals = [x / 100 for x in range(-50, 21)]
     assert r.abs_max == pytest.approx(max(abs(_np_pct(vals, 0.02)), abs(_np_pct(vals, 0.98))))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.one_of(st.sampled_from([0.0, 1.0, -1.0, 2.5]),
+                                 st.floats(-1e6, 1e6, allow_nan=False, width=32),
+                                 st.none(), st.just(float("nan"))), min_size=0, max_size=300),
+       probs=st.lists(st.floats(0.0, 1.0), min_size=1, max_size=4),
+       accuracy=st.sampled_from([20, 100, 10_000]))
+def test_exact_percentiles_property(spark, values, probs, accuracy):
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    names = [f"q{i}" for i in range(len(probs))]
+    r = exact_percentiles(df, "v", probs, names=names, accuracy=accuracy).collect()[0]
+    valid = [v for v in values if v is not None and v == v]
+    assert r.n == len(valid)
+    for name, p in zip(names, probs):
+        want = _np_pct(values, p)
+        if want is None:
+            assert r[name] is None
+        else:
+            assert r[name] == pytest.approx(want, rel=1e-12, abs=1e-9), (p, accuracy)
+
+
+def test_exact_percentiles_all_equal(spark):
+    df = spark.createDataFrame([(7.5,)] * 5000, "v double")
+    r = exact_percentiles(df, "v", [0.0, 0.02, 0.98, 1.0], names=["a", "b", "c", "d"], accuracy=50).collect()[0]
+    assert (r.a, r.b, r.c, r.d) == (7.5, 7.5, 7.5, 7.5)
