@@ -177,3 +177,20 @@ def test_marts_from_partials_equal_direct_marts(spark):
                 assert (x == y) or (x is not None and y is not None and abs(x - y) < 1e-12)
     close(monthly.collect(), direct_m.collect())
     close(zones.collect(), direct_z.collect())
+
+
+def test_hot_month_is_spread_over_reducers(spark):
+    """A month holding most rows is not one task: staging shuffles on the cell key."""
+    rows = [(1993, 1, (i % 400) * 0.25 - 50.0, (i // 400) * 0.25, 1.0, 0.0) for i in range(24000)]
+    rows += [(1993, m, 0.0, 0.0, 1.0, 0.0) for m in range(2, 13) for _ in range(100)]
+    sst = spark.createDataFrame(rows, RAW_SST_SCHEMA)
+    prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        staged = staging.regrid_sst(sst)
+        sizes = [r["n"] for r in staged.groupBy(F.spark_partition_id().alias("p"))
+                 .agg(F.count(F.lit(1)).alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
+    assert sum(sizes) == 24000 + 11
+    assert len(sizes) == 8 and max(sizes) < 0.2 * sum(sizes)

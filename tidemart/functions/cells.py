@@ -53,8 +53,9 @@ def round_half_away(q: Column) -> Column:
     onto an integer, and ``a < f - 0.5`` (exact, as ``f - 0.5`` is representable)
     detects exactly that case, so ``0.49999999999999994`` rounds to 0 and 0.5 to 1.
     Only null-intolerant operators are used (no CASE), so the ``isnotnull`` that a
-    join infers on a cell index reduces to ``isnotnull`` of the coordinate column
-    instead of repeating the whole expression in the scan filter.
+    join infers on a cell index stays a small arithmetic expression in the scan
+    filter. NULL stays NULL; NaN or infinite coordinates are not valid (the INT cast
+    of the index raises under ANSI mode) — clean them at ingest.
     """
     a = F.abs(q)
     f = F.floor(a + F.lit(0.5))
