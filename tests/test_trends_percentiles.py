@@ -149,3 +149,12 @@ def test_exact_percentiles_all_equal(spark):
     df = spark.createDataFrame([(7.5,)] * 5000, "v double")
     r = exact_percentiles(df, "v", [0.0, 0.02, 0.98, 1.0], names=["a", "b", "c", "d"], accuracy=50).collect()[0]
     assert (r.a, r.b, r.c, r.d) == (7.5, 7.5, 7.5, 7.5)
+
+
+def test_dashboard_order_on_request(spark):
+    vals = [(0.01 * i, 18.0 + i) for i in range(30)]
+    out = dashboard.trends(_monthly(spark, vals), ordered=True).collect()
+    assert [r.year_month for r in out] == sorted(r.year_month for r in out)
+    dec = dashboard.decades(_monthly(spark, vals), edges=[(1995, 1995, "a"), (1996, 1996, "b")],
+                            ordered=True).collect()
+    assert [r.decade for r in dec] == ["2013-2023", "a", "b"]

@@ -21,8 +21,14 @@ from tidemart.operators.series import first_point_per_zone, slice_month
 _EPOCH = _dt.date(1993, 1, 1)
 
 
+def _order(df: DataFrame, ordered: bool, *cols: str) -> DataFrame:
+    """The chart order (``ORDER BY``) on request; results are small (one row per month
+    or decade), so the sort is cheap — but it is left to the consumer by default."""
+    return df.orderBy(*cols) if ordered else df
+
+
 def trends(monthly: DataFrame, year_min: int = 1993, year_max: int = 2023,
-           show_trend: bool = True) -> DataFrame:
+           show_trend: bool = True, ordered: bool = False) -> DataFrame:
     """Monthly SLA (cm) and SST for a year range, with fitted straight lines.
 
     ``x_days`` counts days from the first month *after* the year filter; the fit is
@@ -49,27 +55,27 @@ def trends(monthly: DataFrame, year_min: int = 1993, year_max: int = 2023,
     f = F.col("_fit")  # the subquery is attached once; fields are read from the column
     out = df.withColumn("_fit", fit).withColumn("x_days", d - f.getField("d0"))
     if not show_trend:
-        return out.drop("_fit")
+        return _order(out.drop("_fit"), ordered, "year_month")
 
     def line(a, dx, y):
         slope = f.getField(a)
         intercept = f.getField(y) - slope * (f.getField(dx) - f.getField("d0"))
         return slope * F.col("x_days") + intercept
-    return out.withColumns({
+    return _order(out.withColumns({
         "trend_sla_cm": line("a_sla", "dx_sla", "y_sla"),
         "trend_sst_celsius": line("a_sst", "dx_sst", "y_sst"),
-    }).drop("_fit")
+    }).drop("_fit"), ordered, "year_month")
 
 
-def decades(monthly: DataFrame, edges=None) -> DataFrame:
+def decades(monthly: DataFrame, edges=None, ordered: bool = False) -> DataFrame:
     """Decade averages of the monthly means, SLA also in cm."""
-    return (decadal_means(monthly, edges)
-            .withColumn("avg_sla_cm", metres_to_cm("avg_sla_m")))
+    return _order(decadal_means(monthly, edges)
+                  .withColumn("avg_sla_cm", metres_to_cm("avg_sla_m")), ordered, "decade")
 
 
-def zones(zone_stats: DataFrame) -> DataFrame:
+def zones(zone_stats: DataFrame, ordered: bool = False) -> DataFrame:
     """D3: SST series per latitude zone (long form)."""
-    return zone_series(zone_stats, "avg_sst_celsius")
+    return _order(zone_series(zone_stats, "avg_sst_celsius"), ordered, "year_month", "latitude_zone")
 
 
 def zone_markers(zone_stats: DataFrame) -> DataFrame:
