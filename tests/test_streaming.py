@@ -38,3 +38,9 @@ def test_incremental_build_processes_new_months(spark, scratch):
     got = {r.month: r.avg_sst_celsius for r in spark.table(layout.monthly).collect()}
     assert got == {1: pytest.approx(10.0), 2: pytest.approx(20.0)}
     assert spark.table(layout.zones).count() == 4
+
+    # a corrected month lands again (its files are replaced): only it is rebuilt
+    land(1, 30.0)
+    start_incremental_build(spark, layout, ckpt).awaitTermination(120)
+    got = {r.month: r.avg_sst_celsius for r in spark.table(layout.monthly).collect()}
+    assert got == {1: pytest.approx(30.0), 2: pytest.approx(20.0)}

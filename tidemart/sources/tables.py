@@ -94,8 +94,14 @@ def bulk_load_append(spark: SparkSession, paths: list[str], schema: T.StructType
     append_table(spark, df, table)
 
 
-def read_published(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
-    """A layer table in its published column order (Spark stores partition columns last)."""
+def read_published(spark: SparkSession, table: str, schema: T.StructType,
+                   refresh: bool = True) -> DataFrame:
+    """A layer table in its published column order (Spark stores partition columns last).
+
+    Months are replaced in place by other jobs; ``refresh`` drops this session's cached
+    file listing first (``REFRESH TABLE``), so a long-lived reader sees the new files."""
+    if refresh:
+        spark.catalog.refreshTable(table)
     return spark.table(table).select(*[f.name for f in schema.fields])
 
 

@@ -70,7 +70,9 @@ def start_incremental_build(spark: SparkSession, layout: Layout, checkpoint: str
     def rebuild(batch: DataFrame, batch_id: int) -> None:
         touched = [(r.year, r.month) for r in batch.distinct().collect()]  # <= 12 per year
         for start, end in _month_ranges(touched):
-            build(batch.sparkSession, layout, start, end)
+            # write through the owning session (not the stream's clone) so its cached
+            # table listings are invalidated by the overwrite
+            build(spark, layout, start, end)
 
     writer = (landed_months(spark, layout).writeStream
               .queryName("tidemart_incremental_build")
