@@ -265,6 +265,18 @@ def q_grid_flatten(spark, sf):
     return rounded(drop_missing(flat, "sst_celsius"))
 
 
+def q_sst_raster_rows(spark, sf):
+    """R2 / D4 as raster rows: 721 rows of 1441 values (NaN where no cell) for the newest
+    staged month. Values are oracle-checked through ``grid_flatten``; no oracle here
+    (array-valued rows)."""
+    return reshape.dense_raster(_latest_staged_sst(spark, sf), "sst_celsius", GRID_025)
+
+
+def q_zone_series_arrays(spark, sf):
+    """R3 array form: one month-ordered series per zone (values checked via ``zones``)."""
+    return reshape.zone_series_arrays(_zones(spark, sf), "avg_sst_celsius")
+
+
 def q_latest_sla_grid(spark, sf):
     """Pivot of the newest month of staged SLA (one column per longitude)."""
     latest = series.slice_latest_month(_staged_sla(spark, sf))
@@ -355,6 +367,8 @@ QUERIES: dict[str, Query] = {
     "raster_index": q_raster_index,
     "sst_map": q_sst_map,
     "grid_flatten": q_grid_flatten,
+    "sst_raster_rows": q_sst_raster_rows,
+    "zone_series_arrays": q_zone_series_arrays,
     "latest_sla_grid": q_latest_sla_grid,
     "quality_checks": q_quality_checks,
     "check_unique": q_check_unique,
