@@ -27,13 +27,13 @@ def cell_join(sla_keyed: DataFrame, sst_keyed: DataFrame) -> DataFrame:
     """``sla INNER JOIN sst USING (year_month, latitude, longitude)`` on cell indices.
 
     Both inputs arrive hash-partitioned on the cell key by their staging aggregates,
-    so the join is partition-local. The ``shuffle_hash`` hint keeps it that way: no
-    sort of either side, and no run-time conversion to a broadcast (which would ship a
-    whole month of SLA cells to every executor although nothing needs to move). The
-    SLA side is the build side; keys are unique per side, so each task's hash table
-    holds ~1/N of a month's cells and no partition is skewed.
+    so the join is partition-local. The ``merge`` hint keeps it that way: no run-time
+    conversion to a broadcast (which would ship a whole month of SLA cells to every
+    executor although nothing needs to move), and a sort-merge join spills instead
+    of failing if a partition outgrows memory. Keys are unique per side, so no
+    partition is skewed.
     """
-    return sla_keyed.hint("shuffle_hash").join(sst_keyed, on=CELL_KEYS, how="inner")
+    return sla_keyed.hint("merge").join(sst_keyed, on=CELL_KEYS, how="inner")
 
 
 def raw_cell_join(raw_sla: DataFrame, raw_sst: DataFrame) -> DataFrame:
