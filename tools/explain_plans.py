@@ -15,6 +15,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as E  # noqa: E402
+from tidemart.plans.inspect import shuffle_metrics  # noqa: E402
 from tidemart.session import get_session  # noqa: E402
 
 
@@ -41,15 +42,21 @@ def main():
     qs = E.queries()
     lines = ["# Physical plans (broadcast joins disabled)", "",
              "Generated by `tools/explain_plans.py` at " + sf + ". Counts are operators in the",
-             "physical plan before adaptive re-planning. `single` exchanges gather a global",
-             "aggregate's *partial* results (one row per task), never raw rows; `windows` are",
-             "over monthly series or over the percentile candidate table (both bounded).", "",
-             "| query | hash | range | single | broadcast | scalar subqueries | scans | windows |",
-             "|---|---|---|---|---|---|---|---|"]
+             "physical plan before adaptive re-planning (identical subtrees are listed each time",
+             "they occur). The `executed` columns come from the final adaptive plan after running",
+             "the query: shuffles actually performed (identical stages and subqueries are reused)",
+             "and the bytes they wrote. `single` exchanges gather a global aggregate's *partial*",
+             "results (one row per task), never raw rows; `windows` are over monthly series or",
+             "over one percentile bracket's candidates (both bounded).", "",
+             "| query | hash | range | single | broadcast | scalar subqueries | scans | windows "
+             "| executed shuffles | executed shuffle bytes |",
+             "|---|---|---|---|---|---|---|---|---|---|"]
     for name, fn in qs.items():
         s = summary(fn(spark, sf))
+        ex = shuffle_metrics(fn(spark, sf))
         lines.append(f"| {name} | {s['hash']} | {s['range']} | {s['single']} | {s['broadcast']} | "
-                     f"{s['subqueries']} | {s['scans']} | {s['windows']} |")
+                     f"{s['subqueries']} | {s['scans']} | {s['windows']} | {ex['shuffles']} | "
+                     f"{ex['shuffle_bytes']} |")
     flagship = qs["monthly_global_trends"](spark, sf)
     text = flagship._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
