@@ -158,3 +158,16 @@ def test_dashboard_order_on_request(spark):
     dec = dashboard.decades(_monthly(spark, vals), edges=[(1995, 1995, "a"), (1996, 1996, "b")],
                             ordered=True).collect()
     assert [r.decade for r in dec] == ["2013-2023", "a", "b"]
+
+
+def test_grouped_percentiles_keep_a_null_group(spark):
+    rows = [(None, float(i)) for i in range(11)] + [("a", float(i) * 2) for i in range(11)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: (r.n, r.p50) for r in exact_percentiles(df, "v", [0.5], names=["p50"], by=["k"]).collect()}
+    assert got == {None: (11, 5.0), "a": (11, 10.0)}
+
+
+def test_keyed_days_since_start_null_key(spark):
+    df = spark.createDataFrame([(None, dt.date(2000, 1, 1)), (None, dt.date(2000, 3, 1))],
+                               "k string, year_month date")
+    assert sorted(r.x_days for r in days_since_start(df, by=["k"]).collect()) == [0.0, 60.0]

@@ -4,7 +4,7 @@ A series is one row per month (and per series key, e.g. zone). Global statistics
 (series start, fitted slope/intercept) are attached with scalar subqueries: the
 one-row aggregate is computed once, distributed, and read by every task as a
 constant — no cross join and no single-partition window. Per-key statistics are
-joined back on the key with an ordinary equi-join (AQE broadcasts it after
+joined back on the key with a (null-safe) equi-join (AQE broadcasts it after
 measuring its size, which is at most one row per key).
 """
 
@@ -15,9 +15,16 @@ from pyspark.sql import functions as F
 
 
 def _join_stats(df: DataFrame, stats: DataFrame, by: list[str]) -> DataFrame:
-    """Attach per-series statistics: scalar subquery when global, equi-join when keyed."""
+    """Attach per-series statistics: scalar subquery when global, equi-join when keyed.
+
+    The keyed join is null-safe (``<=>``), so a group whose key is NULL keeps its
+    statistics, as ``GROUP BY`` treats NULL as one group.
+    """
     if by:
-        return df.join(stats, on=by, how="inner")
+        renamed = stats.select(*[F.col(k).alias(f"_key_{k}") for k in by],
+                               *[c for c in stats.columns if c not in by])
+        cond = [df[k].eqNullSafe(renamed[f"_key_{k}"]) for k in by]
+        return df.join(renamed, on=cond, how="inner").drop(*[f"_key_{k}" for k in by])
     cols = [c for c in stats.columns]
     s = stats.select(F.struct(*cols).alias("_s")).scalar()
     # one subquery expression, then plain field reads (not one subquery per field)
