@@ -113,3 +113,10 @@ def test_rename_and_tag_month(spark):
     out = tag_month(rename_source_columns(df), 1993, 1)
     assert out.columns == ["latitude", "longitude", "sst_celsius", "year", "month"]
     assert out.schema["year"].dataType.simpleString() == "int"
+
+
+def test_dense_raster_skips_cells_without_coordinates(spark):
+    df = spark.createDataFrame([(dt.date(1993, 1, 1), 0.0, 10.0, 1.0), (dt.date(1993, 1, 1), 0.0, None, 2.0)],
+                               "year_month date, latitude double, longitude double, sst_celsius double")
+    r = reshape.dense_raster(df, "sst_celsius", SMALL).orderBy("lat_i").collect()
+    assert len(r) == SMALL.n_lat and r[1]["values"][0] == 1.0

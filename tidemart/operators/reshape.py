@@ -44,7 +44,9 @@ def dense_raster(obs: DataFrame, value: str, grid: GridSpec = GRID_025,
     number of duplicate copies before the shuffle), so every collected row holds at
     most ``n_lon`` entries whatever the input's duplication.
     """
-    cells = raster_cells(obs, value, grid, month_col)
+    # a cell without a coordinate has no place on the grid (and cannot be a map key)
+    cells = (raster_cells(obs, value, grid, month_col)
+             .where(F.col("lat_i").isNotNull() & F.col("lon_i").isNotNull()))
     rows = (cells.groupBy(month_col, "lat_i")
                  .agg(F.map_from_entries(F.collect_list(F.struct("lon_i", value))).alias("_cells")))
     if months is None:
