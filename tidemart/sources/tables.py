@@ -61,7 +61,12 @@ def _aligned(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
     target = spark.table(table).schema
     out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
     cluster = _cluster_cols(spark, table)
-    return out.sortWithinPartitions(*cluster) if cluster else out
+    if not cluster:
+        return out
+    # the writer needs rows ordered by the partition column; leading with it satisfies
+    # that requirement, so no second sort reorders the clustered rows
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    return out.sortWithinPartitions(*parts, *[c for c in cluster if c not in parts])
 
 
 def delete_insert(spark: SparkSession, df: DataFrame, table: str) -> None:
