@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import numpy as np
 import pytest
@@ -125,7 +126,9 @@ def test_map_limits_symmetric(spark):
     assert r.abs_max == pytest.approx(max(abs(_np_pct(vals, 0.02)), abs(_np_pct(vals, 0.98))))
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=int(os.environ.get("TIDEMART_PROPERTY_EXAMPLES", "12")), deadline=None,
+          derandomize=not os.environ.get("TIDEMART_PROPERTY_EXAMPLES"),
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(values=st.lists(st.one_of(st.sampled_from([0.0, 1.0, -1.0, 2.5]),
                                  st.floats(-1e6, 1e6, allow_nan=False, width=32),
                                  st.none(), st.just(float("nan"))), min_size=0, max_size=300),
