@@ -40,13 +40,18 @@ from tidemart.operators.trends import _join_stats
 def exact_percentiles(df: DataFrame, value: str, probs, names=None, by=None,
                       accuracy: int = 10_000, margin: float = 4.0) -> DataFrame:
     """Per group (``by``; global when empty): ``n`` and one column per probability."""
-    keys = list(by or [])
+    group_keys = list(by or [])
+    # one non-NULL grouping column: a struct holding a NULL key is itself not NULL and
+    # equal to itself, so plain equi-joins keep a NULL group and every stage below can
+    # reuse the hash partitioning on it
+    keys = ["_g"] if group_keys else []
     probs = [float(p) for p in probs]
     names = list(names) if names else [f"p{int(round(p * 100)):02d}" for p in probs]
     nj = len(probs)
     width = float(margin) / float(accuracy)
 
-    data = (df.select(*keys, nan_to_null(F.col(value).cast("double")).alias("_v"))
+    group_col = [F.struct(*group_keys).alias("_g")] if group_keys else []
+    data = (df.select(*group_col, nan_to_null(F.col(value).cast("double")).alias("_v"))
               .where(F.col("_v").isNotNull()))
 
     bracket_probs = []
@@ -130,7 +135,8 @@ def exact_percentiles(df: DataFrame, value: str, probs, names=None, by=None,
              .otherwise(F.raise_error(F.lit(f"percentile bracket missed its rank for p={probs[j]}"))
                         .cast("double"))
              .alias(name))
-    return final.select(*keys, F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"), *result_cols)
+    key_cols = [F.col("_g").getField(k).alias(k) for k in group_keys]
+    return final.select(*key_cols, F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"), *result_cols)
 
 
 def percentile_limits(df: DataFrame, value: str, low: float = 0.02, high: float = 0.98,

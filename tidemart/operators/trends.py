@@ -21,6 +21,8 @@ def _join_stats(df: DataFrame, stats: DataFrame, by: list[str]) -> DataFrame:
     statistics, as ``GROUP BY`` treats NULL as one group.
     """
     if by:
+        if not any(df.schema[k].nullable or stats.schema[k].nullable for k in by):
+            return df.join(stats, on=by, how="inner")  # keeps the existing partitioning
         renamed = stats.select(*[F.col(k).alias(f"_key_{k}") for k in by],
                                *[c for c in stats.columns if c not in by])
         cond = [df[k].eqNullSafe(renamed[f"_key_{k}"]) for k in by]
