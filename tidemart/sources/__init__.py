@@ -1,2 +1,18 @@
 """Readers, writers and typed frames: the Parquet lake, catalog tables with
 month-at-a-time replacement, gridded-array rows and the derived test views."""
+
+from tidemart.sources.frames import concat_months, empty_typed, values_table
+from tidemart.sources.gridded import grid_flatten, rename_source_columns, split_rows, tag_month
+from tidemart.sources.lake import append_lake, ingest_grid, scan_lake, scan_paths, write_lake_month
+from tidemart.sources.tables import (
+    append_table, bulk_load_append, create_table, create_tables, create_view, ctas_temp,
+    delete_insert, read_published, read_table,
+)
+
+__all__ = [
+    "concat_months", "empty_typed", "values_table",
+    "grid_flatten", "rename_source_columns", "split_rows", "tag_month",
+    "append_lake", "ingest_grid", "scan_lake", "scan_paths", "write_lake_month",
+    "append_table", "bulk_load_append", "create_table", "create_tables", "create_view",
+    "ctas_temp", "delete_insert", "read_published", "read_table",
+]
