@@ -147,3 +147,17 @@ def test_bulk_load_append_appends_again_on_rerun(spark, scratch):
     assert spark.table(name).count() == 10
     bulk_load_append(spark, files[:1], RAW_SST, name, ["year", "month"])  # append semantics
     assert spark.table(name).count() == 15
+
+
+def test_pipeline_command_line(spark, scratch):
+    from tidemart.plans.pipeline import main
+    root = _tmp(scratch, "cli")
+    sla_lake, sst_lake = os.path.join(root, "sla"), os.path.join(root, "sst")
+    write_lake_month(_sst_month(spark, 1993, 3, 3.0), sst_lake, RAW_SST)
+    write_lake_month(spark.createDataFrame([(1993, 3, la, lo, v) for (_, _, la, lo, v) in RAW_SLA_ROWS],
+                                           RAW_SLA), sla_lake, RAW_SLA)
+    prefix = "c" + os.path.basename(root).replace("-", "_")[-8:] + "_"
+    main(["--sla-lake", sla_lake, "--sst-lake", sst_lake, "--start", "1993-01-01",
+          "--end", "1993-12-31", "--prefix", prefix])
+    rows = spark.table(f"{prefix}mart.monthly_global_trends").collect()
+    assert [(r.month, r.grid_points) for r in rows] == [(3, 2)]
