@@ -11,8 +11,8 @@ import __spark_entry__ as E  # noqa: E402
 from oracle_check import compare, duck_connection  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = {k: v for k, v in E.queries().items() if k not in E.LLM_QUERIES}
+ORACLE = {k: v for k, v in E.oracle_sql().items() if k in QUERIES}
 
 
 @pytest.fixture(scope="module")
