@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate
+from . import decontaminate, html_text, url_filter
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
+    "op7_html_text": html_text.query,
+    "op10_url_filter": url_filter.query,
 }
 ORACLE = {
     "op1_decontaminate": decontaminate.SQL,
+    "op10_url_filter": url_filter.SQL,
 }
