@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_text, url_filter
+from . import decontaminate, html_text, packing, toxicity, url_filter
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
+    "op5_packing": packing.query,
     "op7_html_text": html_text.query,
+    "op8_toxicity": toxicity.query,
     "op10_url_filter": url_filter.query,
 }
 ORACLE = {
