@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_text, packing, toxicity, url_filter
+from . import decontaminate, html_text, packing, substring_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
     "op5_packing": packing.query,
+    "op6_substring_dedup": substring_dedup.query,
     "op7_html_text": html_text.query,
     "op8_toxicity": toxicity.query,
     "op10_url_filter": url_filter.query,
 }
 ORACLE = {
     "op1_decontaminate": decontaminate.SQL,
+    "op6_substring_dedup": substring_dedup.SQL,
     "op10_url_filter": url_filter.SQL,
 }
