@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_text, packing, substring_dedup, toxicity, url_filter
+from . import decontaminate, html_text, jaccard_join, packing, substring_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
+    "op4_jaccard_join": jaccard_join.query,
     "op5_packing": packing.query,
     "op6_substring_dedup": substring_dedup.query,
     "op7_html_text": html_text.query,
@@ -14,6 +15,7 @@ QUERIES = {
 }
 ORACLE = {
     "op1_decontaminate": decontaminate.SQL,
+    "op4_jaccard_join": jaccard_join.SQL,
     "op6_substring_dedup": substring_dedup.SQL,
     "op10_url_filter": url_filter.SQL,
 }

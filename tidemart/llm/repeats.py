@@ -61,13 +61,15 @@ def _settle(batches):
     if held:
         h, doc, tie, tag = (np.concatenate(x) for x in zip(*held))
         held.clear()
-        order = np.argsort(h, kind="stable")
+        order = np.lexsort((tag, tie, doc, h))
         h, doc, tie, tag = h[order], doc[order], tie[order], tag[order]
         head = np.ones(len(h), bool)
         head[1:] = h[1:] != h[:-1]
+        other = head.copy()  # an owner may come from several tasks: copies of one text
+        other[1:] |= (doc[1:] != doc[:-1]) | (tie[1:] != tie[:-1])
         group = np.cumsum(head) - 1
-        several = (np.bincount(group, 1 + tag) > 1)[group] if len(h) else np.zeros(0, bool)
-        at = several & (tag == 0)
+        several = (np.bincount(group, other + 2 * tag) > 1)[group] if len(h) else np.zeros(0, bool)
+        at = several & other & (tag == 0)
         for a in range(0, int(at.sum()), 1 << 18):
             part = np.flatnonzero(at)[a: a + (1 << 18)]
             yield pa.RecordBatch.from_arrays([pa.array(x[part]) for x in (doc, tie, h)], schema=out)
