@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_text, jaccard_join, packing, substring_dedup, toxicity, url_filter
+from . import ann_forest, decontaminate, html_text, jaccard_join, packing, substring_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
+    "op2_ann_forest": ann_forest.query,
     "op4_jaccard_join": jaccard_join.query,
     "op5_packing": packing.query,
     "op6_substring_dedup": substring_dedup.query,
