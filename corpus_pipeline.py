@@ -1,8 +1,70 @@
-"""Training-data pipeline (stages follow as their operators land)."""
+"""Training-data pipeline over ``documents``: what is toxic, repeated or leaked goes, the rest is packed.
 
-STAGES = []
+``STAGES`` are (name, function) pairs; each function takes (spark, docs, sf_dir) and returns
+a DataFrame that is written as Parquet and read again as the next one's ``docs``.  All but
+the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+import os
+import sys
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from tidemart.llm import decontaminate, jaccard_join, line_dedup, packing, toxicity  # noqa: E402
+from tidemart.llm.frames import materialise, read  # noqa: E402
+
+
+def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, learned from the labelled ones among ``docs``, does not reject."""
+    return toxicity.remove(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines of which an occurrence stays elsewhere; n_chars follows the text."""
+    cleaned = line_dedup.clean(docs)
+    if "n_chars" in cleaned.columns:
+        kind = cleaned.schema["n_chars"].dataType
+        cleaned = cleaned.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars"))
+                                     .otherwise(F.char_length("text").cast(kind)))
+    return cleaned
+
+
+def join_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of near-duplicates."""
+    return jaccard_join.keep_first(docs)
+
+
+def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate.remove(docs, read(spark, sf_dir, "benchmark"))
+
+
+def pack_batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces with their text, in token-budget batches of optimal length buckets."""
+    return packing.pack(docs, with_text=True)
+
+
+STAGES = [
+    ("toxicity", remove_toxic),
+    ("line dedup", dedup_lines),
+    ("n-gram Jaccard join", join_near),
+    ("benchmark decontamination", remove_leaks),
+    ("packing", pack_batches),
+]
+
+#: SQL cannot express the stages: a trained classifier, SimHash candidates, dynamic programming
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written to the shared folder and read again."""
+    docs = read(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = materialise(docs)
+    return docs

@@ -30,9 +30,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .components import components
 from .frames import materialise, read, shuffle_partitions
 from .repeats import LOCAL_SCHEMA, local_rows, repeated, signed
+from .stars import grouped_components
 from .substring_dedup import keyed, _NO_ID
 from .words import mix, scan, slices, whitespace_table, windows
 
@@ -40,9 +40,7 @@ K = 5
 PERCENT = 80
 SKETCH = 18          # log2 of the counters of the frequency sketch
 CHUNK = 1 << 12      # counters in one row of the sketch
-GROUP = 500          # sets that meet one pivot in one task
 MAX_IDS = 2_000_000  # ids of candidate documents that may be broadcast
-STARS = 2            # rounds of stars before the last round
 SETS_SCHEMA = "doc long, tie long, n_shingles long, c1 long, c2 long"
 
 
@@ -168,7 +166,7 @@ def _prefixes(k: int, percent: int, shared):
 
 
 def _sets(k: int, shared):
-    """node, n, and the set as big-endian codes in the order frequent first."""
+    """node, and its set as big-endian codes in the order frequent first."""
     def run(batches):
         levels = shared.value
         for batch in batches:
@@ -179,9 +177,9 @@ def _sets(k: int, shared):
                 code = code[order].astype(">u8")
                 ends = np.cumsum(sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("node"), pa.array(sizes, pa.int64()),
+                    [part.column("node"),
                      pa.array([code[b - n: b].tobytes() for b, n in zip(ends, sizes)], pa.binary())],
-                    names=["node", "n", "shingles"])
+                    names=["node", "content"])
     return run
 
 
@@ -225,33 +223,14 @@ def trie_join(probe: np.ndarray, sets: list[np.ndarray], percent: int, step: int
     return found
 
 
-def _verify(percent: int):
-    """Cogrouped by (pivot, salt): links of the pivot with the sets sent to it."""
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        if left.num_rows and right.num_rows:
-            probe = np.frombuffer(left.column("shingles")[0].as_py(), ">u8").astype(np.uint64)
-            pairs = sorted(zip(right.column("other").to_pylist(), right.column("node").to_pylist()))
-            sets = [np.frombuffer(x, ">u8").astype(np.uint64) for x, _ in pairs]
-            out = [pairs[i][1] for i in trie_join(probe, sets, percent)]
-        pivot = left.column("pivot")[0].as_py() if left.num_rows else None
-        return pa.table({"u": pa.array([pivot] * len(out), pa.int64()), "v": pa.array(out, pa.int64())})
+def _links(percent: int):
+    """Nodes of the sorted candidate sets that link with a set, by one walk of their trie."""
+    def run(own: bytes, candidates: list[tuple[bytes, int]]) -> list[int]:
+        sets = [np.frombuffer(x, ">u8").astype(np.uint64) for x, _ in candidates]
+        return [candidates[i][1] for i in trie_join(np.frombuffer(own, ">u8").astype(np.uint64), sets, percent)]
     return run
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) among candidate pairs (pivot, node)."""
-    load = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / GROUP).cast("long").alias("_salts"))
-    salted = (pairs.join(load, "pivot")
-              .select("pivot", "node", F.pmod(F.xxhash64("node"), F.col("_salts")).alias("salt")))
-    sent = (salted.join(sets, "node")
-            .select(F.col("pivot").alias("to"), F.col("salt").alias("part"), "node", F.col("shingles").alias("other")))
-    probes = (load.select("pivot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)).alias("salt"))
-              .join(sets.select(F.col("node").alias("pivot"), "shingles"), "pivot"))
-    return (probes.groupBy("pivot", "salt").cogroup(sent.groupBy("to", "part"))
-            .applyInArrow(_verify(percent), "u long, v long"))
-
-
 def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = K, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every row."""
     base = keyed(docs, doc_id, text)
@@ -286,37 +265,14 @@ def link_keyed(base: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[Dat
     ids = prefixes.select("rep.doc", "rep.tie", "node")
     few = prefixes.count() <= MAX_IDS
     texts = base.join(F.broadcast(ids) if few else ids, ["doc", "tie"])
-    sets = materialise(texts.mapInArrow(_sets(k, levels), "node long, n long, shingles binary").dropDuplicates(["node"]))
-    index = prefixes.select("node", "n", F.explode("codes").alias("h"))
-    links, comp = None, None
-    for turn in range(STARS + 1):
-        if comp is None:
-            known = index.withColumn("component", F.col("node"))
-        else:
-            known = (index.join(comp, "node", "left")
-                     .withColumn("component", F.coalesce("component", "node")))
-        if turn < STARS:
-            order = F.struct(F.xxhash64(F.col("node") if turn == 0 else F.col("node") + F.lit(turn)), "node", "n", "component")
-            pivots = (known.groupBy("h").agg(F.min(order).alias("p"), F.min("component").alias("a"), F.max("component").alias("b"))
-                      .filter("a != b").select("h", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"),
-                                               F.col("p.component").alias("pc")))
-            pairs = known.join(pivots, "h").filter("component != pc")
-        else:
-            mixed = known.groupBy("h").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a != b").select("h")
-            left = known.join(mixed, "h")
-            pairs = left.join(left.select("h", F.col("node").alias("pivot"), F.col("n").alias("pn"),
-                                          F.col("component").alias("pc")), "h").filter("component < pc")
-        fits = (F.col("n") * 100 >= F.col("pn") * percent) & (F.col("pn") * 100 >= F.col("n") * percent)
-        pairs = materialise(pairs.filter(fits).select("pivot", "node").distinct())
-        if pairs.isEmpty():
-            if turn >= STARS or comp is not None or turn == 0:
-                break
-            continue
-        new = materialise(verified(pairs, sets, percent))
-        links = new if links is None else links.unionByName(new)
-        comp = materialise(components(links))
-    if comp is None:
-        comp = spark.createDataFrame([], "node long, component long")
+    sets = materialise(texts.mapInArrow(_sets(k, levels), "node long, content binary").dropDuplicates(["node"]))
+    index = prefixes.select(F.explode("codes").alias("key"), "node", "n")
+
+    def fits(a: str, b: str):
+        m, n = F.col(f"{a}.n") * 100, F.col(f"{b}.n") * 100
+        return (m >= F.col(f"{b}.n") * percent) & (n >= F.col(f"{a}.n") * percent)
+
+    comp = grouped_components(index, sets, _links(percent), fits, ["n"])
     named = classes.select("c1", "c2", name.alias("_node"))
     members = (members.join(named, ["c1", "c2"], "left")
                .withColumn("own", F.when(F.col("tie") == 0, F.col("doc")).otherwise(F.xxhash64("doc", "tie")))
@@ -325,6 +281,25 @@ def link_keyed(base: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[Dat
     return members, comp
 
 
+def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = K, percent: int = PERCENT) -> DataFrame:
+    """Rows of ``docs`` that are the first of their component, or link with nothing.
+
+    First is the smallest id (NULL before all); of rows that repeat id and text one stays.
+    """
+    members, comp = link_keyed(keyed(docs, doc_id, text), k, percent)
+    named = members.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    kept = named.groupBy("component").agg(F.min(F.struct("doc", "tie")).alias("first"))
+    gone = (named.join(kept, "component").filter("n_shingles > 0 AND struct(doc, tie) != first")
+            .select(F.col("doc").alias("_doc"), F.col("tie").alias("_tie")).distinct())
+    doc = F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID))
+    same = (F.col("_tie") == 0) | (F.col("_tie") == F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    gone = materialise(gone)
+    few = gone.count() <= MAX_IDS
+    left = docs.join(F.broadcast(gone) if few else gone, (doc == F.col("_doc")) & same, "left_anti")
+    repeats = not members.filter("tie != 0").isEmpty()
+    return left.dropDuplicates([doc_id, text]) if repeats else left
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return link(read(spark, sf_dir, "documents"))
 

@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from . import ann_forest, decontaminate, html_text, jaccard_join, packing, substring_dedup, toxicity, url_filter
+from . import ann_forest, decontaminate, html_text, jaccard_join, license_scan, line_dedup, packing, substring_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
     "op2_ann_forest": ann_forest.query,
+    "op3_line_dedup": line_dedup.query,
     "op4_jaccard_join": jaccard_join.query,
     "op5_packing": packing.query,
     "op6_substring_dedup": substring_dedup.query,
     "op7_html_text": html_text.query,
     "op8_toxicity": toxicity.query,
+    "op9_license_scan": license_scan.query,
     "op10_url_filter": url_filter.query,
 }
 ORACLE = {
     "op1_decontaminate": decontaminate.SQL,
     "op4_jaccard_join": jaccard_join.SQL,
     "op6_substring_dedup": substring_dedup.SQL,
+    "op9_license_scan": license_scan.SQL,
     "op10_url_filter": url_filter.SQL,
 }

@@ -101,11 +101,18 @@ def _hash_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mix((sums[end] - sums[start]) * down[start])
 
 
-def scan(column, word: np.ndarray, lower: bool) -> Words:
-    """All words of a string column: ``word`` says which bytes belong to words."""
+def scan(column, word: np.ndarray, lower: bool, zeros: bool = False) -> Words:
+    """All words of a string column: ``word`` says which bytes belong to words.
+
+    ``lower``: A-Z count as a-z; ``zeros``: every digit counts as 0.
+    """
     data, offsets = utf8(column)
     if lower:
         data = lower_ascii(data)
+    if zeros:
+        table = np.arange(256, dtype=np.uint8)
+        table[48:58] = 48
+        data = table[data]
     hashes, starts, ends = [], [], []
     at, total = 0, len(data)
     bounds = np.unique(offsets)  # a word never runs across two rows
