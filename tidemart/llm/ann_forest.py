@@ -86,7 +86,7 @@ def grow(sample: np.ndarray, trees: int, leaf: int, seed: int = SEED) -> Forest:
             else:
                 (left if side == 0 else right)[parent] = here
     dims = sample.shape[1] if sample.ndim == 2 else 0
-    return Forest(np.array(planes, np.float64).reshape(-1, dims), np.array(cuts), np.array(left, np.int64),
+    return Forest(np.array(planes, np.float64).reshape(len(planes), dims), np.array(cuts), np.array(left, np.int64),
                   np.array(right, np.int64), np.array(roots, np.int64), leaves)
 
 

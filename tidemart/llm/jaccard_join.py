@@ -85,7 +85,7 @@ def _class_of(row, h, sizes) -> tuple[np.ndarray, np.ndarray]:
     first = np.concatenate([[0], np.cumsum(sizes)])
     out = []
     for salt in (1, 2):
-        sums = np.concatenate([[0], np.cumsum(mix(h + np.uint64(salt)))]).astype(np.uint64)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h + np.uint64(salt)))])
         out.append(signed(mix(sums[first[1:]] - sums[first[:-1]] + sizes.astype(np.uint64))))
     return out[0], out[1]
 

@@ -67,6 +67,8 @@ def grouped_components(index: DataFrame, contents: DataFrame, links: Callable,
             pairs = ends.join(ends.select("key", F.col("x").alias("p")), "key").filter("x.component < p.component")
         pairs = materialise(pairs.filter(fits("x", "p")).select(F.col("p.node").alias("pivot"), F.col("x.node").alias("node"))
                             .distinct())
+        if pairs.isEmpty():
+            continue
         new = materialise(verified(pairs, contents, links))
         if new.isEmpty():
             continue
