@@ -122,10 +122,9 @@ def test_ingest_gridded_month(spark, scratch):
         [(1993, 1, 0.0, [10.0, 10.05], [300.15, float("nan")], [0.0, 0.5]),
          (1993, 1, 0.05, [10.0, 10.05], [float("nan"), 301.15], [float("nan"), float("nan")])],
         "year int, month int, latitude double, lon array<double>, sst array<double>, ice array<double>")
-    sst = grid_flatten(rows, "sst", "sst_celsius", lon_axis_col="lon", keep=["year", "month", "latitude"])
-    ice = grid_flatten(rows, "ice", "sea_ice_fraction", lon_axis_col="lon",
-                       keep=["year", "month", "latitude"])
-    both = sst.join(ice, ["year", "month", "latitude", "longitude"])
+    both = grid_flatten(rows, ["sst", "ice"], ["sst_celsius", "sea_ice_fraction"], lon_axis_col="lon",
+                        keep=["year", "month", "latitude"])
+    assert "Join" not in both._jdf.queryExecution().optimizedPlan().toString()
     base = os.path.join(_tmp(scratch, "ingest"), "sst")
     ingest_month(spark, both, base, RAW_SST, "sst_celsius", "sst_celsius",
                  measures=["sst_celsius", "sea_ice_fraction"], kelvin=["sst_celsius"])
@@ -161,3 +160,81 @@ def test_pipeline_command_line(spark, scratch):
           "--end", "1993-12-31", "--prefix", prefix])
     rows = spark.table(f"{prefix}mart.monthly_global_trends").collect()
     assert [(r.month, r.grid_points) for r in rows] == [(3, 2)]
+
+
+def test_scan_lake_takes_whole_months(spark, scratch):
+    base = os.path.join(_tmp(scratch, "mid"), "sst")
+    months = [(1993, 11), (1993, 12), (1994, 1), (1994, 2), (1994, 3)]
+    write_lake_month(concat_months([_sst_month(spark, y, m, 1.0) for y, m in months]), base, RAW_SST)
+    got = scan_lake(spark, base, RAW_SST, "1993-11-15", "1994-02-02").select("year", "month").distinct().collect()
+    assert sorted((r.year, r.month) for r in got) == months[:4]
+
+
+def test_build_stages_the_months_it_loads_and_the_view_covers_the_lake(spark, scratch):
+    root = _tmp(scratch, "range")
+    layout = Layout(sla_lake=os.path.join(root, "sla"), sst_lake=os.path.join(root, "sst"),
+                    prefix="r" + os.path.basename(root).replace("-", "_")[-8:] + "_")
+    months = [(1993, 11), (1993, 12), (1994, 1)]
+    write_lake_month(concat_months([_sst_month(spark, y, m, 1.0) for y, m in months]), layout.sst_lake, RAW_SST)
+    write_lake_month(spark.createDataFrame([(y, m, la, lo, v) for y, m in months for (_, _, la, lo, v) in RAW_SLA_ROWS],
+                                           RAW_SLA), layout.sla_lake, RAW_SLA)
+    build(spark, layout, "1993-11-15", "1993-12-31")
+    build(spark, layout, "1994-01-01", "1994-01-31")
+    staged = spark.table(layout.staging_sst).select("year", "month").distinct().collect()
+    assert sorted((r.year, r.month) for r in staged) == months
+    marts_of = spark.table(layout.monthly).select("year", "month").collect()
+    assert sorted((r.year, r.month) for r in marts_of) == months[1:]  # the mart range is a plain date range
+    view = spark.table(f"{layout.prefix}staging_sea_level_anomaly").select("year", "month").distinct().collect()
+    assert sorted((r.year, r.month) for r in view) == months
+
+
+def test_bulk_load_of_lake_folders_keeps_their_months(spark, scratch):
+    from pyspark.errors import PySparkException
+    from tidemart.sources.tables import bulk_load_append
+    root = _tmp(scratch, "bulklake")
+    base = os.path.join(root, "sst")
+    write_lake_month(concat_months([_sst_month(spark, 1993, m, 1.0) for m in (1, 2)]), base, RAW_SST)
+    name = "lake_sst_" + os.path.basename(root).replace("-", "_")
+    bulk_load_append(spark, [f"{base}/year=1993/month={m}" for m in (1, 2)], RAW_SST, name, ["year", "month"])
+    got = spark.table(name).groupBy("year", "month").count().collect()
+    assert sorted(tuple(r) for r in got) == [(1993, 1, 5), (1993, 2, 5)]
+    bare = os.path.join(root, "bare")
+    _sst_month(spark, 1993, 1, 1.0).withColumn("month", F.lit(None).cast("int")).write.parquet(bare)
+    with pytest.raises(PySparkException, match="month is NULL"):
+        bulk_load_append(spark, [bare], RAW_SST, name)
+
+
+def test_writes_are_sized_by_month(spark, scratch):
+    import glob
+    rows = spark.range(0, 24_000, numPartitions=16).selectExpr(
+        "1993 as year", "case when id % 2 = 0 then 1 else cast(id % 12 as int) + 1 end as month",
+        "cast(id % 700 as double) / 8 as latitude", "cast(id as double) / 100 as longitude",
+        "rand(1) as sst_celsius", "rand(2) as sea_ice_fraction")
+    base = os.path.join(_tmp(scratch, "sized"), "sst")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
+        write_lake_month(rows, base, RAW_SST)
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    files = {m: len(glob.glob(f"{base}/year=1993/month={m}/*.parquet")) for m in range(1, 13)}
+    assert files[1] > 2 and all(1 <= files[m] <= 2 for m in range(2, 13) if files[m]), files
+    assert scan_lake(spark, base, RAW_SST).count() == 24_000
+
+
+def test_delete_insert_refuses_a_table_without_dynamic_overwrite(spark, scratch):
+    name = "plain_" + os.path.basename(_tmp(scratch, "plain")).replace("-", "_")
+    spark.sql(f"CREATE TABLE {name} (a INT, year_month DATE) USING parquet PARTITIONED BY (year_month)")
+    with pytest.raises(ValueError, match="dynamic overwrite"):
+        delete_insert(spark, spark.table(name), name)
+
+
+def test_rows_without_coordinates_are_counted_and_dropped(spark):
+    from tidemart.sources.lake import coordinate_check, ingest_grid
+    rows = spark.createDataFrame([(1993, 1, 0.0, 1.0, 5.0), (1993, 1, float("nan"), 1.0, 5.0), (1993, 1, None, 1.0, 5.0),
+                                  (1993, 1, 2.0, float("inf"), 5.0)],
+                                 "year int, month int, latitude double, longitude double, sst_celsius double")
+    assert tuple(coordinate_check(rows).first()) == ("valid_coordinates", False, 3)
+    assert ingest_grid(rows, "sst_celsius", "sst_celsius").count() == 1

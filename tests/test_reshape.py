@@ -3,6 +3,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemart.functions.cells import GridSpec
@@ -120,3 +121,18 @@ def test_dense_raster_skips_cells_without_coordinates(spark):
                                "year_month date, latitude double, longitude double, sst_celsius double")
     r = reshape.dense_raster(df, "sst_celsius", SMALL).orderBy("lat_i").collect()
     assert len(r) == SMALL.n_lat and r[1]["values"][0] == 1.0
+
+
+def test_dense_raster_without_coordinates_leaves_every_other_cell_empty(spark):
+    grid = GridSpec(step=0.5, lat_min=0.0, lat_max=1.0, lon_min=10.0, lon_max=11.0)
+    obs = spark.createDataFrame([(None, 10.5, 1.0), (0.5, None, 2.0), (1.0, 10.0, 3.0)],
+                                "latitude double, longitude double, v double").withColumn("year_month", F.lit("m"))
+    rows = {r.lat_i: [None if math.isnan(x) else x for x in r["values"]] for r in reshape.dense_raster(obs, "v", grid).collect()}
+    assert rows == {0: [None] * 3, 1: [None] * 3, 2: [3.0, None, None]}
+
+
+def test_pivot_grid_refuses_a_cell_off_the_axis(spark):
+    for lon in (99.0, None):
+        df = spark.createDataFrame([(0.0, 10.0, 1.0), (0.0, lon, 2.0)], "latitude double, longitude double, v double")
+        with pytest.raises(PySparkException, match="off the axis"):
+            reshape.pivot_grid(df, "v", col_values=[10.0, 11.0]).collect()

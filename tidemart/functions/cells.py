@@ -1,7 +1,7 @@
 """Grid cells: snapping coordinates to a regular grid and raster indices.
 
 Snapping is ``ROUND(CAST(x AS DOUBLE) / step) * step`` with rounding half away from
-zero (Spark ``round`` on a double, like SQL ``ROUND``). Internally cells are keyed by
+zero, like SQL ``ROUND``. Internally cells are keyed by
 the integer ``round(x / step)`` so joins and groupings hash integers instead of
 doubles; the coordinate is rebuilt as ``index * step`` only at the output edge,
 which is bit-identical to the SQL expression (apart from -0.0, which becomes 0.0).
@@ -69,7 +69,7 @@ def snap_index(x, step: float = 0.25) -> Column:
 
 def snap(x, step: float = 0.25) -> Column:
     """Coordinate snapped to the grid: ``round(x / step) * step`` as DOUBLE."""
-    return F.round(_col(x).cast("double") / F.lit(float(step))) * F.lit(float(step))
+    return round_half_away(_col(x).cast("double") / F.lit(float(step))).cast("double") * F.lit(float(step))
 
 
 def cell_coordinate(idx, step: float = 0.25) -> Column:
@@ -78,10 +78,10 @@ def cell_coordinate(idx, step: float = 0.25) -> Column:
 
 
 def clip(x, lo, hi) -> Column:
-    """Bound ``x`` to ``[lo, hi]``."""
+    """Bound ``x`` to ``[lo, hi]``; NULL stays NULL (``greatest`` and ``least`` alone skip it)."""
     lo_c = lo if isinstance(lo, Column) else F.lit(lo)
     hi_c = hi if isinstance(hi, Column) else F.lit(hi)
-    return F.greatest(lo_c, F.least(hi_c, _col(x)))
+    return F.when(_col(x).isNotNull(), F.greatest(lo_c, F.least(hi_c, _col(x))))
 
 
 def cell_index(coord, origin: float, step: float, n: int) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tidemart.functions.calendar import month_date
 from tidemart.functions.cells import cell_coordinate
 from tidemart.functions.zones import decade, latitude_zone
-from tidemart.operators.joins import cell_join, raw_cell_join
+from tidemart.operators.joins import RAW_KEYS, cell_join
 from tidemart.operators.staging import filter_months
 
 
@@ -78,23 +78,42 @@ def decadal_means(monthly: DataFrame, edges=None, else_label: str | None = None)
                  F.avg("avg_sst_celsius").alias("avg_sst_celsius")))
 
 
+def _raw_averages(raw_sla: DataFrame, raw_sst: DataFrame, keys: list, names: list[str]) -> DataFrame:
+    """Averages over the join of the unsnapped raw tables, without making its rows.
+
+    Each side is first reduced to a sum, a count of non-NULL values and a row count per raw
+    key (map-side combined); joined keys are unique, and a key stands for rows x rows of the
+    full join: avg = sum(sum_a * rows_b) / sum(count_a * rows_b). Months that were appended
+    several times thus cost nothing more than their scan.
+    """
+    def side(df, measure, tag):
+        return (df.select(F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"),
+                          F.col("latitude").cast("double").alias("latitude"),
+                          F.col("longitude").cast("double").alias("longitude"), measure)
+                .groupBy(*RAW_KEYS)
+                .agg(F.sum(measure).alias(f"sum_{tag}"), F.count(measure).alias(f"n_{tag}"),
+                     F.count(F.lit(1)).alias(f"rows_{tag}")))
+    joined = side(raw_sla, "sea_level_anomaly_m", "a").hint("merge").join(
+        side(raw_sst, "sst_celsius", "b"), RAW_KEYS)
+
+    def average(own, other):
+        return F.try_divide(F.sum(F.col(f"sum_{own}") * F.col(f"rows_{other}")),
+                            F.sum(F.col(f"n_{own}") * F.col(f"rows_{other}")))
+    return joined.groupBy(*[k.alias(n) for k, n in zip(keys, names)]).agg(
+        average("a", "b").alias("avg_sla_m"), average("b", "a").alias("avg_sst_celsius"))
+
+
 def raw_monthly_trends(raw_sla: DataFrame, raw_sst: DataFrame) -> DataFrame:
-    """Join the unsnapped raw tables, then average per month."""
-    joined = raw_cell_join(raw_sla, raw_sst)
-    agg = joined.groupBy("year", "month").agg(
-        F.avg("sea_level_anomaly_m").alias("avg_sla_m"),
-        F.avg("sst_celsius").alias("avg_sst_celsius"))
+    """The averages per month over the join of the unsnapped raw tables."""
+    agg = _raw_averages(raw_sla, raw_sst, [F.col("year"), F.col("month")], ["year", "month"])
     return agg.select(month_date("year", "month").alias("year_month"),
                       "avg_sla_m", "avg_sst_celsius")
 
 
 def raw_zone_stats(raw_sla: DataFrame, raw_sst: DataFrame) -> DataFrame:
-    """Join the unsnapped raw tables, then average per month and zone."""
-    joined = raw_cell_join(raw_sla, raw_sst).withColumn(
-        "latitude_zone", latitude_zone(F.col("latitude")))
-    agg = joined.groupBy("year", "month", "latitude_zone").agg(
-        F.avg("sea_level_anomaly_m").alias("avg_sla_m"),
-        F.avg("sst_celsius").alias("avg_sst_celsius"))
+    """The averages per month and zone over the join of the unsnapped raw tables."""
+    agg = _raw_averages(raw_sla, raw_sst, [F.col("year"), F.col("month"), latitude_zone(F.col("latitude"))],
+                        ["year", "month", "latitude_zone"])
     return agg.select(month_date("year", "month").alias("year_month"), "latitude_zone",
                       "avg_sla_m", "avg_sst_celsius")
 

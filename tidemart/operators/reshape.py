@@ -79,11 +79,15 @@ def pivot_grid(df: DataFrame, value: str, row: str = "latitude", col: str = "lon
                col_values=None, strict: bool = True) -> DataFrame:
     """``row`` x ``col`` matrix, one column per ``col`` value (named by its string
     form). A duplicated (row, col) pair is an error when ``strict``. Passing
-    ``col_values`` (the grid axis) saves the extra job that discovers them."""
+    ``col_values`` (the grid axis) saves the extra job that discovers them; a cell off that
+    axis, or without a column value, is an error, as the pivot would drop it."""
     cell = F.first(F.col(value))
     if strict:
         cell = F.when(F.count(F.lit(1)) > 1,
                       F.raise_error(F.lit("pivot_grid: duplicate cell"))).otherwise(F.first(F.col(value)))
+    if col_values is not None:
+        off = F.raise_error(F.concat(F.lit("pivot_grid: cell off the axis at "), F.coalesce(F.col(col).cast("string"), F.lit("NULL"))))
+        df = df.withColumn(col, F.when(F.col(col).isin(list(col_values)), F.col(col)).otherwise(off.cast(df.schema[col].dataType)))
     grouped = df.groupBy(row)
     pivoted = grouped.pivot(col, list(col_values)) if col_values is not None else grouped.pivot(col)
     return pivoted.agg(cell)

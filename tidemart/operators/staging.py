@@ -39,6 +39,11 @@ def filter_months(df: DataFrame, start=None, end=None, col: str | None = None) -
     return df.where(cond)
 
 
+def month_floor(day) -> str | None:
+    """First day of the month of an ISO date (a load range covers whole months)."""
+    return None if day is None else f"{str(day)[:7]}-01"
+
+
 def _keyed(raw: DataFrame, step: float) -> DataFrame:
     return raw.select(
         F.col("year").cast("int").alias("year"),

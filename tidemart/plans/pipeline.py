@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 from tidemart.operators.marts import marts_from_partials, zone_partials
-from tidemart.operators.staging import filter_months, keyed_cells, public_cells, regrid_sst, stage_sla
+from tidemart.operators.staging import filter_months, keyed_cells, month_floor, public_cells, regrid_sst, stage_sla
 from tidemart.schemas import RAW_SLA, RAW_SST
 from tidemart.sources.lake import scan_lake
 from tidemart.session import ensure_checkpoint_dir
@@ -48,17 +48,20 @@ class Layout:
 
 
 def build(spark: SparkSession, layout: Layout, start: str, end: str) -> None:
-    """Rebuild staging SST and both marts for the months in ``[start, end]``."""
+    """Rebuild staging SST for the months of ``start`` to ``end`` (both whole), and both marts
+    for the months whose first day lies in ``[start, end]``."""
     create_tables(spark, layout.prefix)
 
     raw_sst = scan_lake(spark, layout.sst_lake, RAW_SST, start, end)
     delete_insert(spark, public_cells(regrid_sst(raw_sst)), layout.staging_sst)
 
-    staged_sst = keyed_cells(filter_months(spark.table(layout.staging_sst), start, end,
+    staged_sst = keyed_cells(filter_months(spark.table(layout.staging_sst), month_floor(start), month_floor(end),
                                            col="year_month"))  # partition-pruned read
     raw_sla = scan_lake(spark, layout.sla_lake, RAW_SLA, start, end)
     sla = stage_sla(raw_sla)
-    create_view(public_cells(sla), f"{layout.prefix.replace('.', '_')}staging_sea_level_anomaly")
+    # the published view covers the whole lake, whatever range is rebuilt
+    every_sla = stage_sla(scan_lake(spark, layout.sla_lake, RAW_SLA))
+    create_view(public_cells(every_sla), f"{layout.prefix.replace('.', '_')}staging_sea_level_anomaly")
 
     ensure_checkpoint_dir(spark)
     partials = zone_partials(sla, staged_sst, start, end).checkpoint(eager=True)

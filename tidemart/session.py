@@ -51,21 +51,23 @@ def get_session(master: str | None = None, app_name: str = "tidemart",
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting must point at shared storage and is only read here; if
-    it is unset there, this raises. In local mode (tests) a fresh folder is created
-    (``fallback`` or a new temp dir) and registered with the SparkContext.
+    On a cluster the setting must point at shared storage and is only read here; if it is
+    unset there, this raises, also when a ``fallback`` is given. In local mode (tests) the
+    folder that the context already has is kept, or else ``fallback`` or a fresh folder is
+    registered with it.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured
-    if fallback is None and not sc.master.startswith("local"):
+    if not sc.master.split("[")[0] == "local":
         raise ValueError("spark.checkpoint.dir is not set: point it at a shared folder "
                          "(a machine-local folder is not readable after executor loss)")
+    if sc.getCheckpointDir() is not None:
+        return sc.getCheckpointDir()
     path = fallback or tempfile.mkdtemp(prefix="tidemart-ckpt-")
     os.makedirs(path, exist_ok=True)
-    spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
     return path

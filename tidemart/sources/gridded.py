@@ -39,20 +39,33 @@ def split_rows(df: DataFrame, grid_col: str, lat_axis_col: str, keep: list[str])
                       "values"))
 
 
-def grid_flatten(df: DataFrame, values_col: str, value_name: str, *, lon_axis_col: str | None = None,
-                 lon_min: float | None = None, step: float | None = None,
+def grid_flatten(df: DataFrame, values_col: str | list[str], value_name: str | list[str], *,
+                 lon_axis_col: str | None = None, lon_min: float | None = None, step: float | None = None,
                  keep: list[str] | None = None) -> DataFrame:
-    """One output row per array element: ``(keep..., longitude, value_name)``.
+    """One output row per array element: ``(keep..., longitude, value_name...)``.
 
-    The longitude comes from ``lon_axis_col`` (an ``array<double>`` axis, looked up by
-    position) or from ``lon_min + pos * step``. NaN values are kept, so the caller
-    decides how to treat missing cells (see ``functions.cleaning.drop_missing``).
+    Several variables of one grid are given as lists; their arrays are zipped and exploded
+    once, so no join brings them together again (a shorter array is filled with NULL). The
+    longitude comes from ``lon_axis_col`` (an ``array<double>`` axis, looked up by position)
+    or from ``lon_min + pos * step``. NaN values are kept, so the caller decides how to treat
+    missing cells (see ``functions.cleaning.drop_missing``).
     """
+    arrays = [values_col] if isinstance(values_col, str) else list(values_col)
+    names = [value_name] if isinstance(value_name, str) else list(value_name)
+    if len(arrays) != len(names):
+        raise ValueError("grid_flatten: one name per variable")
     keep = list(keep or [])
     extra = [lon_axis_col] if lon_axis_col else []
-    exploded = df.select(*keep, *extra, F.posexplode(values_col).alias("_pos", value_name))
+    if len(arrays) == 1:
+        exploded = df.select(*keep, *extra, F.posexplode(arrays[0]).alias("_pos", names[0]))
+    else:
+        zipped = F.arrays_zip(*[F.col(a).alias(f"_v{i}") for i, a in enumerate(arrays)])
+        cells = df.select(*keep, *extra, F.posexplode(zipped).alias("_pos", "_cell"))
+        fields = [f.name for f in cells.schema["_cell"].dataType.fields]
+        exploded = cells.select(*keep, *extra, "_pos",
+                                *[F.col("_cell").getField(f).alias(n) for f, n in zip(fields, names)])
     if lon_axis_col:
         lon = F.element_at(F.col(lon_axis_col), F.col("_pos") + 1)
     else:
         lon = F.lit(float(lon_min)) + F.col("_pos").cast("double") * F.lit(float(step))
-    return exploded.select(*keep, lon.cast("double").alias("longitude"), value_name)
+    return exploded.select(*keep, lon.cast("double").alias("longitude"), *names)

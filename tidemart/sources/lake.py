@@ -18,15 +18,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.functions.cleaning import drop_missing
-from tidemart.operators.staging import filter_months
+from tidemart.operators.staging import filter_months, month_floor
 
 PARTITION_COLS = ["year", "month"]
 
 
 def scan_lake(spark: SparkSession, base: str, schema: T.StructType, start=None, end=None) -> DataFrame:
-    """Read the lake (declared schema, no inference), optionally one month range."""
+    """Read the lake (declared schema, no inference), optionally one month range.
+
+    The range names days; both ends are taken back to the first of their month, so the
+    months of ``start`` and of ``end`` are read whole."""
     df = spark.read.schema(schema).option("basePath", base).parquet(base)
-    return filter_months(df, start, end)
+    return filter_months(df, month_floor(start), month_floor(end))
 
 
 def scan_paths(spark: SparkSession, paths: list[str], schema: T.StructType,
@@ -43,41 +46,64 @@ def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def _sized(df: DataFrame, range_partitions: int | None) -> DataFrame:
+    """Rows by month, ordered by latitude and longitude inside each task.
+
+    By default the rows are rebalanced on the month: adaptive execution puts small months
+    together into few files and splits a month that outgrows the advisory partition size
+    over several tasks. With ``range_partitions`` they are range partitioned on (year, month,
+    latitude) instead, so each file covers a latitude band of a month."""
+    if range_partitions:
+        df = df.repartitionByRange(range_partitions, *PARTITION_COLS, "latitude")
+    else:
+        df = df.hint("rebalance", *PARTITION_COLS)
+    return df.sortWithinPartitions(*PARTITION_COLS, "latitude", "longitude")
+
+
 def write_lake_month(df: DataFrame, base: str, schema: T.StructType | None = None,
                      range_partitions: int | None = None) -> None:
-    """S3: write the frame's months, replacing those months only.
-
-    Rows are sorted by (year, month, latitude, longitude) inside each task so every
-    file covers a contiguous latitude band and its row-group statistics prune
-    point and band lookups. With ``range_partitions`` the rows are first range
-    partitioned on (year, month, latitude): each task then writes one latitude band
-    of one month — few, well-sized files, and a huge month is split over many tasks
-    instead of landing in one (no skew from a month holding most of the rows).
-    """
+    """S3: write the frame's months, replacing those months only, in files sized by
+    :func:`_sized`; row-group statistics of the sorted files prune point and band lookups."""
     out = _conform(df, schema) if schema is not None else df
-    if range_partitions:
-        out = out.repartitionByRange(range_partitions, *PARTITION_COLS, "latitude")
-    (out.sortWithinPartitions(*PARTITION_COLS, "latitude", "longitude")
+    (_sized(out, range_partitions)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITION_COLS)
         .parquet(base))
 
 
-def append_lake(df: DataFrame, base: str, schema: T.StructType | None = None) -> None:
+def append_lake(df: DataFrame, base: str, schema: T.StructType | None = None,
+                range_partitions: int | None = None) -> None:
     """S2/S4 on the lake: append the frame's rows."""
     out = _conform(df, schema) if schema is not None else df
-    (out.sortWithinPartitions(*PARTITION_COLS, "latitude", "longitude")
+    (_sized(out, range_partitions)
         .write.mode("append").partitionBy(*PARTITION_COLS).parquet(base))
 
 
+def valid_coordinates():
+    """Condition: latitude and longitude are set and finite."""
+    def finite(c):
+        x = F.col(c).cast("double")
+        return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
+    return finite("latitude") & finite("longitude")
+
+
+def coordinate_check(rows: DataFrame) -> DataFrame:
+    """Quality row ``check, passed, violations``: observations without finite coordinates."""
+    n = F.count_if(~valid_coordinates())
+    return rows.agg(n.alias("_v")).select(
+        F.lit("valid_coordinates").alias("check"), (F.col("_v") == 0).alias("passed"),
+        F.col("_v").cast("long").alias("violations"))
+
+
 def ingest_grid(rows: DataFrame, measure: str, primary: str, *, measures: list[str] | None = None,
                 kelvin: list[str] | None = None) -> DataFrame:
     """Cleaned observations from long grid rows (the output of ``grid_flatten``):
     kelvin measures converted to celsius, NaN -> NULL on every measure, rows with a
-    missing primary measure dropped."""
+    missing primary measure dropped. Rows without finite coordinates have no cell and are
+    dropped too; :func:`coordinate_check` counts them."""
     from tidemart.functions.units import kelvin_to_celsius
-    out = rows
+    out = rows.where(valid_coordinates())
     for k in kelvin or []:
         out = out.withColumn(k, kelvin_to_celsius(k))
     return drop_missing(out, primary, measures or [measure])

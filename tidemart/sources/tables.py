@@ -5,9 +5,8 @@
   property and applied as a sort inside each written partition (Spark does not
   accept ``PARTITIONED BY`` together with ``CLUSTER BY``).
 * :func:`delete_insert` (S5) — replace every ``year_month`` present in the new
-  result, keep all other months; an empty result changes nothing. ``insertInto``
-  ignores the writer option for dynamic overwrite, so the *session* setting is
-  switched around the write and restored afterwards.
+  result, keep all other months; an empty result changes nothing. Dynamic
+  overwrite is an option of the table, so no session setting is switched around a write.
 * :func:`append_table` (S4), :func:`create_view` (S6), :func:`read_table` (S9),
   :func:`ctas_temp` (S11).
 
@@ -23,7 +22,7 @@ from pyspark.sql import types as T
 
 from tidemart.schemas import TABLES
 
-_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+_OVERWRITE_OPTION = "partitionOverwriteMode"
 
 
 def _ddl_type(dt: T.DataType) -> str:
@@ -40,7 +39,7 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, partition
     if cluster_cols:
         props = f" TBLPROPERTIES ('tidemart.cluster_by' = '{','.join(cluster_cols)}')"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
-              f"PARTITIONED BY ({partition_col}){props}")
+              f"OPTIONS ('{_OVERWRITE_OPTION}' = 'dynamic') PARTITIONED BY ({partition_col}){props}")
 
 
 def create_tables(spark: SparkSession, prefix: str = "") -> None:
@@ -61,23 +60,26 @@ def _aligned(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
     target = spark.table(table).schema
     out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
     cluster = _cluster_cols(spark, table)
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if parts:
+        # few files per month; adaptive execution splits a month that outgrows a partition
+        out = out.hint("rebalance", *parts)
     if not cluster:
         return out
     # the writer needs rows ordered by the partition column; leading with it satisfies
     # that requirement, so no second sort reorders the clustered rows
-    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     return out.sortWithinPartitions(*parts, *[c for c in cluster if c not in parts])
 
 
 def delete_insert(spark: SparkSession, df: DataFrame, table: str) -> None:
-    """Replace the months (partitions) present in ``df``; keep the others."""
-    aligned = _aligned(spark, df, table)
-    previous = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, "dynamic")
-    try:
-        aligned.write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(_OVERWRITE_MODE, previous)
+    """Replace the months (partitions) present in ``df``; keep the others.
+
+    The table itself asks for dynamic overwrite (see :func:`create_table`); a table that
+    does not is refused, as the write would delete its other months."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Storage Properties'").collect()
+    if not any(f"{_OVERWRITE_OPTION}=dynamic" in r["data_type"] for r in described):
+        raise ValueError(f"delete_insert: {table} was not made by create_table with dynamic overwrite")
+    _aligned(spark, df, table).write.insertInto(table, overwrite=True)
 
 
 def append_table(spark: SparkSession, df: DataFrame, table: str) -> None:
@@ -88,8 +90,21 @@ def append_table(spark: SparkSession, df: DataFrame, table: str) -> None:
 def bulk_load_append(spark: SparkSession, paths: list[str], schema: T.StructType, table: str,
                      partition_cols: list[str] | None = None) -> None:
     """Load month files (Parquet) into a table with append semantics, without the
-    data passing through the driver; the table is created on first use."""
-    df = spark.read.schema(schema).parquet(*paths)
+    data passing through the driver; the table is created on first use.
+
+    Folders of a partitioned lake (``.../year=Y/month=M``) get their partition values from
+    the path. A NULL in a partition column of the schema fails the load."""
+    reader = spark.read.schema(schema)
+    bases = {p.split("/year=", 1)[0] for p in paths if "/year=" in p}
+    if len(bases) > 1:
+        raise ValueError(f"bulk_load_append: paths of several lakes: {sorted(bases)}")
+    if bases:
+        reader = reader.option("basePath", bases.pop())
+    df = reader.parquet(*paths)
+    for c in ("year", "month", "year_month"):
+        if c in df.columns:
+            lost = F.raise_error(F.lit(f"bulk_load_append: {c} is NULL")).cast(df.schema[c].dataType)
+            df = df.withColumn(c, F.coalesce(F.col(c), lost))
     if not spark.catalog.tableExists(table):
         writer = df.write.format("parquet")
         if partition_cols:
