@@ -11,8 +11,9 @@ link when ``PERCENT`` or more per cent of the shingles of both are shared.
    few left have no link.
 3. Classes that share a prefix shingle are candidates.  Rounds of stars compare every class
    of such a group with one pivot; what links becomes a component.  A last round compares
-   all pairs of a group that lie in different components, so no link between components is
-   missed and no pair inside one is listed.
+   all pairs of a group that lie in different components, by their sizes and parity bits
+   (bounds that no link breaks), so no link between components is missed and no pair inside
+   one is listed (``stars``).
 4. The sets that meet a pivot are verified in a trie: sorted in the global order (frequent
    shingles first), sets share the overlap counted for their common prefix, and a subtree
    is left as soon as the shingles that remain cannot reach the overlap needed.
@@ -39,6 +40,7 @@ from .words import mix, scan, slices, whitespace_table, windows
 K = 5
 PERCENT = 80
 SKETCH = 18          # log2 of the counters of the frequency sketch
+PARITIES = 512       # bits of a set's parities
 CHUNK = 1 << 12      # counters in one row of the sketch
 MAX_IDS = 2_000_000  # ids of candidate documents that may be broadcast
 SETS_SCHEMA = "doc long, tie long, n_shingles long, c1 long, c2 long"
@@ -166,7 +168,7 @@ def _prefixes(k: int, percent: int, shared):
 
 
 def _sets(k: int, shared):
-    """node, and its set as big-endian codes in the order frequent first."""
+    """node, its set as big-endian codes in the order frequent first, and its parities."""
     def run(batches):
         levels = shared.value
         for batch in batches:
@@ -178,8 +180,9 @@ def _sets(k: int, shared):
                 ends = np.cumsum(sizes)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("node"),
-                     pa.array([code[b - n: b].tobytes() for b, n in zip(ends, sizes)], pa.binary())],
-                    names=["node", "content"])
+                     pa.array([code[b - n: b].tobytes() for b, n in zip(ends, sizes)], pa.binary()),
+                     pa.array([x.tobytes() for x in parities(row, h, len(sizes))], pa.binary())],
+                    names=["node", "content", "sketch"])
     return run
 
 
@@ -223,6 +226,28 @@ def trie_join(probe: np.ndarray, sets: list[np.ndarray], percent: int, step: int
     return found
 
 
+def parities(row: np.ndarray, h: np.ndarray, rows: int) -> np.ndarray:
+    """(rows, PARITIES / 64) bits: whether an odd number of a set's shingles falls on each bit."""
+    odd = np.bincount(row * PARITIES + (mix(h + np.uint64(5)) % np.uint64(PARITIES)).astype(np.int64),
+                      minlength=rows * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(rows, PARITIES), axis=1).view(np.uint64)
+
+
+def _close(percent: int):
+    """Bounds that linked sets keep: on their sizes, and on the shingles only one of them has.
+
+    Each shingle of one set alone flips one parity, so parities that differ are not more.
+    """
+    def run(a: dict, b: dict) -> np.ndarray:
+        m, n = a["n"].astype(np.int64), b["n"].astype(np.int64)
+        fit = (100 * m >= percent * n) & (100 * n >= percent * m)
+        at = np.flatnonzero(fit)
+        differ = np.bitwise_count(a["sketch"][at] ^ b["sketch"][at]).sum(axis=1, dtype=np.int64)
+        fit[at] = differ * (100 + percent) <= (100 - percent) * (m[at] + n[at])
+        return fit
+    return run
+
+
 def _links(percent: int):
     """Nodes of the sorted candidate sets that link with a set, by one walk of their trie."""
     def run(own: bytes, candidates: list[tuple[bytes, int]]) -> list[int]:
@@ -236,7 +261,7 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = K
     base = keyed(docs, doc_id, text)
     members, comp = link_keyed(base, k, percent)
     # a component is named by its smallest id
-    named = members.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = materialise(members.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node")))
     least = named.groupBy("component").agg(F.min("doc").alias("least"))
     return (named.join(least, "component")
             .select(F.when(F.col("doc") != _NO_ID, F.col("doc")).alias("doc_id"), "n_shingles",
@@ -265,14 +290,9 @@ def link_keyed(base: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[Dat
     ids = prefixes.select("rep.doc", "rep.tie", "node")
     few = prefixes.count() <= MAX_IDS
     texts = base.join(F.broadcast(ids) if few else ids, ["doc", "tie"])
-    sets = materialise(texts.mapInArrow(_sets(k, levels), "node long, content binary").dropDuplicates(["node"]))
-    index = prefixes.select(F.explode("codes").alias("key"), "node", "n")
-
-    def fits(a: str, b: str):
-        m, n = F.col(f"{a}.n") * 100, F.col(f"{b}.n") * 100
-        return (m >= F.col(f"{b}.n") * percent) & (n >= F.col(f"{a}.n") * percent)
-
-    comp = grouped_components(index, sets, _links(percent), fits, ["n"])
+    sets = materialise(texts.mapInArrow(_sets(k, levels), "node long, content binary, sketch binary").dropDuplicates(["node"]))
+    index = materialise(prefixes.select(F.explode("codes").alias("key"), "node", "n").join(sets.select("node", "sketch"), "node"))
+    comp = grouped_components(index, sets, _links(percent), _close(percent), ["n", "sketch"])
     named = classes.select("c1", "c2", name.alias("_node"))
     members = (members.join(named, ["c1", "c2"], "left")
                .withColumn("own", F.when(F.col("tie") == 0, F.col("doc")).otherwise(F.xxhash64("doc", "tie")))

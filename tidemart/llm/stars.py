@@ -1,22 +1,28 @@
 """Components of a similarity join whose candidates share a key, without listing all pairs.
 
 Rounds of stars compare every member of a key's group with one pivot of the group and
-contract what links.  A last round lists the pairs of a group that lie in different
-components; so every pair that shares a key is either compared or connected already.
+contract what links.  In a last round the members of a group that lie in different
+components are compared pairwise inside a task by a cheap test that every link passes; only
+pairs that pass it leave the task and are verified.  So every pair that shares a key is
+either compared or connected already.  Groups of more than ``BLOCK`` members are dealt as
+pairs of blocks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .components import components
-from .frames import materialise
+from .frames import materialise, shuffle_partitions
+from .words import mix
 
-GROUP = 500  # contents that meet one pivot in one task
-STARS = 2    # rounds of stars before the last round
+GROUP = 500   # contents that meet one pivot in one task
+BLOCK = 2000  # members of a key's group that are compared in one task
+STARS = 2     # rounds of stars before the last round
 
 
 def _verify(links: Callable):
@@ -44,29 +50,108 @@ def verified(pairs: DataFrame, contents: DataFrame, links: Callable) -> DataFram
             .applyInArrow(_verify(links), "u long, v long"))
 
 
-def grouped_components(index: DataFrame, contents: DataFrame, links: Callable,
-                       fits: Callable[[str, str], Column], carried: list[str], stars: int = STARS) -> DataFrame:
+def _columns(batch, names: list[str], prefix: str = "") -> dict[str, np.ndarray]:
+    """Carried columns as arrays; a fixed-size binary column becomes a matrix of 64-bit words."""
+    out = {}
+    for name in names:
+        column = batch.column(prefix + name)
+        if pa.types.is_binary(column.type):
+            raw = np.frombuffer(b"".join(column.to_pylist()), np.uint64)
+            out[name] = raw.reshape(batch.num_rows, -1) if batch.num_rows else raw.reshape(0, 1)
+        else:
+            out[name] = column.to_numpy() if isinstance(column, pa.ChunkedArray) else np.asarray(column)
+    return out
+
+
+def _passing(close: Callable, carried: list[str]):
+    """Rows (pivot, node, a_*, b_*): the pairs that may link."""
+    def run(batches):
+        for batch in batches:
+            keep = close(_columns(batch, carried, "a_"), _columns(batch, carried, "b_"))
+            yield batch.select(["pivot", "node"]).filter(pa.array(keep))
+    return run
+
+
+def _all_pairs(close: Callable, carried: list[str]):
+    """All rows of a partition: the pairs of a cell, in different components, that may link."""
+    def run(batches):
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
+            return
+        table = pa.Table.from_batches(batches)
+        cell, node, comp, block = (table.column(c).to_numpy() for c in ("cell", "node", "component", "block"))
+        own, twin = table.column("own").to_numpy(), _columns(table, carried)
+        order = np.lexsort((comp, cell))
+        cell = cell[order]
+        head = np.flatnonzero(np.diff(cell, prepend=cell[0] - 1))
+        size = np.diff(np.append(head, len(cell)))
+        ends = np.repeat(np.append(head[1:], len(cell)), size)
+        place = np.arange(len(cell))
+        seen = np.zeros((0, 2), np.int64)
+        for d in range(1, int(size.max())):
+            at = place[: len(place) - d]
+            at = at[at + d < ends[at]]
+            if not len(at):
+                break
+            a, b = order[at], order[at + d]
+            fit = (comp[a] != comp[b]) & (own[a] | (block[a] != block[b]))
+            a, b = a[fit], b[fit]
+            fit = close({k: v[a] for k, v in twin.items()}, {k: v[b] for k, v in twin.items()})
+            seen = np.concatenate([seen, np.stack([node[a[fit]], node[b[fit]]], 1)])
+            if len(seen) > 1 << 18:
+                seen = np.unique(np.sort(seen, axis=1), axis=0)
+        seen = np.unique(np.sort(seen, axis=1), axis=0)
+        for i in range(0, len(seen), 1 << 18):
+            part = seen[i: i + (1 << 18)]
+            yield pa.RecordBatch.from_arrays([pa.array(part[:, 0].copy()), pa.array(part[:, 1].copy())],
+                                             names=["pivot", "node"])
+    return run
+
+
+def _cell_ids(batches):
+    """One number for a key and its pair of blocks; nothing else changes."""
+    for batch in batches:
+        h = mix(np.asarray(batch.column("key")).view(np.uint64))
+        for c in ("i", "j"):
+            h = mix(h ^ np.asarray(batch.column(c)).view(np.uint64))
+        yield batch.append_column("cell", pa.array((h >> np.uint64(1)).astype(np.int64))).drop_columns(["key", "i", "j"])
+
+
+def grouped_components(index: DataFrame, contents: DataFrame, links: Callable, close: Callable,
+                       carried: list[str], stars: int = STARS) -> DataFrame:
     """(node, component) of the nodes that link, directly or through others.
 
     ``index``: rows (key, node, *carried); ``contents``: (node, content); ``links(content,
-    [(content, node), ...])``: nodes among sorted candidates that link; ``fits(a, b)``: a
-    condition over the struct columns of two candidates that every link meets.
+    [(content, node), ...])``: nodes among sorted candidates that link; ``close(a, b)``: a
+    vectorised test over dicts of carried columns that every pair that links passes.
     """
     spark = index.sparkSession
-    member = F.struct("node", "component", *carried)
+    kinds = {c: k for c, k in index.dtypes}
     known = index.withColumn("component", F.col("node"))
     found = comp = None
     for turn in range(stars + 1):
-        ends = known.select("key", member.alias("x"))
-        mixed = ends.groupBy("key").agg(F.min("x.component").alias("a"), F.max("x.component").alias("b"),
-                                        F.min_by("x", F.xxhash64(F.col("x.node") + turn)).alias("p")).filter("a != b")
         if turn < stars:
-            pairs = ends.join(mixed.select("key", "p"), "key").filter("x.component != p.component")
+            ends = known.select("key", F.struct("node", "component", *carried).alias("x"))
+            pivots = ends.groupBy("key").agg(F.min("x.component").alias("a"), F.max("x.component").alias("b"),
+                                             F.min_by("x", F.xxhash64(F.col("x.node") + turn)).alias("p"))
+            pairs = (ends.join(pivots.filter("a != b").select("key", "p"), "key").filter("x.component != p.component")
+                     .select(F.col("p.node").alias("pivot"), F.col("x.node").alias("node"),
+                             *[F.col(f"{s}.{c}").alias(f"{t}_{c}") for t, s in (("a", "p"), ("b", "x")) for c in carried])
+                     .dropDuplicates(["pivot", "node"])
+                     .mapInArrow(_passing(close, carried), "pivot long, node long"))
         else:
-            ends = ends.join(mixed.select("key"), "key")
-            pairs = ends.join(ends.select("key", F.col("x").alias("p")), "key").filter("x.component < p.component")
-        pairs = materialise(pairs.filter(fits("x", "p")).select(F.col("p.node").alias("pivot"), F.col("x.node").alias("node"))
-                            .distinct())
+            mixed = known.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"),
+                                             F.ceil(F.count("*") / BLOCK).cast("long").alias("_blocks")).filter("a != b")
+            dealt = (known.join(mixed.select("key", "_blocks"), "key")
+                     .withColumn("block", F.pmod(F.xxhash64("node"), F.col("_blocks")))
+                     .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
+                     .select("key", F.least("block", "_other").alias("i"), F.greatest("block", "_other").alias("j"),
+                             "node", "component", "block", (F.col("block") == F.col("_other")).alias("own"), *carried))
+            row = ", ".join(["node long", "component long", "block long", "own boolean",
+                             *[f"{c} {kinds[c]}" for c in carried], "cell long"])
+            pairs = (dealt.mapInArrow(_cell_ids, row).repartition(shuffle_partitions(spark), "cell")
+                     .mapInArrow(_all_pairs(close, carried), "pivot long, node long").distinct())
+        pairs = materialise(pairs)
         if pairs.isEmpty():
             continue
         new = materialise(verified(pairs, contents, links))
