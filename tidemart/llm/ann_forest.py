@@ -26,9 +26,9 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from .frames import materialise, read
+from .frames import materialise, read, shuffle_partitions
 from .words import mix
 
 K = 20
@@ -103,20 +103,23 @@ def leaves_of(forest: Forest, vectors: np.ndarray) -> np.ndarray:
     return out
 
 
-def walk(forest: Forest, sizes: np.ndarray, vector: np.ndarray, enough: float) -> list[int]:
-    """Leaves for one query, taken by one queue over all trees until they hold ``enough`` rows."""
-    margin = forest.planes @ vector - forest.cuts
+def walk(forest: Forest, sizes: list[int], margin: list[float], enough: float, children=None) -> list[int]:
+    """Leaves for one query, taken by one queue over all trees until they hold ``enough`` rows.
+
+    ``margin``: signed distance of the query to the plane of every inner node.
+    """
+    left, right = children or (forest.left.tolist(), forest.right.tolist())
     queue = [(0.0, i, int(root)) for i, root in enumerate(forest.roots)]
     heapq.heapify(queue)
-    taken, rows, ties = [], 0.0, len(queue)
+    taken, rows, ties = [], 0, len(queue)
+    push, pop = heapq.heappush, heapq.heappop
     while queue and rows < enough:
-        bound, _, node = heapq.heappop(queue)
+        bound, _, node = pop(queue)
         while node >= 0:  # down the side of the query; the other side waits with its margin
             m = margin[node]
-            near, far = (forest.left[node], forest.right[node]) if m < 0 else (forest.right[node], forest.left[node])
-            heapq.heappush(queue, (bound + m * m, ties, int(far)))
+            push(queue, (bound + m * m, ties, right[node] if m < 0 else left[node]))
             ties += 1
-            node = int(near)
+            node = left[node] if m < 0 else right[node]
         if sizes[~node]:
             taken.append(~node)
             rows += sizes[~node]
@@ -167,21 +170,23 @@ def valid(vectors: DataFrame, vec_id: str, vec: str) -> DataFrame:
 
 
 def _index(shared, salts, buckets: int):
+    """Rows (bucket, cell, names, vecs): the classes of a batch in a cell, one after the other."""
     def run(batches):
         forest, (parts, sides) = Forest(*shared.value), salts.value
         for batch in batches:
             if not batch.num_rows:
                 continue
-            leaf = leaves_of(forest, _vectors(batch.column("vec")).astype(np.float64))
+            vectors = _vectors(batch.column("vec"))
+            hashes = np.asarray(batch.column("hash"))
+            names = np.stack([np.asarray(batch.column("cid")), hashes], 1)
+            leaf = leaves_of(forest, vectors.astype(np.float64))
             row, leaf = np.repeat(np.arange(len(leaf)), leaf.shape[1]), leaf.reshape(-1)
-            part = np.asarray(batch.column("hash"))[row] % parts[leaf]
+            part = hashes[row] % parts[leaf]
             many = sides[leaf]  # a copy for each part of the queries
             row, leaf, part = (np.repeat(x, many) for x in (row, leaf, part))
             side = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
             cell = _cell(leaf, part, side)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cell % buckets), pa.array(cell), batch.column("ids").take(pa.array(row)),
-                 batch.column("vec").take(pa.array(row))], names=["bucket", "cell", "ids", "vec"])
+            yield _grouped(cell, row, names, vectors, ["bucket", "cell"], [cell % buckets, cell])
     return run
 
 
@@ -205,31 +210,45 @@ def _sizes(shared):
 
 
 def _route(shared, sizes, enough: float):
-    """Rows (leaf, queries, vecs): the queries of a batch that take a leaf, vectors one after the other."""
+    """Rows (leaf, n, names, vecs): the queries of a batch that take a leaf, one after the other."""
     def run(batches):
         forest = Forest(*shared.value)
+        rows, children = sizes.value.tolist(), (forest.left.tolist(), forest.right.tolist())
         for batch in batches:
             if not batch.num_rows:
                 continue
-            vectors = _vectors(batch.column("vec"))
-            taken = [walk(forest, sizes.value, v, enough) for v in vectors.astype(np.float64)]
+            vectors, taken = _vectors(batch.column("vec")), []
+            for a in range(0, len(vectors), 64):
+                margins = vectors[a: a + 64].astype(np.float64) @ forest.planes.T - forest.cuts
+                taken += [walk(forest, rows, m.tolist(), enough, children) for m in margins]
             row = np.repeat(np.arange(len(taken)), [len(x) for x in taken])
             leaf = np.array([x for own in taken for x in own], np.int64)
-            yield _grouped(leaf, np.asarray(batch.column("id"))[row], vectors[row], ["leaf"], [leaf])
+            yield _grouped(leaf, row, np.asarray(batch.column("id"))[:, None], vectors, ["leaf"], [leaf])
     return run
 
 
-def _grouped(key, ids, vectors, names, keys) -> pa.RecordBatch:
-    """One row per key with the list of its ids and of all their vector components."""
+def _grouped(key, row, names, vectors, labels, keys) -> pa.RecordBatch:
+    """One row per key, with the names and vectors of its rows as bytes."""
     order = np.argsort(key, kind="stable")
     first = np.flatnonzero(np.diff(key[order], prepend=key[order][0] - 1)) if len(key) else order
-    ends = np.append(first, len(key)).astype(np.int32)
-    dims = vectors.shape[1] if vectors.ndim == 2 else 0
+    ends = np.append(first, len(key)).astype(np.int64)
+
+    def blobs(values):
+        width = values.dtype.itemsize * values.shape[1]
+        return pa.Array.from_buffers(pa.large_binary(), len(first), [
+            None, pa.py_buffer((ends * width).tobytes()), pa.py_buffer(np.ascontiguousarray(values[row[order]]).tobytes())
+        ]).cast(pa.binary())
     return pa.RecordBatch.from_arrays(
-        [*(pa.array(x[order][first]) for x in keys),
-         pa.ListArray.from_arrays(pa.array(ends), pa.array(ids[order], pa.int64())),
-         pa.ListArray.from_arrays(pa.array(ends * dims), pa.array(vectors[order].reshape(-1), pa.float32()))],
-        names=[*names, "queries", "vecs"])
+        [*(pa.array(x[order][first]) for x in keys), pa.array(np.diff(ends), pa.int64()), blobs(names), blobs(vectors)],
+        names=[*labels, "n", "names", "vecs"])
+
+
+def _unpacked(table, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of the table's row, names, vectors) of all rows packed in a table."""
+    n = np.asarray(table.column("n"))
+    names = np.frombuffer(b"".join(table.column("names").to_pylist()), np.int64).reshape(-1, width)
+    vectors = np.frombuffer(b"".join(table.column("vecs").to_pylist()), np.float32).reshape(len(names), -1)
+    return np.repeat(np.arange(table.num_rows), n), names, vectors
 
 
 def _deal(salts, buckets: int):
@@ -239,55 +258,85 @@ def _deal(salts, buckets: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            n = np.diff(np.asarray(batch.column("queries").offsets))
-            leaf = np.repeat(np.asarray(batch.column("leaf")), n)
-            ids = np.asarray(batch.column("queries").flatten())
-            vectors = np.asarray(batch.column("vecs").flatten()).reshape(len(ids), -1)
+            at, ids, vectors = _unpacked(batch, 1)
+            leaf = np.asarray(batch.column("leaf"))[at]
             many = parts[leaf]
             row = np.repeat(np.arange(len(leaf)), many)
             part = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
-            side = (mix(ids[row].view(np.uint64)) >> np.uint64(1)).astype(np.int64) % sides[leaf[row]]
+            side = (mix(ids[row, 0].view(np.uint64)) >> np.uint64(1)).astype(np.int64) % sides[leaf[row]]
             cell = _cell(leaf[row], part, side)
-            yield _grouped(cell, ids[row], vectors[row], ["bucket", "cell"], [cell % buckets, cell])
+            yield _grouped(cell, row, ids, vectors, ["bucket", "cell"], [cell % buckets, cell])
     return run
 
 
 def _meet(k: int):
-    """Cogrouped by bucket: the k best ids for each query over the leaves of the bucket."""
+    """Cogrouped by bucket: the k + 1 best classes for each query over the cells of the bucket."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out_q, out_hits = [], []
+        parts = []
         if left.num_rows and right.num_rows:
-            vs, members = _vectors(right.column("vec")).astype(np.float64), right.column("ids").to_pylist()
-            name = np.array([x[0] for x in members], np.int64)
-            order = np.argsort(np.asarray(right.column("cell")), kind="stable")
-            cells = np.asarray(right.column("cell"))[order]
-            parts = []
-            for cell, ids, flat in zip(left.column("cell").to_pylist(), left.column("queries"), left.column("vecs")):
-                rows = order[np.searchsorted(cells, cell): np.searchsorted(cells, cell, side="right")]
+            at, names, vectors = _unpacked(right, 2)
+            cell = np.asarray(right.column("cell"))[at]
+            order = np.argsort(cell, kind="stable")
+            cells = cell[order]
+            q_at, q_ids, q_vectors = _unpacked(left, 1)
+            q_cell = np.asarray(left.column("cell"))[q_at]
+            q_order = np.argsort(q_cell, kind="stable")
+            ends = np.append(np.flatnonzero(np.diff(q_cell[q_order])) + 1, len(q_order))
+            a = 0
+            for b in ends.tolist():
+                asked = q_order[a:b]
+                a = b
+                value = q_cell[asked[0]]
+                rows = order[np.searchsorted(cells, value): np.searchsorted(cells, value, side="right")]
                 if not len(rows):
                     continue
-                qs = np.asarray(flat.values, np.float32).astype(np.float64).reshape(len(ids.values), -1)
-                near = qs @ vs[rows].T
+                qs, vs = q_vectors[asked].astype(np.float64), vectors[rows].astype(np.float64)
+                near = qs @ vs.T
                 best = min(k + 1, len(rows))  # one class may hold the query alone
-                top = rows[np.argpartition(-near, best - 1, axis=1)[:, :best]]
+                top = np.argpartition(-near, best - 1, axis=1)[:, :best]
                 exact = (vs[top] * qs[:, None, :]).sum(axis=2)
-                parts.append((np.repeat(np.asarray(ids.values), best), top.reshape(-1), exact.reshape(-1)))
-            if parts:
-                q, row, score = (np.concatenate(x) for x in zip(*parts))
-                order = np.lexsort((name[row], -score, q))
-                q, row, score = q[order], row[order], score[order]
-                new = np.ones(len(q), bool)  # a class comes from several trees
-                new[1:] = (q[1:] != q[:-1]) | (score[1:] != score[:-1]) | (name[row[1:]] != name[row[:-1]])
-                q, row, score = q[new], row[new], score[new]
-                first = np.flatnonzero(np.diff(q, prepend=q[0] - 1))
-                for a, b in zip(first, np.append(first[1:], len(q))):
-                    own = int(q[a])
-                    found = sorted((-s, i) for s, r in zip(score[a: min(b, a + k + 1)].tolist(), row[a: a + k + 1].tolist())
-                                   for i in members[r] if i != own)[:k]
-                    out_q.append(own)
-                    out_hits.append([{"far": s, "id": i} for s, i in found])
-        return pa.table({"query": pa.array(out_q, pa.int64()),
-                         "hits": pa.array(out_hits, pa.list_(pa.struct([("far", pa.float64()), ("id", pa.int64())])))})
+                parts.append((np.repeat(q_ids[asked, 0], best), names[rows[top.reshape(-1)]], exact.reshape(-1)))
+        if not parts:
+            return _best_rows(np.zeros(0, np.int64), np.zeros((0, 2), np.int64), np.zeros(0), k)
+        return _best_rows(*(np.concatenate(x) for x in zip(*parts)), k)
+    return run
+
+
+def _best_rows(query, names, score, k: int) -> pa.Table:
+    """Rows (query, cids, hashes, scores): the k + 1 best distinct classes of each query, as bytes."""
+    order = np.lexsort((names[:, 1], names[:, 0], -score, query))
+    query, names, score = query[order], names[order], score[order]
+    new = np.ones(len(query), bool)  # a class comes from several trees
+    new[1:] = (query[1:] != query[:-1]) | (names[1:] != names[:-1]).any(axis=1)
+    query, names, score = query[new], names[new], score[new]
+    first = np.flatnonzero(np.diff(query, prepend=query[0] - 1)) if len(query) else np.zeros(0, np.int64)
+    place = np.arange(len(query)) - np.repeat(first, np.diff(np.append(first, len(query))))
+    query, names, score = (x[place <= k] for x in (query, names, score))
+    first = np.flatnonzero(np.diff(query, prepend=query[0] - 1)) if len(query) else first
+    ends = np.append(first[1:], len(query))
+    return pa.table({
+        "query": pa.array(query[first], pa.int64()),
+        **{c: pa.array([np.ascontiguousarray(v[a:b]).tobytes() for a, b in zip(first, ends)], pa.binary())
+           for c, v in (("cids", names[:, 0]), ("hashes", names[:, 1]), ("scores", score))}})
+
+
+def _merge(k: int):
+    """Rows (query, hits): the k + 1 best classes of each query over all buckets, one row each."""
+    def run(batches):
+        for batch in batches:
+            hits = batch.column("hits")
+            n = np.diff(np.asarray(hits.offsets))
+            flat = hits.flatten()
+            parts = {c: flat.field(c).to_pylist() for c in ("cids", "hashes", "scores")}
+            query = np.repeat(np.repeat(np.asarray(batch.column("query")), n), [len(x) // 8 for x in parts["scores"]])
+            names = np.stack([np.frombuffer(b"".join(parts[c]), np.int64) for c in ("cids", "hashes")], 1)
+            best = _best_rows(query, names, np.frombuffer(b"".join(parts["scores"]), np.float64), k)
+            size = [len(x) // 8 for x in best.column("scores").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.asarray(best.column("query")), size)),
+                 *(pa.array(np.frombuffer(b"".join(best.column(c).to_pylist()), kind))
+                   for c, kind in (("cids", np.int64), ("hashes", np.int64), ("scores", np.float64)))],
+                names=["query", "cid", "hash", "score"])
     return run
 
 
@@ -298,7 +347,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, trees: int = TREE
     local = valid(vectors, vec_id, vec).mapInArrow(_classes(k + 1), BATCH_IDS)
     smallest = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, k + 1).alias("ids")
     classes = materialise(local.groupBy("vec", "salt").agg(smallest).groupBy("vec").agg(smallest)
-                          .withColumn("hash", F.xxhash64("vec").bitwiseAND(F.lit((1 << 62) - 1))))
+                          .withColumns({"hash": F.xxhash64("vec").bitwiseAND(F.lit((1 << 62) - 1)), "cid": F.col("ids")[0]}))
     n = classes.count()
     share_of = min(1.0, 0.97 * SAMPLE / max(1, n))
     picked = classes.filter(F.col("hash") % (1 << 20) < int(share_of * (1 << 20)) + (share_of == 1.0)).limit(SAMPLE)
@@ -311,23 +360,30 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, trees: int = TREE
         sizes[row["leaf"]] = row["rows"]
     enough = max(least, share * n)
     asked = valid(queries, vec_id, vec).distinct()
-    routes = materialise(asked.mapInArrow(_route(shared, spark.sparkContext.broadcast(sizes), enough),
-                                          "leaf long, queries array<long>, vecs array<float>"))
+    tasks = max(1, shuffle_partitions(spark))
+    routes = materialise(asked.repartition(tasks, "id")
+                         .mapInArrow(_route(shared, spark.sparkContext.broadcast(sizes), enough),
+                                     "leaf long, n long, names binary, vecs binary"))
     asks = np.zeros(len(sizes), np.int64)
-    for row in routes.groupBy("leaf").agg(F.sum(F.size("queries")).alias("n")).collect():  # one row per leaf
+    for row in routes.groupBy("leaf").agg(F.sum("n").alias("n")).collect():  # one row per leaf
         asks[row["leaf"]] = row["n"]
     parts, sides = np.maximum(1, -(-sizes // PART)), np.maximum(1, -(-asks // PART))
     salts = spark.sparkContext.broadcast((parts, sides))
     buckets = max(1, -(-int((sizes * sides).sum()) // BUCKET))
-    index = (classes.mapInArrow(_index(shared, salts, buckets), "bucket long, cell long, ids array<long>, vec array<float>")
-             .withColumnRenamed("bucket", "b2"))
-    sent = routes.mapInArrow(_deal(salts, buckets), "bucket long, cell long, queries array<long>, vecs array<float>")
-    met = (sent.groupBy("bucket").cogroup(index.groupBy("b2"))
-           .applyInArrow(_meet(k), "query long, hits array<struct<far:double,id:long>>"))
-    # a query has at most as many lists as it took leaves and their parts
-    best = met.groupBy("query").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))), 1, k).alias("hits"))
-    return best.select(F.col("query").alias("query_id"), F.posexplode("hits").alias("rank", "hit")).select(
-        "query_id", (F.col("rank") + 1).alias("rank"), F.col("hit.id").alias("vec_id"), (-F.col("hit.far")).alias("score"))
+    packed = "bucket long, cell long, n long, names binary, vecs binary"
+    index = classes.select("vec", "hash", "cid").mapInArrow(_index(shared, salts, buckets), packed)
+    sent = routes.mapInArrow(_deal(salts, buckets), packed)
+    met = (sent.groupBy("bucket").cogroup(index.withColumnRenamed("bucket", "b2").groupBy("b2"))
+           .applyInArrow(_meet(k), "query long, cids binary, hashes binary, scores binary"))
+    # a query has at most as many rows as it took leaves and their parts
+    best = (met.groupBy("query").agg(F.collect_list(F.struct("cids", "hashes", "scores")).alias("hits"))
+            .mapInArrow(_merge(k), "query long, cid long, hash long, score double"))
+    members = classes.select("cid", "hash", "ids")
+    rows = (best.join(members, ["cid", "hash"]).select("query", "score", F.explode("ids").alias("vec_id"))
+            .filter("vec_id != query"))
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
+    return (rows.withColumn("rank", rank).filter(F.col("rank") <= k)
+            .select(F.col("query").alias("query_id"), "rank", "vec_id", "score"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
