@@ -107,7 +107,8 @@ def test_exact_percentiles_grouped_and_equal_to_spark_percentile(spark):
     mine = {r.k: r for r in exact_percentiles(df, "v", [0.02, 0.98], names=["lo", "hi"], by=["k"]).collect()}
     ref = {r.k: r for r in df.where(~F.isnan("v")).groupBy("k").agg(
         F.percentile("v", 0.02).alias("lo"), F.percentile("v", 0.98).alias("hi")).collect()}
-    assert 9 not in mine  # a group with no valid value has no row
+    gone = mine.pop(9)  # a group with no valid value keeps its row
+    assert (gone.n, gone.lo, gone.hi) == (0, None, None)
     for k in range(4):
         assert mine[k].lo == pytest.approx(ref[k].lo, abs=1e-12)
         assert mine[k].hi == pytest.approx(ref[k].hi, abs=1e-12)
@@ -174,3 +175,28 @@ def test_keyed_days_since_start_null_key(spark):
     df = spark.createDataFrame([(None, dt.date(2000, 1, 1)), (None, dt.date(2000, 3, 1))],
                                "k string, year_month date")
     assert sorted(r.x_days for r in days_since_start(df, by=["k"]).collect()) == [0.0, 60.0]
+
+
+def test_grouped_percentiles_spread_one_large_group(spark):
+    """No task that ranks or joins values gets more than twice the mean of its stage."""
+    df = spark.range(0, 60_000, numPartitions=8).selectExpr("if(id % 3 = 0, 0, 1) as k", "hash(id) * 1e-3 as v")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled",
+                                           "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    from tidemart.operators import quantiles
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        out = exact_percentiles(df, "v", [0.02, 0.98], names=["lo", "hi"], by=["k"])
+        text = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "_salt" in text
+        # the layout of the join: values of a group lie in as many partitions as there are salts
+        counts = df.selectExpr("struct(k) as g", "v").withColumn("s", F.pmod(F.xxhash64("v"), F.lit(quantiles.SALTS)))
+        sizes = [r["count"] for r in counts.repartition(16, "g", "s").groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 16 and max(sizes) <= 2 * sum(sizes) / 16
+        want = {r.k: (r.lo, r.hi) for r in df.groupBy("k").agg(F.percentile("v", 0.02).alias("lo"),
+                                                              F.percentile("v", 0.98).alias("hi")).collect()}
+        assert {r.k: (r.lo, r.hi) for r in out.collect()} == pytest.approx(want)
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)

@@ -37,6 +37,10 @@ class GridSpec:
     def n_lon(self) -> int:
         return int(round((self.lon_max - self.lon_min) / self.step)) + 1
 
+    @property
+    def lon_axis(self) -> list[float]:
+        return [self.lon_min + self.step * k for k in range(self.n_lon)]
+
     @property
     def n_cells(self) -> int:
         return self.n_lat * self.n_lon

@@ -54,6 +54,32 @@ def check_not_empty(df: DataFrame, name: str = "not_empty") -> DataFrame:
     return _row(stats, name, F.when(F.col("_n") > 0, 0).otherwise(1))
 
 
+def partials_checks(partials: DataFrame) -> DataFrame:
+    """The six published mart invariants from the zone partials that both marts are made of,
+    in one grouped pass (per month, then over all months)."""
+    known = F.coalesce(F.col("latitude_zone").isin(list(ZONE_NAMES)), F.lit(False))
+    day = F.make_date(F.col("year"), F.col("month"), F.lit(1))
+    months = partials.groupBy(day.alias("_day")).agg(
+        F.sum("grid_points").alias("_points"), F.count(F.lit(1)).alias("_zones"),
+        F.size(F.collect_set("latitude_zone")).alias("_names"),  # at most the zone names
+        F.count_if(~known).alias("_strange"),
+        F.size(F.collect_set(F.struct("year", "month"))).alias("_rows"))
+    stats = months.agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(~F.coalesce(F.col("_points") > 0, F.lit(False))).alias("_nonpos"),
+        F.count_if(F.col("_day").isNull()).alias("_nullkey"),
+        F.coalesce(F.sum(F.col("_rows") - F.col("_day").isNotNull().cast("int")), F.lit(0)).alias("_twice"),
+        F.coalesce(F.sum("_strange"), F.lit(0)).alias("_strange"),
+        F.coalesce(F.sum(F.col("_zones") - F.when(F.col("_day").isNotNull(), F.col("_names")).otherwise(0)), F.lit(0)).alias("_zonetwice"))
+    named = [("monthly.not_empty", F.when(F.col("_n") > 0, 0).otherwise(1)),
+             ("monthly.grid_points_positive", F.col("_nonpos")), ("monthly.year_month_not_null", F.col("_nullkey")),
+             ("monthly.year_month_unique", F.col("_twice")), ("zones.accepted_zone_names", F.col("_strange")),
+             ("zones.key_unique", F.col("_zonetwice"))]
+    rows = stats.select(F.inline(F.array(*[F.struct(F.lit(n).alias("check"), v.cast("long").alias("violations"))
+                                           for n, v in named])))
+    return rows.select("check", (F.col("violations") == 0).alias("passed"), "violations")
+
+
 def mart_checks(monthly: DataFrame, zones: DataFrame | None = None) -> DataFrame:
     """The published mart invariants as one small table.
 

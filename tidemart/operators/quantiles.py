@@ -4,22 +4,25 @@ values in one task.
 Semantics: NULL and NaN are skipped (``nanpercentile``); for probability ``p`` over
 ``n`` sorted values ``v[0..n-1]`` the result is ``v[lo] + (pos - lo) * (v[hi] - v[lo])``
 with ``pos = p * (n - 1)``, ``lo = floor(pos)``, ``hi = ceil(pos)`` — the same as
-numpy's default, SQL ``quantile_cont`` and Spark's ``percentile``.
+numpy's default, SQL ``quantile_cont`` and Spark's ``percentile``. A group without a valid
+value keeps its row, with ``n`` 0 and NULL percentiles, as GROUP BY would.
 
 Why not Spark's ``percentile``: it merges a value->count map of the whole group
 in one final task, so one large group (a month of a 0.05 degree grid is ~26 M cells)
 lands in a single task. Instead:
 
-1. one aggregate per group: ``n`` and an approximate (GK) quantile bracket
-   ``[L, U]`` around each ``p``; the GK rank error is at most ``n / accuracy``, and
-   the bracket is ``margin`` times wider than that.
-2. one pass over the data (bracket attached by scalar subquery or key join):
-   count values below ``L`` and up to ``U``, find the nearest value on either side
-   of the bracket, and count each *distinct* value inside the bracket. Partial
-   aggregation keeps even a value repeated a billion times to one row.
-3. over that small candidate table (about ``2 * margin * n / accuracy`` distinct
-   values per bracket), a running count gives every candidate's exact rank; the
-   values at ranks ``lo`` and ``hi`` are read off and interpolated.
+1. values are collapsed to ``(group, value) -> count``, which spreads by value; one aggregate
+   per group gives ``n`` and an approximate (GK) quantile bracket ``[L, U]`` around each
+   ``p``; the GK rank error is at most ``n / accuracy``, and the bracket is ``margin`` times
+   wider than that.
+2. the brackets are attached through a salted key (the salt comes from the value; bracket
+   rows are repeated once per salt), so a group that holds most of the rows is joined in
+   many tasks. The next aggregate has an exchange of its own on (group, bracket, part,
+   value): it counts values below ``L`` and up to ``U``, finds the nearest value on either
+   side, and keeps one row per distinct value inside a bracket.
+3. a bracket is cut into ``PARTS`` parts of equal width. Running counts over the parts (at
+   most ``PARTS`` rows per bracket) tell which part holds the ranks ``lo`` and ``hi``; only
+   the values of that part (about ``2 * margin * n / (accuracy * PARTS)``) are ranked.
 
 The neighbours cover the one-rank discretisation slack of small groups (where GK
 is exact but ``p * (n - 1)`` and ``p * n`` differ by up to one rank); for large
@@ -34,53 +37,60 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.functions.cleaning import nan_to_null
-from tidemart.operators.trends import _join_stats
+
+SALTS = 64    # tasks that the values of one group are spread over, at least
+PARTS = 256   # parts of a bracket
 
 
 def exact_percentiles(df: DataFrame, value: str, probs, names=None, by=None,
                       accuracy: int = 10_000, margin: float = 4.0) -> DataFrame:
     """Per group (``by``; global when empty): ``n`` and one column per probability."""
     group_keys = list(by or [])
-    # one non-NULL grouping column: a struct holding a NULL key is itself not NULL and
-    # equal to itself, so plain equi-joins keep a NULL group and every stage below can
-    # reuse the hash partitioning on it
-    keys = ["_g"] if group_keys else []
     probs = [float(p) for p in probs]
     names = list(names) if names else [f"p{int(round(p * 100)):02d}" for p in probs]
     nj = len(probs)
     width = float(margin) / float(accuracy)
 
-    group_col = [F.struct(*group_keys).alias("_g")] if group_keys else []
-    data = (df.select(*group_col, nan_to_null(F.col(value).cast("double")).alias("_v"))
-              .where(F.col("_v").isNotNull()))
+    # one non-NULL grouping column: a struct holding a NULL key is itself not NULL and
+    # equal to itself, so plain equi-joins keep a NULL group
+    group = F.struct(*group_keys) if group_keys else F.struct(F.lit(0).alias("_all"))
+    data = df.select(group.alias("_g"), nan_to_null(F.col(value).cast("double")).alias("_v"))
 
+    # 1. counts per value, brackets per group
+    counts = (data.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c"))
+              .withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(SALTS))))
     bracket_probs = []
     for p in probs:
         bracket_probs += [max(0.0, p - width), min(1.0, p + width)]
-    stats = data.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", bracket_probs, accuracy).alias("_q"))
+    stats = data.groupBy("_g").agg(F.count("_v").alias("_n"),
+                                   F.percentile_approx("_v", bracket_probs, accuracy).alias("_q"))
     brackets = stats.select(
-        *keys, "_n",
+        "_g", "_n",
         *[F.col("_q")[2 * j].alias(f"_L{j}") for j in range(nj)],
-        *[F.col("_q")[2 * j + 1].alias(f"_U{j}") for j in range(nj)])
+        *[F.col("_q")[2 * j + 1].alias(f"_U{j}") for j in range(nj)],
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_salt"))
 
     # 2. tag each value: -1 = the group's counting record, j = inside bracket j
-    tagged = _join_stats(data, brackets, keys)
+    tagged = counts.hint("merge").join(brackets, ["_g", "_salt"])
     tags = F.filter(
         F.array(F.lit(-1), *[F.when(F.col("_v").between(F.col(f"_L{j}"), F.col(f"_U{j}")), F.lit(j))
                              for j in range(nj)]),
         lambda t: t.isNotNull())
     counting = F.col("_j") == -1
+    low = F.element_at(F.array(*[F.col(f"_L{j}") for j in range(nj)]), F.col("_j") + 1)
+    high = F.element_at(F.array(*[F.col(f"_U{j}") for j in range(nj)]), F.col("_j") + 1)
+    part = F.when(counting | (high <= low), F.lit(0)).otherwise(
+        F.least(F.lit(PARTS - 1), F.floor((F.col("_v") - low) / (high - low) * PARTS)).cast("int"))
     agg = (tagged
-           .select(*keys, "_v", "_n", *[f"_L{j}" for j in range(nj)],
+           .select("_g", "_v", "_c", "_n", *[f"_L{j}" for j in range(nj)],
                    *[f"_U{j}" for j in range(nj)], F.explode(tags).alias("_j"))
-           .groupBy(*keys, "_j", F.when(~counting, F.col("_v")).alias("_cv"))
-           .agg(F.count(F.lit(1)).alias("_cnt"),
+           .groupBy("_g", "_j", F.when(~counting, part).otherwise(F.lit(0)).alias("_s"),
+                    F.when(~counting, F.col("_v")).alias("_cv"))
+           .agg(F.sum("_c").alias("_cnt"),
                 F.first("_n").alias("_n"),
-                *[F.sum(F.when(counting & (F.col("_v") < F.col(f"_L{j}")), 1).otherwise(0))
+                *[F.sum(F.when(counting & (F.col("_v") < F.col(f"_L{j}")), F.col("_c")).otherwise(0))
                   .alias(f"_below{j}") for j in range(nj)],
-                *[F.sum(F.when(counting & (F.col("_v") <= F.col(f"_U{j}")), 1).otherwise(0))
+                *[F.sum(F.when(counting & (F.col("_v") <= F.col(f"_U{j}")), F.col("_c")).otherwise(0))
                   .alias(f"_upto{j}") for j in range(nj)],
                 # the neighbours just outside each bracket: ranks below-1 and upto
                 *[F.max(F.when(counting & (F.col("_v") < F.col(f"_L{j}")), F.col("_v")))
@@ -88,36 +98,44 @@ def exact_percentiles(df: DataFrame, value: str, probs, names=None, by=None,
                 *[F.min(F.when(counting & (F.col("_v") > F.col(f"_U{j}")), F.col("_v")))
                   .alias(f"_succ{j}") for j in range(nj)]))
 
-    # 3. exact rank of every candidate value. The per-group counters (one row per
-    # group) are attached to the candidates by scalar subquery / key join; the only
-    # window is the running count inside one (group, bracket), whose size is the
-    # number of distinct values in the bracket.
-    counters = (agg.where(counting)
-                .select(*keys, "_n", *[F.col(f"_{c}{j}").alias(f"_{c}{j}")
-                                       for c in ("below", "upto", "pred", "succ") for j in range(nj)]))
-    cands = agg.where(~counting).select(*keys, "_j", "_cv", "_cnt")
-    per_bracket = (Window.partitionBy(*keys, "_j").orderBy("_cv")
-                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    with_counts = _join_stats(cands, counters, keys)
-    below_here = F.element_at(F.array(*[F.col(f"_below{j}") for j in range(nj)]), F.col("_j") + 1)
-    ranked = with_counts.withColumn("_rank_upto", below_here + F.sum("_cnt").over(per_bracket))
-
-    outs = []
-    for j in range(nj):
-        pos = F.lit(probs[j]) * (F.col("_n") - F.lit(1)).cast("double")
-        outs += [
-            *[F.first(f"_{c}{j}").alias(f"_{c}{j}") for c in ("below", "upto", "pred", "succ")],
-            F.min(F.when((F.col("_j") == j) & (F.col("_rank_upto") > F.floor(pos)), F.col("_cv")))
-             .alias(f"_vlo{j}"),
-            F.min(F.when((F.col("_j") == j) & (F.col("_rank_upto") > F.ceil(pos)), F.col("_cv")))
-             .alias(f"_vhi{j}"),
-        ]
-    # (without keys this is a global aggregate: one row even when no value is valid)
-    final = ranked.groupBy(*keys).agg(F.first("_n").alias("n"), *outs)
-
+    # 3. the parts that hold the ranks, then the ranks inside them
+    counters = agg.where(counting).select("_g", "_n", *[F.col(f"_{c}{j}") for c in ("below", "upto", "pred", "succ")
+                                                        for j in range(nj)])
+    cands = agg.where(~counting).select("_g", "_j", "_s", "_cv", "_cnt")
+    over_parts = Window.partitionBy("_g", "_j").orderBy("_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = (cands.groupBy("_g", "_j", "_s").agg(F.sum("_cnt").alias("_in"))
+             .withColumn("_after", F.sum("_in").over(over_parts)))
+    prob = F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_j") + 1)
+    below = F.element_at(F.array(*[F.col(f"_below{j}") for j in range(nj)]), F.col("_j") + 1)
+    pos = prob * (F.col("_n") - F.lit(1)).cast("double")
+    first, last = F.col("_start"), F.col("_start") + F.col("_in")
+
+    def inside(rank):
+        return (rank >= first) & (rank < last)
+    targets = (parts.join(counters.select("_g", "_n", *[f"_below{j}" for j in range(nj)]), "_g")
+               .withColumns({"_start": below + F.col("_after") - F.col("_in"), "_lo": F.floor(pos), "_hi": F.ceil(pos)})
+               .where(inside(F.col("_lo")) | inside(F.col("_hi")))
+               .select("_g", "_j", "_s", "_start", "_lo", "_hi"))
+    in_part = (Window.partitionBy("_g", "_j", "_s").orderBy("_cv")
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = (cands.join(targets, ["_g", "_j", "_s"])
+              .withColumn("_to", F.col("_start") + F.sum("_cnt").over(in_part))
+              .withColumn("_from", F.col("_to") - F.col("_cnt")))
+
+    def at_rank(rank, j):
+        hit = (F.col("_j") == j) & (F.col("_from") <= F.col(rank)) & (F.col(rank) < F.col("_to"))
+        return F.min(F.when(hit, F.col("_cv")))
+    found = ranked.groupBy("_g").agg(*[at_rank("_lo", j).alias(f"_vlo{j}") for j in range(nj)],
+                                     *[at_rank("_hi", j).alias(f"_vhi{j}") for j in range(nj)])
+    final = counters.join(found, "_g", "left")
+    if not group_keys:  # a global result has one row, also over no rows
+        one = df.sparkSession.range(1).select(group.alias("_g"))
+        final = one.join(final, "_g", "left")
+
+    n = F.coalesce(F.col("_n"), F.lit(0))
     result_cols = []
     for j, name in enumerate(names):
-        pos = F.lit(probs[j]) * (F.col("n") - F.lit(1)).cast("double")
+        pos = F.lit(probs[j]) * (n - F.lit(1)).cast("double")
         lo, hi = F.floor(pos), F.ceil(pos)
         below, upto = F.col(f"_below{j}"), F.col(f"_upto{j}")
         ok = (below - 1 <= lo) & (hi <= upto)
@@ -130,13 +148,13 @@ def exact_percentiles(df: DataFrame, value: str, probs, names=None, by=None,
         vlo, vhi = at(lo, F.col(f"_vlo{j}")), at(hi, F.col(f"_vhi{j}"))
         interp = F.when(vlo == vhi, vlo).otherwise(vlo + (pos - lo) * (vhi - vlo))
         result_cols.append(
-            F.when(F.col("n").isNull() | (F.col("n") == 0), F.lit(None).cast("double"))
-             .when(ok, interp)
+            F.when(n == 0, F.lit(None).cast("double"))
+             .when(ok & vlo.isNotNull() & vhi.isNotNull(), interp)
              .otherwise(F.raise_error(F.lit(f"percentile bracket missed its rank for p={probs[j]}"))
                         .cast("double"))
              .alias(name))
     key_cols = [F.col("_g").getField(k).alias(k) for k in group_keys]
-    return final.select(*key_cols, F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"), *result_cols)
+    return final.select(*key_cols, n.cast("long").alias("n"), *result_cols)
 
 
 def percentile_limits(df: DataFrame, value: str, low: float = 0.02, high: float = 0.98,

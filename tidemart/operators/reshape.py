@@ -63,16 +63,27 @@ def dense_raster(obs: DataFrame, value: str, grid: GridSpec = GRID_025,
 
 
 def dense_fill(obs: DataFrame, value: str, grid: GridSpec = GRID_025,
-               month_col: str = "year_month", months: DataFrame | None = None) -> DataFrame:
+               month_col: str = "year_month", months: DataFrame | None = None,
+               unique_cells: bool = False) -> DataFrame:
     """The full cell grid of each month as long rows, missing cells as NaN:
-    ``(month, lat_i, lon_i, latitude, longitude, value)``."""
-    raster = dense_raster(obs, value, grid, month_col, months)
-    return raster.select(
-        month_col, "lat_i", "latitude",
-        F.posexplode("values").alias("lon_i", value)).select(
-        month_col, "lat_i", "lon_i", "latitude",
+    ``(month, lat_i, lon_i, latitude, longitude, value)``.
+
+    A spine of cell indices is joined with the cells. ``unique_cells`` says that no two
+    observations fall on one cell (staged input), which saves the aggregate that makes sure."""
+    if unique_cells:
+        cells = obs.select(month_col, lat_raster_index("latitude", grid).alias("lat_i"),
+                           lon_raster_index("longitude", grid).alias("lon_i"), F.col(value).cast("double").alias(value))
+    else:
+        cells = raster_cells(obs, value, grid, month_col)
+    if months is None:
+        months = obs.select(month_col).distinct()
+    spine = (months.select(month_col, F.explode(F.sequence(F.lit(0), F.lit(grid.n_lat - 1))).alias("lat_i"))
+             .select(month_col, "lat_i", F.explode(F.sequence(F.lit(0), F.lit(grid.n_lon - 1))).alias("lon_i")))
+    return spine.join(cells, [month_col, "lat_i", "lon_i"], "left").select(
+        month_col, "lat_i", "lon_i",
+        (F.lit(grid.lat_min) + F.col("lat_i").cast("double") * F.lit(grid.step)).alias("latitude"),
         (F.lit(grid.lon_min) + F.col("lon_i").cast("double") * F.lit(grid.step)).alias("longitude"),
-        value)
+        F.coalesce(F.col(value), F.lit(NAN)).alias(value))
 
 
 def pivot_grid(df: DataFrame, value: str, row: str = "latitude", col: str = "longitude",

@@ -74,6 +74,13 @@ def stage_sla(raw_sla: DataFrame, step: float = 0.25, start=None, end=None) -> D
             .agg(F.avg("sea_level_anomaly_m").alias("sea_level_anomaly_m")))
 
 
+def point_lookup(keyed: DataFrame, latitude: float, longitude: float, step: float = 0.25) -> DataFrame:
+    """the rows of the cell that a point falls in, compared by integer cell key, so no
+    DOUBLE equality is involved; the predicate is pushed below the regrid."""
+    lat, lon = (snap_index(F.lit(float(x)), step) for x in (latitude, longitude))
+    return keyed.where((F.col("lat_idx") == lat) & (F.col("lon_idx") == lon))
+
+
 def public_cells(keyed: DataFrame, step: float = 0.25) -> DataFrame:
     """Keyed frame -> published staging schema
     ``year_month, year, month, latitude, longitude, <measures>``."""

@@ -86,6 +86,3 @@ def with_fitted(df: DataFrame, y, x: str, out, by: list[str] | None = None) -> D
             .withColumns({o: F.col(f"_a{i}") * F.col(x) + F.col(f"_b{i}") for i, o in enumerate(outs)})
             .drop(*[f"_a{i}" for i in range(len(ys))], *[f"_b{i}" for i in range(len(ys))]))
 
-
-def fitted_value(slope: Column, intercept: Column, x: Column) -> Column:
-    return slope * x + intercept

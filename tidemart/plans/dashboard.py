@@ -67,6 +67,21 @@ def trends(monthly: DataFrame, year_min: int = 1993, year_max: int = 2023,
     }).drop("_fit"), ordered, "year_month")
 
 
+def trend_line(monthly: DataFrame, value: str, year_min: int = 1993, year_max: int = 2023,
+               scale: float = 1.0, prefix: str = "") -> DataFrame:
+    """A10 over a D1 series: ``slope, intercept, n_points`` of ``value * scale`` on the days
+    since the first month of the year range, from one aggregate over the mart (the slope does
+    not depend on the x origin; the intercept is moved to the first month)."""
+    d = F.datediff(F.col("year_month"), F.lit(_EPOCH)).cast("double")
+    y = F.col(value) * F.lit(scale)
+    s = (monthly.where(F.year("year_month").between(F.lit(year_min), F.lit(year_max)))
+         .agg(F.min(d).alias("d0"), F.regr_slope(y, d).alias("a"), F.regr_avgx(y, d).alias("dx"),
+              F.regr_avgy(y, d).alias("y"), F.count(value).alias("n")))
+    return s.select(F.col("a").alias(f"{prefix}slope"),
+                    (F.col("y") - F.col("a") * (F.col("dx") - F.col("d0"))).alias(f"{prefix}intercept"),
+                    F.col("n").alias(f"{prefix}n_points"))
+
+
 def decades(monthly: DataFrame, edges=None, ordered: bool = False) -> DataFrame:
     """Decade averages of the monthly means, SLA also in cm."""
     return _order(decadal_means(monthly, edges)

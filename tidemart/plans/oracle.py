@@ -9,29 +9,28 @@ Spark side.
 
 from __future__ import annotations
 
-from tidemart.sources.fixtures import RAW_SLA_EXPRS, RAW_SST_EXPRS, RAW_SST_KELVIN_EXPR, select_sql
+from tidemart.sources.fixtures import EDGE_EXPRS, RAW_SLA_EXPRS, RAW_SST_EXPRS, RAW_SST_KELVIN_EXPR, select_sql
 
 
 def _sel(exprs) -> str:
     return select_sql(exprs)
 
 
-_ZONE = """CASE
-        WHEN {lat} >=  66.5 THEN 'Arctic'
-        WHEN {lat} >=  23.5 THEN 'N. Temperate'
-        WHEN {lat} >= -23.5 THEN 'Tropical'
-        WHEN {lat} >= -66.5 THEN 'S. Temperate'
-        ELSE                     'Antarctic'
-    END"""
+# lower edges of the zones from north to south; a latitude lies in the first zone whose edge it reaches
+_EDGES = [(66.5, "Arctic"), (23.5, "N. Temperate"), (-23.5, "Tropical"), (-66.5, "S. Temperate")]
+_EDGE_ROWS = ", ".join(f"({edge}e0, '{name}')" for edge, name in _EDGES)
 
 
 def zone_sql(lat: str) -> str:
-    return _ZONE.format(lat=lat)
+    """Range lookup in the edge table: the highest edge at or below the latitude."""
+    return (f"coalesce((SELECT arg_max(e.zone, e.edge) FROM (VALUES {_EDGE_ROWS}) AS e(edge, zone) "
+            f"WHERE e.edge <= {lat}), 'Antarctic')")
 
 
 BASE = f"""
 WITH raw_sst AS (SELECT {_sel(RAW_SST_EXPRS)} FROM lineitem),
 raw_sla AS (SELECT {_sel(RAW_SLA_EXPRS)} FROM orders),
+edge AS (SELECT {_sel(EDGE_EXPRS)} FROM lineitem),
 staging_sst AS (
     SELECT make_date(cast(year AS BIGINT), cast(month AS BIGINT), 1) AS year_month,
            cast(year AS BIGINT) AS year, cast(month AS BIGINT) AS month,
@@ -67,9 +66,7 @@ zone_stats AS (
     JOIN staging_sst AS sst USING (year_month, latitude, longitude)
     GROUP BY 1, 2, 3, 4),
 latest_sla AS (
-    SELECT max(year) AS latest_year,
-           max(month) FILTER (WHERE year = (SELECT max(year) FROM raw_sla)) AS latest_month
-    FROM raw_sla)
+    SELECT year AS latest_year, month AS latest_month FROM raw_sla ORDER BY year DESC, month DESC LIMIT 1)
 """
 
 
@@ -143,6 +140,31 @@ _CHECKS = {
 }
 
 
+#: longitudes of the fixture's lattice, spelled out (an independent list)
+_LATTICE = ("-180.0", "-135.0", "-90.0", "-45.0", "0.0", "45.0", "90.0", "135.0", "180.0")
+
+
+def _grid(value: str, src: str) -> str:
+    """Latitude by longitude of the newest SLA month; a value off the lattice gets a row of its own."""
+    cells = ", ".join(f'max({value}) FILTER (longitude = {x}e0) AS "{x}"' for x in _LATTICE)
+    return q(f"""SELECT latitude, {cells} FROM {src}
+                 WHERE year_month = (SELECT make_date(latest_year, latest_month, 1) FROM latest_sla)
+                 GROUP BY latitude, longitude NOT IN ({", ".join(x + "e0" for x in _LATTICE)})""",
+             ["latitude", *[f'"{x}"' for x in _LATTICE]])
+
+
+def _raster_rows() -> str:
+    return q(f"""
+        SELECT {_LATEST_STAGED} AS year_month, lat_i, -90e0 + lat_i * 0.25e0 AS latitude,
+               list(v ORDER BY lon_i) AS "values"
+        FROM (SELECT cast(a.range AS INTEGER) AS lat_i, b.range AS lon_i, coalesce(c.v, 'NaN'::DOUBLE) AS v
+              FROM range(721) AS a CROSS JOIN range(1441) AS b
+              LEFT JOIN (SELECT round((latitude + 90e0) / 0.25e0) AS y, round((longitude + 180e0) / 0.25e0) AS x,
+                                cast(round(cast(sst_celsius AS DECIMAL(38, 12)), 6) AS DOUBLE) AS v
+                         FROM staging_sst WHERE year_month = {_LATEST_STAGED}) AS c ON c.y = a.range AND c.x = b.range)
+        GROUP BY lat_i""")
+
+
 def _named(sql: str, name: str) -> str:
     return f"SELECT '{name}' AS \"check\", passed, violations FROM ({sql}) AS c"
 
@@ -262,12 +284,53 @@ ORACLE: dict[str, str] = {
         FROM spine LEFT JOIN cells AS c USING (lat_i, lon_i)""", ["latitude", "longitude", "sst_celsius"]),
     "grid_flatten": q(f"""SELECT year_month, latitude, longitude, sst_celsius FROM staging_sst
                           WHERE year_month = {_LATEST_STAGED}""", ["latitude", "longitude", "sst_celsius"]),
-    "latest_sla_grid": q(
-        "SELECT latitude, "
-        + ", ".join(f"max(CASE WHEN longitude = {-180.0 + 45.0 * k}e0 THEN sea_level_anomaly_m END) "
-                    f"AS \"{-180.0 + 45.0 * k}\"" for k in range(9))
-        + " FROM staging_sla WHERE year_month = (SELECT max(year_month) FROM staging_sla) GROUP BY latitude",
-        ["latitude"] + [f"\"{-180.0 + 45.0 * k}\"" for k in range(9)]),
+    "latest_sla_grid": _grid("sea_level_anomaly_m", "staging_sla"),
+    "latest_sst_grid": _grid("sst_celsius", "staging_sst"),
+    "sst_map_month": q("""SELECT year_month, latitude, longitude, sst_celsius FROM staging_sst
+                          WHERE year = 1997 AND month = 6""", ["latitude", "longitude", "sst_celsius"]),
+    "grid_flatten_two": q(f"""SELECT year_month, latitude, longitude, sst_celsius, sea_ice_fraction FROM staging_sst
+                              WHERE year_month = {_LATEST_STAGED}""",
+                          ["latitude", "longitude", "sst_celsius", "sea_ice_fraction"]),
+    "scan_range": q("""SELECT * FROM raw_sst WHERE (year = 1996 AND month >= 11) OR (year = 1997 AND month <= 2)""",
+                    ["latitude", "longitude", "sst_celsius", "sea_ice_fraction"]),
+    "concat_months": q("""SELECT * FROM raw_sla WHERE (year, month) IN ((1995, 3), (1996, 4))""",
+                       ["latitude", "longitude", "sea_level_anomaly_m"]),
+    "values_join": q("""SELECT latitude_zone, count(*) AS months, cast(CASE latitude_zone WHEN 'Arctic' THEN 1
+                        WHEN 'Tropical' THEN 3 ELSE 5 END AS INTEGER) AS code FROM zone_stats
+                        WHERE latitude_zone IN ('Arctic', 'Tropical', 'Antarctic') GROUP BY 1"""),
+    "zone_slice": q("SELECT * FROM zone_stats WHERE latitude_zone = 'Tropical'",
+                    ["avg_sla_m", "avg_sst_celsius", "avg_sea_ice_fraction"]),
+    "point_lookup": q("""SELECT * FROM staging_sst WHERE abs(latitude - 7.5e0) < 0.01e0
+                         AND abs(longitude + 45e0) < 0.01e0""",
+                      ["latitude", "longitude", "sst_celsius", "sea_ice_fraction"]),
+    "linear_trend_by_zone": q("""SELECT latitude_zone, regr_slope(avg_sst_celsius, year) AS slope,
+                                 regr_intercept(avg_sst_celsius, year) AS intercept, count(avg_sst_celsius) AS n_points
+                                 FROM zone_stats GROUP BY 1""", ["slope", "intercept"]),
+    "sst_raster_rows": _raster_rows(),
+    "zone_series_arrays": q("""SELECT latitude_zone, list(strftime(year_month, '%Y-%m-%d') ORDER BY year_month) AS months,
+                               list(cast(round(cast(avg_sst_celsius AS DECIMAL(38, 12)), 6) AS DOUBLE) ORDER BY year_month)
+                                 AS avg_sst_celsius FROM zone_stats GROUP BY 1"""),
+    "edge_regrid": q("""SELECT make_date(year, month, 1) AS year_month, cast(year AS BIGINT) AS year,
+                        cast(month AS BIGINT) AS month, round(latitude / 0.25e0) * 0.25e0 + 0e0 AS latitude,
+                        round(longitude / 0.25e0) * 0.25e0 + 0e0 AS longitude, avg(sst_celsius) AS sst_celsius,
+                        avg(sea_ice_fraction) AS sea_ice_fraction FROM edge
+                        WHERE sst_celsius IS NOT NULL AND NOT isnan(sst_celsius) GROUP BY 1, 2, 3, 4, 5""",
+                     ["latitude", "longitude", "sst_celsius", "sea_ice_fraction"]),
+    "edge_zones": q(f"""SELECT {zone_sql('latitude')} AS latitude_zone, CASE WHEN year < 2003 THEN '1993-2002'
+                        WHEN year < 2013 THEN '2003-2012' ELSE '2013-2023' END AS decade,
+                        abs(latitude) IN (66.5e0, 23.5e0) AS on_edge, count(*) AS n FROM edge GROUP BY ALL"""),
+    "edge_percentiles": q("""SELECT CASE WHEN month < 12 THEN month END AS grp, count(v) AS n,
+                             quantile_cont(v, 0.02) AS p02, quantile_cont(v, 0.5) AS p50, quantile_cont(v, 0.98) AS p98
+                             FROM (SELECT month, CASE WHEN month <> 3 AND NOT isnan(sst_celsius) THEN sst_celsius END AS v
+                                   FROM edge) AS e GROUP BY 1""", ["p02", "p50", "p98"]),
+    "edge_checks": q(f"""
+        SELECT 'unique(year,month)' AS "check", count(*) = count(DISTINCT (year, month)) AS passed,
+               count(*) - count(DISTINCT (year, month)) AS violations FROM edge
+        UNION ALL SELECT 'not_null(sst_celsius)', count(*) = count(sst_celsius), count(*) - count(sst_celsius) FROM edge
+        UNION ALL SELECT 'accepted_values(latitude_zone)', count(*) FILTER (z NOT IN ('Arctic', 'Tropical')) = 0,
+               count(*) FILTER (z NOT IN ('Arctic', 'Tropical')) FROM (SELECT {zone_sql('latitude')} AS z FROM edge)
+        UNION ALL SELECT 'positive(v)', count(*) FILTER (year <= 2000) = 0, count(*) FILTER (year <= 2000) FROM edge
+        UNION ALL SELECT 'not_empty', false, cast(1 AS BIGINT)"""),
     "quality_checks": q(" UNION ALL ".join([
         _named(_CHECKS["not_empty"], "monthly.not_empty"),
         _named(_CHECKS["positive"], "monthly.grid_points_positive"),
@@ -276,6 +339,14 @@ ORACLE: dict[str, str] = {
         _named(_CHECKS["accepted"], "zones.accepted_zone_names"),
         _CHECKS["zone_key"],
     ])),
+    "quality_checks_marts": q(" UNION ALL ".join([
+        _named(_CHECKS["not_empty"], "monthly.not_empty"),
+        _named(_CHECKS["positive"], "monthly.grid_points_positive"),
+        _named(_CHECKS["not_null"], "monthly.year_month_not_null"),
+        _named(_CHECKS["unique"], "monthly.year_month_unique"),
+        _named(_CHECKS["accepted"], "zones.accepted_zone_names"),
+        _CHECKS["zone_key"],
+    ])),
     "check_unique": q(_CHECKS["unique"]),
     "check_not_null": q(_CHECKS["not_null"]),
     "check_accepted_values": q(_CHECKS["accepted"]),

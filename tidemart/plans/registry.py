@@ -8,7 +8,9 @@ depends on summation order).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ from pyspark.sql import types as T
 from tidemart.functions.calendar import (
     month_date, month_label, month_label_to_month, month_label_to_year, month_spine, parse_date,
 )
-from tidemart.functions.cells import GRID_025, lat_raster_index, lon_raster_index, snap
+from tidemart.functions.cells import GRID_025, GridSpec, lat_raster_index, lon_raster_index, snap
 from tidemart.functions.cleaning import drop_missing
 from tidemart.functions.units import kelvin_to_celsius
 from tidemart.functions.zones import decade, latitude_zone
@@ -26,12 +28,17 @@ from tidemart.operators.quantiles import exact_percentiles
 from tidemart.operators.trends import linear_trend, month_ordinal, with_fitted
 from tidemart.plans import dashboard
 from tidemart.sources import fixtures as fx
-from tidemart.sources.frames import empty_typed
+from tidemart.session import ensure_checkpoint_dir
+from tidemart.sources.frames import concat_months, empty_typed, values_table
 from tidemart.sources.gridded import grid_flatten
+from tidemart.sources.lake import scan_lake, write_lake_month
 from tidemart.schemas import STAGING_SST
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: the coarse grid that the fixture's observations lie on
+LATTICE = GridSpec(step=45.0)
+
 
 def round_double(c, digits: int = 6):
     """Round a DOUBLE for cross-engine comparison: first to 12 decimals (absorbs the
@@ -204,9 +211,12 @@ def q_zone_percentiles(spark, sf):
 
 
 def q_linear_trend(spark, sf):
-    d1 = dashboard.trends(_monthly(spark, sf), show_trend=False)
-    a = linear_trend(d1, "avg_sla_cm", "x_days", prefix="sla_")
-    return rounded(a)
+    return rounded(dashboard.trend_line(_monthly(spark, sf), "avg_sla_m", scale=100.0, prefix="sla_"))
+
+
+def q_linear_trend_by_zone(spark, sf):
+    """A10 per latitude zone, on the year as x."""
+    return rounded(linear_trend(_zones(spark, sf), "avg_sst_celsius", "year", by=["latitude_zone"]))
 
 
 def q_linear_trend_ordinal(spark, sf):
@@ -254,7 +264,15 @@ def q_raster_index(spark, sf):
 
 def q_sst_map(spark, sf):
     """The full 721 x 1441 grid of the newest staged month, long form."""
-    return rounded(reshape.dense_fill(_latest_staged_sst(spark, sf), "sst_celsius", GRID_025))
+    return rounded(reshape.dense_fill(_latest_staged_sst(spark, sf), "sst_celsius", GRID_025, unique_cells=True))
+
+
+def q_sst_map_month(spark, sf):
+    """D4 by (year, month): raster rows of one staged month, cells without a value left out."""
+    raster = dashboard.sst_map(_staged_sst(spark, sf), 1997, 6)
+    flat = grid_flatten(raster, "values", "sst_celsius", lon_min=GRID_025.lon_min, step=GRID_025.step,
+                        keep=["year_month", "latitude"])
+    return rounded(drop_missing(flat, "sst_celsius"))
 
 
 def q_grid_flatten(spark, sf):
@@ -265,29 +283,119 @@ def q_grid_flatten(spark, sf):
     return rounded(drop_missing(flat, "sst_celsius"))
 
 
+def q_grid_flatten_two(spark, sf):
+    """S12 with two variables: raster rows of both measures zipped and exploded once."""
+    latest = _latest_staged_sst(spark, sf)
+    rows = (reshape.dense_raster(latest, "sst_celsius", GRID_025).withColumnRenamed("values", "sst")
+            .join(reshape.dense_raster(latest, "sea_ice_fraction", GRID_025)
+                  .select("year_month", "lat_i", F.col("values").alias("ice")), ["year_month", "lat_i"]))
+    flat = grid_flatten(rows, ["sst", "ice"], ["sst_celsius", "sea_ice_fraction"], lon_min=GRID_025.lon_min,
+                        step=GRID_025.step, keep=["year_month", "latitude"])
+    return rounded(drop_missing(flat, "sst_celsius", ["sst_celsius", "sea_ice_fraction"]))
+
+
+def q_scan_range(spark, sf):
+    """The raw SST observations written as a lake and read back for a range that
+    begins and ends inside a month."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemart-lake-{uuid.uuid4().hex}"
+    raw = fx.raw_sst(spark, sf)
+    write_lake_month(raw, base)
+    back = scan_lake(spark, base, raw.schema, "1996-11-15", "1997-02-02")
+    return rounded(back.select(*raw.columns))
+
+
+def q_concat_months(spark, sf):
+    """UNION ALL of three month slices, of which one is empty."""
+    raw = fx.raw_sla(spark, sf)
+    return rounded(concat_months([series.slice_month(raw, y, m) for y, m in ((1995, 3), (1996, 4), (2050, 1))]))
+
+
+def q_values_join(spark, sf):
+    """An inline table of zone codes joined to the zones of the mart."""
+    codes = values_table(spark, [("Arctic", 1), ("Tropical", 3), ("Antarctic", 5), ("Nowhere", 9)],
+                         "latitude_zone string, code int")
+    return _zones(spark, sf).groupBy("latitude_zone").agg(F.count(F.lit(1)).alias("months")).join(codes, "latitude_zone")
+
+
+def q_zone_slice(spark, sf):
+    """one zone of the mart."""
+    return rounded(_zones(spark, sf).where(F.col("latitude_zone") == "Tropical"))
+
+
+def q_point_lookup(spark, sf):
+    """the series of one cell, looked up by its integer key."""
+    _, sst = _keyed(spark, sf)
+    return rounded(staging.public_cells(staging.point_lookup(sst, 7.5, -45.0)))
+
+
 def q_sst_raster_rows(spark, sf):
     """R2 / D4 as raster rows: 721 rows of 1441 values (NaN where no cell) for the newest
-    staged month. Values are oracle-checked through ``grid_flatten``; no oracle here
-    (array-valued rows)."""
-    return reshape.dense_raster(_latest_staged_sst(spark, sf), "sst_celsius", GRID_025)
+    staged month."""
+    return reshape.dense_raster(rounded(_latest_staged_sst(spark, sf)), "sst_celsius", GRID_025)
 
 
 def q_zone_series_arrays(spark, sf):
-    """R3 array form: one month-ordered series per zone (values checked via ``zones``)."""
-    return reshape.zone_series_arrays(_zones(spark, sf), "avg_sst_celsius")
+    """R3 array form: one month-ordered series per zone, as two parallel arrays."""
+    arrays = reshape.zone_series_arrays(rounded(_zones(spark, sf)), "avg_sst_celsius")
+    return arrays.select("latitude_zone", F.transform("series", lambda x: F.date_format(x["year_month"], "yyyy-MM-dd")).alias("months"),
+                         F.transform("series", lambda x: x["avg_sst_celsius"]).alias("avg_sst_celsius"))
 
 
 def q_latest_sla_grid(spark, sf):
     """Pivot of the newest month of staged SLA (one column per longitude)."""
     latest = series.slice_latest_month(_staged_sla(spark, sf))
-    axis = [-180.0 + 45.0 * k for k in range(9)]  # the lattice's longitudes
-    return rounded(reshape.pivot_grid(latest, "sea_level_anomaly_m", col_values=axis))
+    return rounded(dashboard.latest_map(latest, "sea_level_anomaly_m", col_values=LATTICE.lon_axis))
+
+
+def q_latest_sst_grid(spark, sf):
+    """Pivot of the staged SST in the newest month of SLA. The pivot needs unique
+    cells, so the staged month is taken, not the raw one."""
+    ym = series.latest_month_value(fx.raw_sla(spark, sf))
+    staged = _staged_sst(spark, sf)
+    latest = staged.where(F.struct(F.col("year").cast("int").alias("y"), F.col("month").cast("int").alias("m")) == ym)
+    return rounded(dashboard.latest_map(latest, "sst_celsius", col_values=LATTICE.lon_axis))
 
 
 def q_quality_checks(spark, sf):
     sla, sst = _keyed(spark, sf)
-    monthly, zones = marts.marts_from_partials(marts.zone_partials(sla, sst))
-    return quality.mart_checks(monthly, zones)
+    return quality.partials_checks(marts.zone_partials(sla, sst))
+
+
+def q_quality_checks_marts(spark, sf):
+    """The same six checks, each over the finished mart tables."""
+    sla, sst = _keyed(spark, sf)
+    return quality.mart_checks(*marts.marts_from_partials(marts.zone_partials(sla, sst)))
+
+
+def q_edge_regrid(spark, sf):
+    """A1 over coordinates on rounding ties, NaN and NULL measures dropped first."""
+    return rounded(staging.public_cells(staging.regrid_sst(drop_missing(fx.edge_obs(spark, sf), "sst_celsius"))))
+
+
+def q_edge_zones(spark, sf):
+    """P9 / P10 on zone edges and in every decade."""
+    obs = fx.edge_obs(spark, sf).select(latitude_zone("latitude").alias("latitude_zone"), decade("year").alias("decade"),
+                                        (F.abs("latitude").isin(66.5, 23.5)).alias("on_edge"))
+    return obs.groupBy("latitude_zone", "decade", "on_edge").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_edge_percentiles(spark, sf):
+    """A9 with NaN and NULL values and a group that has no valid one."""
+    obs = fx.edge_obs(spark, sf).select(
+        F.when(F.col("month") < 12, F.col("month")).alias("grp"),
+        F.when(F.col("month") != 3, F.col("sst_celsius")).alias("v"))
+    return rounded(exact_percentiles(obs, "v", [0.02, 0.5, 0.98], names=["p02", "p50", "p98"], by=["grp"]))
+
+
+def q_edge_checks(spark, sf):
+    """Q1-Q5, each on data that breaks it."""
+    obs = fx.edge_obs(spark, sf)
+    zones = obs.select(latitude_zone("latitude").alias("latitude_zone"))
+    checks = [quality.check_unique(obs, ["year", "month"]), quality.check_not_null(obs, "sst_celsius"),
+              quality.check_accepted_values(zones, "latitude_zone", ["Arctic", "Tropical"]),
+              quality.check_positive(obs.select((F.col("year") - 2000).alias("v")), "v"),
+              quality.check_not_empty(obs.where("year < 1900"))]
+    return reduce(DataFrame.unionByName, checks)
 
 
 def q_check_unique(spark, sf):
@@ -367,10 +475,24 @@ QUERIES: dict[str, Query] = {
     "raster_index": q_raster_index,
     "sst_map": q_sst_map,
     "grid_flatten": q_grid_flatten,
+    "sst_map_month": q_sst_map_month,
+    "grid_flatten_two": q_grid_flatten_two,
+    "scan_range": q_scan_range,
+    "concat_months": q_concat_months,
+    "values_join": q_values_join,
+    "zone_slice": q_zone_slice,
+    "point_lookup": q_point_lookup,
+    "linear_trend_by_zone": q_linear_trend_by_zone,
     "sst_raster_rows": q_sst_raster_rows,
     "zone_series_arrays": q_zone_series_arrays,
     "latest_sla_grid": q_latest_sla_grid,
+    "latest_sst_grid": q_latest_sst_grid,
     "quality_checks": q_quality_checks,
+    "quality_checks_marts": q_quality_checks_marts,
+    "edge_regrid": q_edge_regrid,
+    "edge_zones": q_edge_zones,
+    "edge_percentiles": q_edge_percentiles,
+    "edge_checks": q_edge_checks,
     "check_unique": q_check_unique,
     "check_not_null": q_check_not_null,
     "check_accepted_values": q_check_accepted_values,

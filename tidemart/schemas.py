@@ -20,66 +20,66 @@ def _f(name: str, dtype: T.DataType, desc: str = "", pk: bool = False) -> T.Stru
 # --- raw layer (lake, partitioned by year, month) -----------------------------------
 
 RAW_SLA = T.StructType([
-    _f("year", T.IntegerType(), "Year of the observation", pk=True),
-    _f("month", T.IntegerType(), "Month of the observation (1-12)", pk=True),
-    _f("latitude", T.DoubleType(), "Latitude in degrees (-90 to 90), 0.25 degree grid"),
-    _f("longitude", T.DoubleType(), "Longitude in degrees (-180 to 180), 0.25 degree grid"),
-    _f("sea_level_anomaly_m", T.DoubleType(), "Sea level anomaly in metres"),
+    _f("year", T.IntegerType(), "calendar year", pk=True),
+    _f("month", T.IntegerType(), "calendar month, 1 to 12", pk=True),
+    _f("latitude", T.DoubleType(), "cell centre, degrees north"),
+    _f("longitude", T.DoubleType(), "cell centre, degrees east"),
+    _f("sea_level_anomaly_m", T.DoubleType(), "height above the mean sea surface, m"),
 ])
 
 # The SST source ships float32 values on a 0.05 degree grid; they are widened to
 # double before any arithmetic (see functions.cells.snap).
 RAW_SST = T.StructType([
-    _f("year", T.IntegerType(), "Year of the observation", pk=True),
-    _f("month", T.IntegerType(), "Month of the observation (1-12)", pk=True),
-    _f("latitude", T.FloatType(), "Latitude in degrees, native 0.05 degree grid"),
-    _f("longitude", T.FloatType(), "Longitude in degrees, native 0.05 degree grid"),
-    _f("sst_celsius", T.FloatType(), "Sea surface temperature in degrees C"),
-    _f("sea_ice_fraction", T.FloatType(), "Sea ice fraction (0-1)"),
+    _f("year", T.IntegerType(), "calendar year", pk=True),
+    _f("month", T.IntegerType(), "calendar month, 1 to 12", pk=True),
+    _f("latitude", T.FloatType(), "source point, degrees north"),
+    _f("longitude", T.FloatType(), "source point, degrees east"),
+    _f("sst_celsius", T.FloatType(), "water temperature, celsius"),
+    _f("sea_ice_fraction", T.FloatType(), "share of the cell under ice, 0 to 1"),
 ])
 
 # --- staging layer ------------------------------------------------------------------
 
 STAGING_SLA = T.StructType([
-    _f("year_month", T.DateType(), "First day of the observation month"),
+    _f("year_month", T.DateType(), "month, as its first day"),
     _f("year", T.LongType()),
     _f("month", T.LongType()),
-    _f("latitude", T.DoubleType(), "Latitude, 0.25 degree grid"),
-    _f("longitude", T.DoubleType(), "Longitude, 0.25 degree grid"),
-    _f("sea_level_anomaly_m", T.DoubleType(), "Sea level anomaly in metres"),
+    _f("latitude", T.DoubleType(), "cell centre, degrees north"),
+    _f("longitude", T.DoubleType(), "cell centre, degrees east"),
+    _f("sea_level_anomaly_m", T.DoubleType(), "height above the mean sea surface, m"),
 ])
 
 STAGING_SST = T.StructType([
-    _f("year_month", T.DateType(), "First day of the observation month"),
+    _f("year_month", T.DateType(), "month, as its first day"),
     _f("year", T.LongType()),
     _f("month", T.LongType()),
-    _f("latitude", T.DoubleType(), "Latitude, regridded to 0.25 degree grid"),
-    _f("longitude", T.DoubleType(), "Longitude, regridded to 0.25 degree grid"),
-    _f("sst_celsius", T.DoubleType(), "SST in degrees C, averaged over the 0.25 degree cell"),
-    _f("sea_ice_fraction", T.DoubleType(), "Sea ice fraction, averaged over the cell"),
+    _f("latitude", T.DoubleType(), "cell centre, degrees north"),
+    _f("longitude", T.DoubleType(), "cell centre, degrees east"),
+    _f("sst_celsius", T.DoubleType(), "mean water temperature of the cell, celsius"),
+    _f("sea_ice_fraction", T.DoubleType(), "mean ice share of the cell"),
 ])
 
 # --- mart layer ---------------------------------------------------------------------
 
 MONTHLY_GLOBAL_TRENDS = T.StructType([
-    _f("year_month", T.DateType(), "First day of the observation month", pk=True),
+    _f("year_month", T.DateType(), "month, as its first day", pk=True),
     _f("year", T.LongType()),
     _f("month", T.LongType()),
-    _f("avg_sla_m", T.DoubleType(), "Global average sea level anomaly in metres"),
-    _f("avg_sst_celsius", T.DoubleType(), "Global average SST in degrees C"),
-    _f("avg_sea_ice_fraction", T.DoubleType(), "Global average sea ice fraction"),
-    _f("grid_points", T.LongType(), "Number of grid cells contributing to the averages"),
+    _f("avg_sla_m", T.DoubleType(), "mean anomaly over all joined cells, m"),
+    _f("avg_sst_celsius", T.DoubleType(), "mean temperature over all joined cells, celsius"),
+    _f("avg_sea_ice_fraction", T.DoubleType(), "mean ice share over all joined cells"),
+    _f("grid_points", T.LongType(), "joined cells of the month"),
 ])
 
 LATITUDE_ZONE_STATS = T.StructType([
-    _f("year_month", T.DateType(), "First day of the observation month", pk=True),
+    _f("year_month", T.DateType(), "month, as its first day", pk=True),
     _f("year", T.LongType()),
     _f("month", T.LongType()),
-    _f("latitude_zone", T.StringType(), "Latitude zone name", pk=True),
-    _f("avg_sla_m", T.DoubleType(), "Average sea level anomaly in metres for the zone"),
-    _f("avg_sst_celsius", T.DoubleType(), "Average SST in degrees C for the zone"),
-    _f("avg_sea_ice_fraction", T.DoubleType(), "Average sea ice fraction for the zone"),
-    _f("grid_points", T.LongType(), "Number of grid cells in the zone"),
+    _f("latitude_zone", T.StringType(), "band of latitudes", pk=True),
+    _f("avg_sla_m", T.DoubleType(), "mean anomaly over the joined cells of the band, m"),
+    _f("avg_sst_celsius", T.DoubleType(), "mean temperature over the joined cells of the band, celsius"),
+    _f("avg_sea_ice_fraction", T.DoubleType(), "mean ice share over the joined cells of the band"),
+    _f("grid_points", T.LongType(), "joined cells of the band in the month"),
 ])
 
 # Table name -> (schema, partition column, clustering columns)
@@ -89,6 +89,3 @@ TABLES = {
     "mart.latitude_zone_stats": (LATITUDE_ZONE_STATS, "year_month", ["latitude_zone"]),
 }
 
-
-def primary_key(schema: T.StructType) -> list[str]:
-    return [f.name for f in schema.fields if f.metadata.get("primary_key")]

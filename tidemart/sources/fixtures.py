@@ -37,6 +37,19 @@ RAW_SLA_EXPRS = [
 RAW_SST_KELVIN_EXPR = ("analysed_sst", "l_quantity*0.5e0 + 271.15e0")
 
 
+# Harder values: rounding ties (multiples of 0.125), latitudes on the zone edges, NaN and
+# NULL measures, years in every decade bucket, repeated keys
+EDGE_EXPRS = [
+    ("year", "cast(1993 + l_orderkey%31 as int)"),
+    ("month", "cast(1 + l_partkey%12 as int)"),
+    ("latitude", "-90e0 + 0.125e0*(l_partkey%1441)"),
+    ("longitude", "-180e0 + 0.125e0*(l_suppkey%2881)"),
+    ("sst_celsius", "case when l_linenumber = 5 then cast('NaN' as double) "
+                    "when l_linenumber = 6 then null else l_quantity*0.5e0 - 2e0 end"),
+    ("sea_ice_fraction", "(l_partkey%9)/8e0"),
+]
+
+
 def select_sql(exprs) -> str:
     return ", ".join(f"{e} as {a}" for a, e in exprs)
 
@@ -69,6 +82,11 @@ def raw_sst(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").selectExpr(*[f"{e} as {a}" for a, e in RAW_SST_EXPRS])
 
 
+def edge_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations per lineitem with the values that are easily got wrong."""
+    return table(spark, sf_dir, "lineitem").selectExpr(*[f"{e} as {a}" for a, e in EDGE_EXPRS])
+
+
 def raw_sst_kelvin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Like :func:`raw_sst` but with the source's kelvin measure ``analysed_sst``."""
     exprs = [x for x in RAW_SST_EXPRS if x[0] != "sst_celsius"] + [RAW_SST_KELVIN_EXPR]
