@@ -33,3 +33,13 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns[:3] == ["year_month", "year", "month"] and df.count() == 79
+
+
+def test_entry_works_without_the_optional_subpackage():
+    import subprocess
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import sys; sys.modules['tidemart.llm'] = None\n"
+            "import __spark_entry__ as E\n"
+            "assert E.LLM_QUERIES == {} and 'monthly_global_trends' in E.queries() and set(E.oracle_sql()) == set(E.queries())\n")
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr[-2000:]
