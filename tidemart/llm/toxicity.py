@@ -66,8 +66,10 @@ def train(samples: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) -
     base = float(np.log(prior / (1 - prior)))
     if not len(labels):
         return np.zeros(0, np.int64), np.zeros(0, np.float32), base
-    used, count = np.unique(np.concatenate(samples), return_counts=True)
-    used = used[count > 1]  # a slot of one text only says nothing about others
+    count = np.zeros(1 << BITS, np.int32)
+    for s in samples:
+        count[s] += 1
+    used = np.flatnonzero(count > 1)  # a slot of one text only says nothing about others
     place = np.full(1 << BITS, -1, np.int32)
     place[used] = np.arange(len(used))
     known = [at[at >= 0] for at in (place[s] for s in samples)]
@@ -128,7 +130,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, doc_id:
              .select("doc_id", "y", "text").limit(max_train)
              .mapInArrow(_collect_features, "doc_id long, y int, slots binary"))
     table = found.toArrow().sort_by([("doc_id", "ascending"), ("slots", "ascending")])
-    samples = [np.frombuffer(x, np.uint32) for x in table.column("slots").to_pylist()]
+    samples = [np.frombuffer(x.as_buffer(), np.uint32) for x in table.column("slots")]
     return train(samples, np.array(table.column("y").to_pylist(), float))
 
 
