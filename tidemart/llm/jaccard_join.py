@@ -291,8 +291,9 @@ def link_keyed(base: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[Dat
     few = prefixes.count() <= MAX_IDS
     texts = base.join(F.broadcast(ids) if few else ids, ["doc", "tie"])
     sets = materialise(texts.mapInArrow(_sets(k, levels), "node long, content binary, sketch binary").dropDuplicates(["node"]))
-    index = materialise(prefixes.select(F.explode("codes").alias("key"), "node", "n").join(sets.select("node", "sketch"), "node"))
-    comp = grouped_components(index, sets, _links(percent), _close(percent), ["n", "sketch"])
+    index = prefixes.select(F.explode("codes").alias("key"), "node")
+    bounds = materialise(prefixes.select("node", "n").join(sets.select("node", "sketch"), "node"))
+    comp = grouped_components(index, bounds, sets, _links(percent), _close(percent))
     named = classes.select("c1", "c2", name.alias("_node"))
     members = (members.join(named, ["c1", "c2"], "left")
                .withColumn("own", F.when(F.col("tie") == 0, F.col("doc")).otherwise(F.xxhash64("doc", "tie")))

@@ -117,39 +117,44 @@ def _cell_ids(batches):
         yield batch.append_column("cell", pa.array((h >> np.uint64(1)).astype(np.int64))).drop_columns(["key", "i", "j"])
 
 
-def grouped_components(index: DataFrame, contents: DataFrame, links: Callable, close: Callable,
-                       carried: list[str], stars: int = STARS) -> DataFrame:
+def grouped_components(index: DataFrame, nodes: DataFrame, contents: DataFrame, links: Callable, close: Callable,
+                       stars: int = STARS) -> DataFrame:
     """(node, component) of the nodes that link, directly or through others.
 
-    ``index``: rows (key, node, *carried); ``contents``: (node, content); ``links(content,
-    [(content, node), ...])``: nodes among sorted candidates that link; ``close(a, b)``: a
-    vectorised test over dicts of carried columns that every pair that links passes.
+    ``index``: rows (key, node); ``nodes``: one row of columns per node, which ``close`` gets;
+    ``contents``: (node, content); ``links(content, [(content, node), ...])``: nodes among
+    sorted candidates that link; ``close(a, b)``: a vectorised test over dicts of the columns
+    of ``nodes`` that every pair that links passes.
     """
     spark = index.sparkSession
-    kinds = {c: k for c, k in index.dtypes}
+    carried = [c for c in nodes.columns if c != "node"]
+    index = index.select("key", "node")
     known = index.withColumn("component", F.col("node"))
     found = comp = None
     for turn in range(stars + 1):
+        ends = known.select("key", F.struct("node", "component").alias("x"))
+        groups = ends.groupBy("key").agg(
+            F.min("x.component").alias("a"), F.max("x.component").alias("b"), F.count("*").alias("_size"),
+            F.min_by("x", F.xxhash64(F.col("x.node") + (turn if turn < stars else 0))).alias("p")).filter("a != b")
         if turn < stars:
-            ends = known.select("key", F.struct("node", "component", *carried).alias("x"))
-            pivots = ends.groupBy("key").agg(F.min("x.component").alias("a"), F.max("x.component").alias("b"),
-                                             F.min_by("x", F.xxhash64(F.col("x.node") + turn)).alias("p"))
-            pairs = (ends.join(pivots.filter("a != b").select("key", "p"), "key").filter("x.component != p.component")
-                     .select(F.col("p.node").alias("pivot"), F.col("x.node").alias("node"),
-                             *[F.col(f"{s}.{c}").alias(f"{t}_{c}") for t, s in (("a", "p"), ("b", "x")) for c in carried])
-                     .dropDuplicates(["pivot", "node"])
+            pairs = (ends.join(groups.select("key", "p"), "key").filter("x.component != p.component")
+                     .select(F.col("p.node").alias("pivot"), F.col("x.node").alias("node")).distinct())
+            for end, side in (("pivot", "a"), ("node", "b")):
+                pairs = pairs.join(nodes.select(F.col("node").alias(end), *[F.col(c).alias(f"{side}_{c}") for c in carried]), end)
+            pairs = (pairs.select("pivot", "node", *[f"{s}_{c}" for s in "ab" for c in carried])
                      .mapInArrow(_passing(close, carried), "pivot long, node long"))
         else:
-            mixed = known.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"),
-                                             F.ceil(F.count("*") / BLOCK).cast("long").alias("_blocks")).filter("a != b")
-            dealt = (known.join(mixed.select("key", "_blocks"), "key")
+            blocks = F.ceil(F.col("_size") / BLOCK).cast("long")
+            dealt = (known.join(groups.select("key", F.col("p.node").alias("home"), blocks.alias("_blocks")), "key")
                      .withColumn("block", F.pmod(F.xxhash64("node"), F.col("_blocks")))
                      .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
                      .select("key", F.least("block", "_other").alias("i"), F.greatest("block", "_other").alias("j"),
-                             "node", "component", "block", (F.col("block") == F.col("_other")).alias("own"), *carried))
-            row = ", ".join(["node long", "component long", "block long", "own boolean",
-                             *[f"{c} {kinds[c]}" for c in carried], "cell long"])
-            pairs = (dealt.mapInArrow(_cell_ids, row).repartition(shuffle_partitions(spark), "cell")
+                             "home", "node", "component", "block", (F.col("block") == F.col("_other")).alias("own")))
+            row = ", ".join(["home long", "node long", "component long", "block long", "own boolean", "cell long"])
+            # keys of one cluster of near copies mostly have the same pivot: their pairs meet in one task, once
+            pairs = (dealt.withColumn("home", F.xxhash64("home", "i", "j")).mapInArrow(_cell_ids, row)
+                     .join(nodes, "node").select("home", "node", "component", "block", "own", "cell", *carried)
+                     .repartition(shuffle_partitions(spark), "home")
                      .mapInArrow(_all_pairs(close, carried), "pivot long, node long").distinct())
         pairs = materialise(pairs)
         if pairs.isEmpty():
