@@ -14,7 +14,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from tidemart.plans.registry import QUERIES  # noqa: E402
 from tidemart.plans.inspect import shuffle_metrics  # noqa: E402
 from tidemart.session import get_session  # noqa: E402
 
@@ -39,7 +39,7 @@ def main():
     spark = get_session("local[8]")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    qs = E.queries()
+    qs = QUERIES
     lines = ["# Physical plans (broadcast joins disabled)", "",
              "Generated by `tools/explain_plans.py` at " + sf + ". Counts are operators in the",
              "physical plan before adaptive re-planning (identical subtrees are listed each time",
