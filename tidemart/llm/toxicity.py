@@ -131,7 +131,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, doc_id:
              .mapInArrow(_collect_features, "doc_id long, y int, slots binary"))
     table = found.toArrow().sort_by([("doc_id", "ascending"), ("slots", "ascending")])
     samples = [np.frombuffer(x.as_buffer(), np.uint32) for x in table.column("slots")]
-    return train(samples, np.array(table.column("y").to_pylist(), float))
+    model = train(samples, np.array(table.column("y").to_pylist(), float))
+    del samples, table
+    pa.default_memory_pool().release_unused()  # the driver goes on without the sample
+    return model
 
 
 def held_out(doc_id) -> "F.Column":
