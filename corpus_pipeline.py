@@ -25,7 +25,7 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines of which an occurrence stays elsewhere; n_chars follows the text."""
-    cleaned = line_dedup.clean(docs)
+    cleaned = line_dedup.clean(docs, exact_words=1)
     if "n_chars" in cleaned.columns:
         kind = cleaned.schema["n_chars"].dataType
         cleaned = cleaned.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars"))
