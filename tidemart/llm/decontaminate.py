@@ -251,32 +251,78 @@ def _clean(shared, text: str, spans: bool):
                     yield part.filter(pa.array(n_hit == 0))
                     continue
                 texts = part.column(text).to_pylist()
-                begin = np.concatenate([[0], np.cumsum([len((x or "").encode()) for x in texts])])
-                for row in np.flatnonzero(n_hit):
-                    raw, a, b = texts[row].encode(), words.first[row], words.first[row + 1]
-                    flags = hit[a:b].astype(np.int8)
-                    step = np.diff(np.concatenate([[0], flags, [0]]))
-                    kept, at = [], 0
-                    for lo, hi in zip(np.flatnonzero(step == 1), np.flatnonzero(step == -1)):
-                        kept.append(raw[at: words.start[a + lo] - begin[row]])
-                        at = words.end[a + hi - 1] - begin[row]
-                    kept.append(raw[at:])
-                    texts[row] = b"".join(kept).decode()
-                place = part.schema.get_field_index(text)
-                yield part.set_column(place, part.schema.field(place), pa.array(texts, part.schema.field(place).type))
+                yield _with_texts(part, text, _cut(texts, words, hit))
     return run
 
 
+def _with_texts(part: pa.RecordBatch, text: str, texts: list) -> pa.RecordBatch:
+    place = part.schema.get_field_index(text)
+    return part.set_column(place, part.schema.field(place), pa.array(texts, part.schema.field(place).type))
+
+
+def _cut(texts: list, words, hit: np.ndarray) -> list:
+    """The texts without the runs of words that are flagged."""
+    begin = np.concatenate([[0], np.cumsum([len((x or "").encode()) for x in texts])])
+    for row in np.flatnonzero(_per_row(words, hit)):
+        raw, a, b = texts[row].encode(), words.first[row], words.first[row + 1]
+        flags = hit[a:b].astype(np.int8)
+        step = np.diff(np.concatenate([[0], flags, [0]]))
+        kept, at = [], 0
+        for lo, hi in zip(np.flatnonzero(step == 1), np.flatnonzero(step == -1)):
+            kept.append(raw[at: words.start[a + lo] - begin[row]])
+            at = words.end[a + hi - 1] - begin[row]
+        kept.append(raw[at:])
+        texts[row] = b"".join(kept).decode()
+    return texts
+
+
+def _cut_listed(text: str, hits: str):
+    """Task function: the text column without the words at the positions in ``hits``, which is dropped."""
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, text):
+                words = scan(part.column(text), alnum_table(), lower=True)
+                hit = np.zeros(len(words.hash), bool)
+                for row, places in enumerate(part.column(hits).to_pylist()):
+                    if places:
+                        hit[words.first[row] + np.array(places)] = True
+                part = part.remove_column(part.schema.get_field_index(hits))
+                yield _with_texts(part, text, _cut(part.column(text).to_pylist(), words, hit))
+    return run
+
+
+def _remove_spans(docs: DataFrame, found: list[Block], text: str) -> DataFrame:
+    """Hits of every block on the texts as they are, merged per row and cut at once."""
+    spark = docs.sparkSession
+    keyed = materialise(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("own")))
+    merged = None
+    for block in found:
+        hits = (keyed.select(F.col("row").alias("doc_id"), F.col("own").getField(text).alias("text"))
+                .mapInArrow(_scan(_share(spark, block)), "doc_id long, n_words long, hits array<int>, items array<string>")
+                .filter(F.size("hits") > 0).select("doc_id", "hits"))
+        merged = hits if merged is None else merged.unionByName(hits)
+    # at most one row per block and document meets here
+    merged = merged.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"))
+    name = "_hits"
+    while name in docs.columns:
+        name = "_" + name
+    return (keyed.join(merged, F.col("row") == F.col("doc_id"), "left")
+            .select("own.*", F.col("hits").alias(name)).mapInArrow(_cut_listed(text, name), docs.schema))
+
+
 def remove(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id",
            item_text: str = "text", n: int = N_GRAM, max_windows: int = MAX_WINDOWS,
            spans: bool = False) -> DataFrame:
     """Documents without the contaminated ones; with ``spans``, all documents without hit spans.
 
-    Columns are those of ``docs``.  Blocks are applied one after the other; a window whose
-    words an earlier block already cut out of a text is gone with them.
+    Columns are those of ``docs``.  Documents are filtered by one block after the other; spans
+    are found by all blocks in the original text and cut at once.
     """
     spark = docs.sparkSession
-    for i, block in enumerate(blocks(items, item_id, item_text, n, max_windows)):
+    found = blocks(items, item_id, item_text, n, max_windows)
+    if spans and len(found) > 1:
+        return _remove_spans(docs, found, text)
+    for i, block in enumerate(found):
         docs = materialise(docs) if i else docs
         docs = docs.mapInArrow(_clean(_share(spark, block), text, spans), docs.schema)
     return docs
