@@ -6,8 +6,11 @@ adverts, notices and reader comments are recognised by their element, role, clas
 and leave empty lines.  Over the lines, the text lengths (outside links) of ``WINDOW``
 consecutive lines are summed; the text between a surge of these sums and the next dive to
 nothing is kept.  Where the page marks its article (``article``, ``main``), only lines
-inside it carry length and any length is a surge; elsewhere a surge needs ``SURGE``
-characters, and the densest stretch is taken when none reaches that.
+inside it carry length and any length is a surge, so element and class lists alone decide
+there; elsewhere a surge needs ``SURGE`` characters, and the densest stretch is taken when
+none reaches that.  A shorter stretch (a heading, a table row, a closing line) is kept with
+its neighbours when fewer than ``WINDOW`` empty elements, dropped lines or lines of links lie
+between, tags around text not counted, and when it has a container in common with a surge.
 
 Edge cases: NULL or empty html gives an empty text; unclosed elements end with their
 parent, and an unclosed boilerplate element ends at the next block; pages of any length
@@ -52,6 +55,8 @@ _WEAK = frozenset(["header", "masthead", "topbar"])
 _MAIN = frozenset("article body content entry has main no post with without".split())
 _STRONG = frozenset("ad ads advert comment comments cookie disqus related share social sponsored".split())
 _CONTENT = ("article", "main")
+#: parts of a table, which is the container of their text
+_ROWS = frozenset("caption tbody td tfoot th thead tr".split())
 _SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 
@@ -120,25 +125,40 @@ def _unclosed(tokens: list) -> set[int]:
     return out | {i for _, i in stack}
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """(text, length outside links, inside the marked article) of each line; dropped ones are empty."""
+def lines_of(page: str) -> list[tuple[str, int, bool, bool, int]]:
+    """(text, length outside links, inside the marked article, void, container) of each line.
+
+    Dropped lines are empty.  Empty lines of dropped and of empty elements are void, those of
+    tags around text are not.  A container is the index of the tag that opened it.
+    """
     tokens = list(_tokens(page))
     unclosed = _unclosed(tokens)
-    out: list[tuple[str, int, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, drops, drops up to the next block
+    out: list[tuple[str, int, bool, bool, int]] = []
+    stack: list[tuple[str, bool, bool, int]] = []  # name, drops, drops up to the next block, index
     text: list[str] = []
     linked = drops = article = links = 0
+    bare = False  # no text and no other block since a block began
+
+    def container() -> int:
+        found = 0
+        for name, _, _, at in reversed(stack):
+            if name in _BLOCK:
+                if found and name not in _ROWS:
+                    return at
+                found += 1
+        return -1
 
-    def flush():
-        nonlocal linked
+    def flush(ends: bool = False):
+        nonlocal linked, bare
         line = " ".join(entities.unescape("".join(text)).split())
-        out.append((line, max(0, len(line) - linked), bool(article)))
+        out.append((line, max(0, len(line) - linked), bool(article), drops > 0 or ends and bare, container() if line else -1))
         text.clear()
         linked = 0
+        bare = False
 
     def pop():
         nonlocal drops, article, links
-        name, drop, _ = stack.pop()
+        name, drop, _, _ = stack.pop()
         drops -= drop
         article -= name in _CONTENT and not drop
         links -= name == "a"
@@ -162,14 +182,15 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                 text.append(" ")
             if name not in _VOID:
                 drop = _marks(name, attrs, article > 0)
-                stack.append((name, drop, drop and i in unclosed))
+                stack.append((name, drop, drop and i in unclosed, i))
+                bare = bare or name in _BLOCK
                 drops += drop
                 article += name in _CONTENT and not drop
                 links += name == "a"
         else:
             if name in _BLOCK:
-                flush()
-            if any(n == name for n, _, _ in stack):
+                flush(ends=True)
+            if any(n == name for n, *_ in stack):
                 while stack[-1][0] != name:
                     pop()
                 pop()
@@ -180,8 +201,8 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
 def main_text(page: str, window: int = WINDOW, surge: int = SURGE) -> str:
     """Text between the surge and dive points of a page's line-block distribution."""
     lines = lines_of(page)
-    marked = any(inside and line for line, _, inside in lines)
-    lengths = [(len(line) if inside else 0) if marked else own for line, own, inside in lines]
+    marked = any(x[2] and x[0] for x in lines)
+    lengths = [(len(line) if inside else 0) if marked else own for line, own, inside, *_ in lines]
     least = 1 if marked else surge
     sums, total = [], 0
     for i in range(len(lengths) + window - 1):  # sums[i]: the window that ends with line i
@@ -197,11 +218,32 @@ def main_text(page: str, window: int = WINDOW, surge: int = SURGE) -> str:
             stretches.append((max(sums[begin:i]), begin, i))
             begin = None
     found = [x for x in stretches if x[0] >= least] or sorted(stretches, key=lambda x: -x[0])[:1]
+    if len(found) < len(stretches):
+        found = _bridged(lines, lengths, stretches, found, window)
     for _, a, b in found:
-        kept += [line for line, _, inside in lines[a:b] if line and (inside or not marked)]
+        kept += [x[0] for x in lines[a:b] if x[0] and (x[2] or not marked)]
     return "\n".join(kept)
 
 
+def _bridged(lines: list, lengths: list, stretches: list, found: list, window: int) -> list:
+    """Stretches that surge, those that join them without a gap, and those in a container of theirs."""
+    runs: list[list] = []
+    for x in stretches:
+        first = next(i for i in range(x[1], x[2]) if lengths[i])
+        gap = sum(bool(line or void) for line, _, _, void, _ in lines[runs[-1][-1][2]: first]) if runs else window
+        if gap < window:
+            runs[-1].append(x)
+        else:
+            runs.append([x])
+    surges = set(found)
+    homes = {lines[i][4] for _, a, b in found for i in range(a, b) if lengths[i]}
+    out = []
+    for run in runs:
+        whole = not surges.isdisjoint(run)
+        out += [x for x in run if whole or any(lengths[i] and lines[i][4] in homes for i in range(x[1], x[2]))]
+    return out
+
+
 def _extract(window: int, surge: int):
     def run(batches):
         for batch in batches:
