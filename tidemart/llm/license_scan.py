@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from importlib import resources
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -57,6 +58,60 @@ IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR
 INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
 ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
 THIS SOFTWARE."""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+
+{}Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+{}Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+{}
+THIS SOFTWARE IS PROVIDED BY {} "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL {} BE LIABLE FOR ANY
+DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF
+SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF
+LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF
+THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+BSD_NAMES = """{}Neither the name of {} nor the names of its contributors may be used to endorse or promote products derived
+from this software without specific prior written permission.
+"""
+#: who is named in the third condition, and who disclaims and is not liable
+BSD_OWNERS = ("the copyright holder", "the copyright holders", "the copyright owner", "the author", "the University")
+BSD_PARTIES = (("the copyright holders and contributors", "the copyright holder or contributors"),
+               ("the copyright holders and contributors", "the copyright owner or contributors"),
+               ("the copyright holders and contributors", "the copyright holders or contributors"),
+               ("the copyright holder and contributors", "the copyright holder or contributors"),
+               ("the author and contributors", "the author or contributors"), ("the author", "the author"),
+               ("the regents and contributors", "the regents or contributors"))
+_GNU = """This {what} is free software{sign} you can redistribute it and/or modify it under the terms of the GNU {gpl} as
+published by the Free Software Foundation{either} version {v} of the License, or (at your option) any later version.
+
+This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty
+of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {gpl} for more details.
+
+You should have received a copy of the GNU {gpl} along with this {what}{end}"""
+_WRITE = "; if not, write to the Free Software Foundation, Inc., "
+#: endings of the notices of the GNU licences
+GNU_ENDS = (". If not, see <https://www.gnu.org/licenses/>.", ". If not, see <http://www.gnu.org/licenses/>.",
+            _WRITE + "51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.",
+            _WRITE + "51 Franklin Street, Fifth Floor, Boston, MA 02110-1301, USA.",
+            _WRITE + "59 Temple Place, Suite 330, Boston, MA 02111-1307 USA")
+GNU_NOTICES = (("GPL-2.0", "General Public License", "2"), ("GPL-3.0", "General Public License", "3"),
+               ("LGPL-2.1", "Lesser General Public License", "2.1"), ("LGPL-3.0", "Lesser General Public License", "3"),
+               ("AGPL-3.0", "Affero General Public License", "3"))
+APACHE_NOTICE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
+compliance with the License. You may obtain a copy of the License at
+
+{}://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an
+"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
+language governing permissions and limitations under the License."""
+MPL_NOTICE = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL
+was not distributed with this file, You can obtain one at {}://mozilla.org/MPL/2.0/."""
+#: licences whose full text is a file of the folder ``licenses``, as their publishers have it
+FILES = ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Unlicense")
+_END = "END OF TERMS AND CONDITIONS"
 #: (identifier, name) of licences whose usual one-line notices are known
 NOTICES = (("MIT", "MIT License"), ("Apache-2.0", "Apache License, Version 2.0"), ("ISC", "ISC License"),
            ("BSD-2-Clause", "BSD 2-Clause License"), ("BSD-3-Clause", "BSD 3-Clause License"),
@@ -77,11 +132,49 @@ _LOWER = {i: i + 32 for i in range(65, 91)}
 def known_licenses() -> list[tuple[str, str]]:
     """(name, text) of full licences and of the usual notices of NOTICES, by rule."""
     out = [("MIT", MIT), ("MIT", f"MIT License\n\n{MIT}"), ("ISC", ISC), ("ISC", f"ISC License\n\n{ISC}")]
+    out += _bsd() + _published() + _file_notices()
     for name, title in NOTICES:
         out += [(name, s.format(article + title)) for s in SAYINGS for article in ("", "the ", "a ")]
     return out
 
 
+def _bsd() -> list[tuple[str, str]]:
+    """Both BSD licences, with and without numbers, a title and the usual line below the copyright line."""
+    out = []
+    for disclaimer in BSD_PARTIES:
+        for one, two, three in (("1. ", "2. ", "3. "), ("", "", "")):
+            kinds = [("2", "Simplified", "")] + [("3", x, BSD_NAMES.format(three, owner)) for owner in BSD_OWNERS
+                                                for x in ("New", "Revised")]
+            for n, other, names in kinds:
+                text = BSD.format(one, two, names, *disclaimer)
+                out += [(f"BSD-{n}-Clause", head + rights + text) for rights in ("", "All rights reserved.\n\n")
+                        for head in ("", f"BSD {n}-Clause License\n\n", "BSD License\n\n", f"The BSD {n}-Clause License\n\n",
+                                     f'BSD {n}-Clause "{other}" License\n\n')]
+    return out
+
+
+def _published() -> list[tuple[str, str]]:
+    """The texts of FILES, and those with terms that end before instructions without these."""
+    out = []
+    for name in FILES:
+        text = resources.files(__package__).joinpath("licenses", f"{name}.txt").read_text("utf-8")
+        out.append((name, text))
+        terms, end, _ = text.partition(_END)
+        out += [(name, terms), (name, terms + end)] if end else []
+    text = out[-1][1]
+    return out + [("Unlicense", text.replace("http://", "https://")), ("Unlicense", text[: text.index("For more information")])]
+
+
+def _file_notices() -> list[tuple[str, str]]:
+    """Notices of several lines that stand at the head of files."""
+    out = [(name, text.format(scheme)) for name, text in (("Apache-2.0", APACHE_NOTICE), ("MPL-2.0", MPL_NOTICE))
+           for scheme in ("http", "https")]
+    for name, gpl, v in GNU_NOTICES:
+        out += [(name, _GNU.format(what=what, sign=sign, gpl=gpl, either=either, v=v, end=end)) for end in GNU_ENDS
+                for what in ("program", "library", "software", "file") for sign in (":", ";") for either in ("; either", ", either")]
+    return out
+
+
 def normal_line(line: str) -> str:
     line = line.translate(_LOWER)
     if _COPYRIGHT.match(line):
