@@ -7,7 +7,8 @@ broadcast set and each hit is verified word by word before it counts.
 
 The broadcast is bounded: the set is cut into blocks of ``max_windows`` windows (about 90
 bytes each).  A benchmark within one block takes one narrow pass without a shuffle; a
-larger one takes a pass per block, whose hits are merged per row.
+larger one takes a pass per block, whose hits are written before the next block is built
+and its broadcast is destroyed, so that driver and executors hold one block at a time.
 
 Edge cases: NULL or empty text has no words and stays clean; an item without words has no
 window; items with a NULL id still hit, but have no name to list; repeated items and rows
@@ -18,6 +19,7 @@ count as one item and as separate documents; extra columns of either table are i
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -81,11 +83,11 @@ def _digest(grams: np.ndarray) -> np.ndarray:
 
 
 def blocks(items: DataFrame, id_col: str, text_col: str, n: int = N_GRAM,
-           max_windows: int = MAX_WINDOWS) -> list[Block]:
-    """Window blocks of a benchmark table, each of at most ``max_windows`` windows.
+           max_windows: int = MAX_WINDOWS) -> tuple[int, Iterator[Block]]:
+    """Number of window blocks of a benchmark table, of ``max_windows`` windows at most, and the blocks.
 
-    One block at a time is on the driver while it is built; blocks are cut by a hash of
-    the window, so that equal windows meet in one block.
+    A block comes to the driver when it is asked for; blocks are cut by a hash of the window,
+    so that equal windows meet in one block.
     """
     grams = (items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text"))
              .mapInArrow(_item_windows(n), "len int, hash long, words binary, item string")
@@ -93,11 +95,8 @@ def blocks(items: DataFrame, id_col: str, text_col: str, n: int = N_GRAM,
     grams = materialise(grams)
     total = grams.count()
     parts = max(1, -(-total * 5 // (max_windows * 4)) if total > max_windows else 1)
-    out = []
-    for i in range(parts):
-        rows = grams.filter(F.pmod("hash", F.lit(parts)) == i) if parts > 1 else grams
-        out.append(_block(rows.toArrow()))
-    return out
+    return parts, (_block((grams.filter(F.pmod("hash", F.lit(parts)) == i) if parts > 1 else grams).toArrow())
+                   for i in range(parts))
 
 
 def _block(table: pa.Table) -> Block:
@@ -127,6 +126,14 @@ def _share(spark, block: Block):
     return spark.sparkContext.broadcast(([tuple(g) for g in block.grams], block.names))
 
 
+def _pass(df: DataFrame, block: Block, task, schema) -> DataFrame:
+    """``df`` through ``task`` with one block, written, after which the block's broadcast is gone."""
+    shared = _share(df.sparkSession, block)
+    out = materialise(df.mapInArrow(task(shared), schema))
+    shared.destroy()
+    return out
+
+
 def _open(shared) -> Block:
     grams, names = shared.value
     return Block([Grams(*g) for g in grams], names)
@@ -218,14 +225,15 @@ def flag(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     """One row per document: counts of words, hit words and items, digest of the item ids."""
     spark = docs.sparkSession
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    found = blocks(items, item_id, item_text, n, max_windows)
-    if len(found) == 1:
-        return base.mapInArrow(_flag(_share(spark, found[0])), FLAG_SCHEMA)
+    parts, found = blocks(items, item_id, item_text, n, max_windows)
+    if parts == 1:
+        return base.mapInArrow(_flag(_share(spark, next(found))), FLAG_SCHEMA)
     keyed = materialise(base.withColumn("row", F.monotonically_increasing_id()))
-    scans = [keyed.select(F.struct("row", "doc_id").alias("doc_id"), "text")
-             .mapInArrow(_scan(_share(spark, b)),
-                         "doc_id struct<row:long,doc_id:long>, n_words long, hits array<int>, items array<string>")
-             for b in found]
+    scans = []
+    for block in found:
+        scans.append(_pass(keyed.select(F.struct("row", "doc_id").alias("doc_id"), "text"), block, _scan,
+                           "doc_id struct<row:long,doc_id:long>, n_words long, hits array<int>, items array<string>"))
+        del block  # before the next is built
     merged = scans[0]
     for other in scans[1:]:
         merged = merged.unionByName(other)
@@ -291,16 +299,16 @@ def _cut_listed(text: str, hits: str):
     return run
 
 
-def _remove_spans(docs: DataFrame, found: list[Block], text: str) -> DataFrame:
+def _remove_spans(docs: DataFrame, found: Iterator[Block], text: str) -> DataFrame:
     """Hits of every block on the texts as they are, merged per row and cut at once."""
-    spark = docs.sparkSession
     keyed = materialise(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("own")))
     merged = None
     for block in found:
-        hits = (keyed.select(F.col("row").alias("doc_id"), F.col("own").getField(text).alias("text"))
-                .mapInArrow(_scan(_share(spark, block)), "doc_id long, n_words long, hits array<int>, items array<string>")
+        hits = (_pass(keyed.select(F.col("row").alias("doc_id"), F.col("own").getField(text).alias("text")), block, _scan,
+                      "doc_id long, n_words long, hits array<int>, items array<string>")
                 .filter(F.size("hits") > 0).select("doc_id", "hits"))
         merged = hits if merged is None else merged.unionByName(hits)
+        del block
     # at most one row per block and document meets here
     merged = merged.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"))
     name = "_hits"
@@ -318,13 +326,15 @@ def remove(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str =
     Columns are those of ``docs``.  Documents are filtered by one block after the other; spans
     are found by all blocks in the original text and cut at once.
     """
-    spark = docs.sparkSession
-    found = blocks(items, item_id, item_text, n, max_windows)
-    if spans and len(found) > 1:
+    parts, found = blocks(items, item_id, item_text, n, max_windows)
+    if parts == 1:
+        return docs.mapInArrow(_clean(_share(docs.sparkSession, next(found)), text, spans), docs.schema)
+    if spans:
         return _remove_spans(docs, found, text)
-    for i, block in enumerate(found):
-        docs = materialise(docs) if i else docs
-        docs = docs.mapInArrow(_clean(_share(spark, block), text, spans), docs.schema)
+    schema = docs.schema
+    for block in found:
+        docs = _pass(docs, block, lambda shared: _clean(shared, text, spans), schema)
+        del block
     return docs
 
 
