@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann_forest, decontaminate, html_text, jaccard_join, license_scan, line_dedup, packing, source_divergence, substring_dedup, toxicity, url_filter
+from . import ann_forest, decontaminate, html_text, jaccard_join, lattice_lm, license_scan, line_dedup, packing, source_divergence, substring_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_toxicity": toxicity.query,
     "op9_license_scan": license_scan.query,
     "op10_url_filter": url_filter.query,
+    "op11_lattice_lm": lattice_lm.query,
     "op13_source_divergence": source_divergence.query,
 }
 ORACLE = {
