@@ -43,7 +43,8 @@ COMPONENTS = 8
 TOP = 1 << 19
 ROUNDS = 3
 ALPHA = 0.1          # added to the expected use of every piece
-FLUSH = 1 << 19      # tallied words a task holds
+FLUSH = 1 << 17      # tallied words a task holds before it merges them
+SLICE = 2 << 20      # bytes of text scanned at once, one text at least
 LATTICE = 1 << 18    # bytes of words in one lattice pass, one word at least
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0x100000001B3)
@@ -263,7 +264,7 @@ def _tally(k: int):
     def run(batches):
         held, rows = [], 0
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 words = scan(part.column("text"), whitespace_table(), lower=True)
                 if not len(words.hash):
                     continue
@@ -279,6 +280,7 @@ def _tally(k: int):
                     if rows > FLUSH // 2:
                         yield from out(held.pop())
                         rows = 0
+                        pa.default_memory_pool().release_unused()
         if held:
             yield from out(merged(held))
     return run
@@ -347,7 +349,7 @@ def _score(shared, k: int):
     def run(batches):
         pieces, (hashes, base, known, per) = Pieces(*shared.value[0]), shared.value[1]
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 words = scan(part.column("text"), whitespace_table(), lower=True)
                 rows = part.num_rows
                 of = row_of(words, np.arange(len(words.hash)))
