@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann_forest, decontaminate, html_text, jaccard_join, lattice_lm, license_scan, line_dedup, packing, source_divergence, substring_dedup, toxicity, url_filter
+from . import ann_forest, conversation_repair, decontaminate, html_text, jaccard_join, lattice_lm, license_scan, line_dedup, packing, source_divergence, substring_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_license_scan": license_scan.query,
     "op10_url_filter": url_filter.query,
     "op11_lattice_lm": lattice_lm.query,
+    "op12_conversation_repair": conversation_repair.query,
     "op13_source_divergence": source_divergence.query,
 }
 ORACLE = {
@@ -24,5 +25,6 @@ ORACLE = {
     "op6_substring_dedup": substring_dedup.SQL,
     "op9_license_scan": license_scan.SQL,
     "op10_url_filter": url_filter.SQL,
+    "op12_conversation_repair": conversation_repair.SQL,
     "op13_source_divergence": source_divergence.SQL,
 }
