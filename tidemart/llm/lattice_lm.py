@@ -356,7 +356,7 @@ def _score(shared, k: int):
                 at = np.minimum(np.searchsorted(hashes, words.hash), max(len(hashes) - 1, 0))
                 has = hashes[at] == words.hash if len(hashes) else np.zeros(len(of), bool)
                 inside, at = of[has], at[has]
-                sums = [np.bincount(inside, per[i][at], rows) for i in range(k)]
+                sums = [np.bincount(inside, per[i][at], rows).astype(float) for i in range(k)]
                 rare = np.flatnonzero(~has)
                 _, first, which = np.unique(words.hash[rare], return_index=True, return_inverse=True)
                 names = _gather(words.data, words.start[rare[first]], words.end[rare[first]])
@@ -369,7 +369,7 @@ def _score(shared, k: int):
                     names=["word", "n", "marginal"])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row"), part.column("doc_id"), pa.array(words.counts, pa.int64()),
-                     pa.array(np.bincount(inside, known[at], rows).astype(np.int64)), pa.array(np.bincount(inside, base[at], rows)),
+                     pa.array(np.bincount(inside, known[at], rows).astype(np.int64)), pa.array(np.bincount(inside, base[at], rows).astype(float)),
                      pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * k), pa.array(np.stack(sums, 1).reshape(-1))),
                      pa.ListArray.from_arrays(pa.array(cuts), others)],
                     names=["row", "doc_id", "n_words", "n_known", "base", "sums", "others"])
