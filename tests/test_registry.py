@@ -9,6 +9,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as E  # noqa: E402
 from oracle_check import compare, duck_connection  # noqa: E402
+from tidemart.sources.scratch import lifetime  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 QUERIES = {k: v for k, v in E.queries().items() if k not in E.LLM_QUERIES}
@@ -26,7 +27,8 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    problems, _ = compare(QUERIES[name](spark, SF), con, ORACLE[name])
+    with lifetime(spark):
+        problems, _ = compare(QUERIES[name](spark, SF), con, ORACLE[name])
     assert not problems, problems
 
 

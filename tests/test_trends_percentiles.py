@@ -84,19 +84,19 @@ def test_exact_percentiles_small_groups(spark, n):
         assert r[name] == pytest.approx(_np_pct(vals, p), abs=1e-12), (name, p)
 
 
-def test_exact_percentiles_force_approximation(spark):
-    """With a coarse sketch (accuracy=50) the bracket is wide; the result stays exact."""
+def test_exact_percentiles_with_wide_bins(spark):
+    """With few mantissa bits the bins are wide; the result stays exact."""
     rng = np.random.default_rng(11)
     vals = rng.normal(0, 1, 20000)
     vals[:7000] = 0.25  # a third of all rows share one value
     vals[7000:7100] = np.nan
     df = spark.createDataFrame([(float(v),) for v in vals], "v double").repartition(8)
     probs = [0.02, 0.3, 0.35, 0.5, 0.98]
-    for acc in (50, 10_000):
-        r = exact_percentiles(df, "v", probs, names=["a", "b", "c", "d", "e"], accuracy=acc).collect()[0]
+    for bits in (0, 2, 16):
+        r = exact_percentiles(df, "v", probs, names=["a", "b", "c", "d", "e"], bits=bits).collect()[0]
         assert r.n == 19900
         for name, p in zip("abcde", probs):
-            assert r[name] == pytest.approx(_np_pct(vals.tolist(), p), abs=1e-12), (acc, name)
+            assert r[name] == pytest.approx(_np_pct(vals.tolist(), p), abs=1e-12), (bits, name)
 
 
 def test_exact_percentiles_grouped_and_equal_to_spark_percentile(spark):
@@ -134,11 +134,11 @@ def test_map_limits_symmetric(spark):
                                  st.floats(-1e6, 1e6, allow_nan=False, width=32),
                                  st.none(), st.just(float("nan"))), min_size=0, max_size=300),
        probs=st.lists(st.floats(0.0, 1.0), min_size=1, max_size=4),
-       accuracy=st.sampled_from([20, 100, 10_000]))
-def test_exact_percentiles_property(spark, values, probs, accuracy):
+       bits=st.sampled_from([0, 3, 16, 20]))
+def test_exact_percentiles_property(spark, values, probs, bits):
     df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
     names = [f"q{i}" for i in range(len(probs))]
-    r = exact_percentiles(df, "v", probs, names=names, accuracy=accuracy).collect()[0]
+    r = exact_percentiles(df, "v", probs, names=names, bits=bits).collect()[0]
     valid = [v for v in values if v is not None and v == v]
     assert r.n == len(valid)
     for name, p in zip(names, probs):
@@ -146,12 +146,12 @@ def test_exact_percentiles_property(spark, values, probs, accuracy):
         if want is None:
             assert r[name] is None
         else:
-            assert r[name] == pytest.approx(want, rel=1e-12, abs=1e-9), (p, accuracy)
+            assert r[name] == pytest.approx(want, rel=1e-12, abs=1e-9), (p, bits)
 
 
 def test_exact_percentiles_all_equal(spark):
     df = spark.createDataFrame([(7.5,)] * 5000, "v double")
-    r = exact_percentiles(df, "v", [0.0, 0.02, 0.98, 1.0], names=["a", "b", "c", "d"], accuracy=50).collect()[0]
+    r = exact_percentiles(df, "v", [0.0, 0.02, 0.98, 1.0], names=["a", "b", "c", "d"], bits=4).collect()[0]
     assert (r.a, r.b, r.c, r.d) == (7.5, 7.5, 7.5, 7.5)
 
 
@@ -177,27 +177,34 @@ def test_keyed_days_since_start_null_key(spark):
     assert sorted(r.x_days for r in days_since_start(df, by=["k"]).collect()) == [0.0, 60.0]
 
 
-def test_grouped_percentiles_spread_one_large_group(spark):
-    """No task that ranks or joins values gets more than twice the mean of its stage."""
-    df = spark.range(0, 60_000, numPartitions=8).selectExpr("if(id % 3 = 0, 0, 1) as k", "hash(id) * 1e-3 as v")
-    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled",
-                                           "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+def test_grouped_percentiles_spread_one_large_group(spark, monkeypatch):
+    """Values meet by bin: no bin holds more than a small share of a large group, and many groups join by bin."""
     from tidemart.operators import quantiles
-    try:
-        spark.conf.set("spark.sql.shuffle.partitions", "16")
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-        out = exact_percentiles(df, "v", [0.02, 0.98], names=["lo", "hi"], by=["k"])
-        text = out._jdf.queryExecution().optimizedPlan().toString()
-        assert "_salt" in text
-        # the layout of the join: values of a group lie in as many partitions as there are salts
-        counts = df.selectExpr("struct(k) as g", "v").withColumn("s", F.pmod(F.xxhash64("v"), F.lit(quantiles.SALTS)))
-        sizes = [r["count"] for r in counts.repartition(16, "g", "s").groupBy(F.spark_partition_id()).count().collect()]
-        assert len(sizes) == 16 and max(sizes) <= 2 * sum(sizes) / 16
-        want = {r.k: (r.lo, r.hi) for r in df.groupBy("k").agg(F.percentile("v", 0.02).alias("lo"),
-                                                              F.percentile("v", 0.98).alias("hi")).collect()}
-        got = {r.k: (r.lo, r.hi) for r in out.collect()}
+    df = spark.range(0, 60_000, numPartitions=8).selectExpr("if(id % 3 = 0, 0, 1) as k", "hash(id) * 1e-3 as v")
+    sizes = [r["count"] for r in df.where("k = 1").groupBy(quantiles.value_bin("v")).count().collect()]
+    assert max(sizes) <= 40_000 / 1000
+    want = {r.k: (r.lo, r.hi) for r in df.groupBy("k").agg(F.percentile("v", 0.02).alias("lo"),
+                                                          F.percentile("v", 0.98).alias("hi")).collect()}
+    for groups in (quantiles.MAX_GROUPS, 0):
+        monkeypatch.setattr(quantiles, "MAX_GROUPS", groups)
+        got = {r.k: (r.lo, r.hi) for r in exact_percentiles(df, "v", [0.02, 0.98], names=["lo", "hi"], by=["k"]).collect()}
         assert set(got) == set(want) and all(got[k] == pytest.approx(want[k]) for k in want)
-    finally:
-        for k, v in held.items():
-            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_value_bins_never_fall(spark):
+    from tidemart.operators.quantiles import value_bin
+    rng = np.random.default_rng(2)
+    edges = [s * x for k in (-1074, -1022, -30, -1, 0, 1, 3, 52, 1000, 1023) for b in (2.0 ** k,) for s in (1, -1)
+             for x in (b, np.nextafter(b, 0), np.nextafter(b, np.inf))]
+    vals = sorted([0.0, float("inf"), -float("inf"), 1.7976931348623157e308, 5e-324, *edges, *rng.normal(0, 1e3, 2000), *rng.normal(0, 1e-9, 500)])
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(vals)], "i int, v double")
+    for bits in (0, 7, 16):
+        bins = [r.b for r in df.select("i", value_bin("v", bits).alias("b")).orderBy("i").collect()]
+        assert None not in bins and bins == sorted(bins)
+
+
+def test_percentiles_take_few_shuffles(spark):
+    from tidemart.plans.inspect import shuffle_metrics
+    df = spark.range(0, 5000, numPartitions=4).selectExpr("id % 5 as k", "id * 0.5 as v")
+    assert shuffle_metrics(percentile_limits(df, "v"))["shuffles"] <= 4
+    assert shuffle_metrics(percentile_limits(df, "v", by=["k"]))["shuffles"] <= 4  # and two for the bins, written before

@@ -1,7 +1,7 @@
 """DataFrame -> DataFrame operators (staging, joins, marts, trends, percentiles,
 reshapes, series helpers and data-quality checks)."""
 
-from tidemart.operators.joins import cell_join, misaligned_join_count, raw_cell_join
+from tidemart.operators.joins import cell_join, key_filter, misaligned_join_count, raw_cell_join
 from tidemart.operators.marts import (
     decadal_means, latitude_zone_stats, marts_from_partials, monthly_global_trends,
     raw_monthly_trends, raw_zone_stats, zone_partials,
@@ -22,7 +22,7 @@ from tidemart.operators.staging import keyed_cells, public_cells, regrid_sst, st
 from tidemart.operators.trends import days_since_start, linear_trend, month_ordinal, with_fitted
 
 __all__ = [
-    "cell_join", "misaligned_join_count", "raw_cell_join",
+    "cell_join", "key_filter", "misaligned_join_count", "raw_cell_join",
     "decadal_means", "latitude_zone_stats", "marts_from_partials", "monthly_global_trends",
     "raw_monthly_trends", "raw_zone_stats", "zone_partials",
     "check_accepted_values", "check_not_empty", "check_not_null", "check_positive",

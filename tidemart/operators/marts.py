@@ -81,20 +81,24 @@ def decadal_means(monthly: DataFrame, edges=None, else_label: str | None = None)
 def _raw_averages(raw_sla: DataFrame, raw_sst: DataFrame, keys: list, names: list[str]) -> DataFrame:
     """Averages over the join of the unsnapped raw tables, without making its rows.
 
-    Each side is first reduced to a sum, a count of non-NULL values and a row count per raw
-    key (map-side combined); joined keys are unique, and a key stands for rows x rows of the
-    full join: avg = sum(sum_a * rows_b) / sum(count_a * rows_b). Months that were appended
-    several times thus cost nothing more than their scan.
+    Both sides go through one aggregate: their rows are tagged, united and reduced (map-side
+    combined) to a sum, a count of non-NULL values and a row count per side and raw key. A key
+    with rows on both sides stands for rows x rows of the full join:
+    avg = sum(sum_a * rows_b) / sum(count_a * rows_b). One exchange brings the two sides
+    together; months that were appended several times cost nothing more than their scan.
     """
-    def side(df, measure, tag):
-        return (df.select(F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"),
+    def side(df, measure, own, other):
+        keyed = df.select(F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"),
                           F.col("latitude").cast("double").alias("latitude"),
-                          F.col("longitude").cast("double").alias("longitude"), measure)
-                .groupBy(*RAW_KEYS)
-                .agg(F.sum(measure).alias(f"sum_{tag}"), F.count(measure).alias(f"n_{tag}"),
-                     F.count(F.lit(1)).alias(f"rows_{tag}")))
-    joined = side(raw_sla, "sea_level_anomaly_m", "a").hint("merge").join(
-        side(raw_sst, "sst_celsius", "b"), RAW_KEYS)
+                          F.col("longitude").cast("double").alias("longitude"), F.col(measure).cast("double").alias(f"v_{own}"))
+        # a NULL key joins nothing
+        return keyed.dropna(subset=RAW_KEYS).select(*RAW_KEYS, f"v_{own}", F.lit(None).cast("double").alias(f"v_{other}"),
+                                                    F.lit(own == "a").alias("is_a"))
+    both = side(raw_sla, "sea_level_anomaly_m", "a", "b").unionByName(side(raw_sst, "sst_celsius", "b", "a"))
+    joined = (both.groupBy(*RAW_KEYS)
+              .agg(*[f(f"v_{t}").alias(f"{n}_{t}") for t in "ab" for f, n in ((F.sum, "sum"), (F.count, "n"))],
+                   F.count_if("is_a").alias("rows_a"), F.count_if(~F.col("is_a")).alias("rows_b"))
+              .where((F.col("rows_a") > 0) & (F.col("rows_b") > 0)))
 
     def average(own, other):
         return F.try_divide(F.sum(F.col(f"sum_{own}") * F.col(f"rows_{other}")),

@@ -9,152 +9,127 @@ value keeps its row, with ``n`` 0 and NULL percentiles, as GROUP BY would.
 
 Why not Spark's ``percentile``: it merges a value->count map of the whole group
 in one final task, so one large group (a month of a 0.05 degree grid is ~26 M cells)
-lands in a single task. Instead:
-
-1. values are collapsed to ``(group, value) -> count``, which spreads by value; one aggregate
-   per group gives ``n`` and an approximate (GK) quantile bracket ``[L, U]`` around each
-   ``p``; the GK rank error is at most ``n / accuracy``, and the bracket is ``margin`` times
-   wider than that.
-2. the brackets are attached through a salted key (the salt comes from the value; bracket
-   rows are repeated once per salt), so a group that holds most of the rows is joined in
-   many tasks. The next aggregate has an exchange of its own on (group, bracket, part,
-   value): it counts values below ``L`` and up to ``U``, finds the nearest value on either
-   side, and keeps one row per distinct value inside a bracket.
-3. a bracket is cut into ``PARTS`` parts of equal width. Running counts over the parts (at
-   most ``PARTS`` rows per bracket) tell which part holds the ranks ``lo`` and ``hi``; only
-   the values of that part (about ``2 * margin * n / (accuracy * PARTS)``) are ranked.
-
-The neighbours cover the one-rank discretisation slack of small groups (where GK
-is exact but ``p * (n - 1)`` and ``p * n`` differ by up to one rank); for large
-groups the bracket is at least ``3 * n / accuracy`` ranks wider than needed. If a
-bracket ever failed to contain its ranks the query raises instead of returning a
-wrong value.
+lands in a single task. Instead, radix selection over the order-preserving leading bits of a
+double (sign, exponent and the first ``bits`` bits of the mantissa):
+
+1. a counting pass: rows per (group, bin), combined on the map side. Running counts over a
+   group's bins tell which bin holds each wanted rank, and how many values lie below it. A
+   histogram has at most ``2**bits`` bins per power of two that the values span, whatever
+   the number of rows;
+2. a second pass keeps the values of those bins only (at most two per probability), collapses
+   them to counts per distinct value and ranks these. With 16 bits a bin is a 65,536th of
+   a power of two: at most 128 distinct values of a FLOAT source.
+
+The bins of a global result reach the second pass as a scalar subquery. Those of groups are
+written once and broadcast if there are at most ``MAX_GROUPS`` groups (counted; about 100 bytes
+per bin); beyond that they are joined on (group, bin), which spreads a large group over its bins.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.functions.cleaning import nan_to_null
+from tidemart.sources.scratch import written
 
-SALTS = 64    # tasks that the values of one group are spread over, at least
-PARTS = 256   # parts of a bracket
+BITS = 16
+MAX_GROUPS = 50_000
 
 
-def exact_percentiles(df: DataFrame, value: str, probs, names=None, by=None,
-                      accuracy: int = 10_000, margin: float = 4.0) -> DataFrame:
+def value_bin(v, bits: int = BITS) -> Column:
+    """A LONG that never falls as ``v`` grows: sign, exponent and leading mantissa bits of a double.
+
+    The exponent is the floor of the binary logarithm, which may be one too high just below a power
+    of two; such values count to the first bin of that power, so the order holds."""
+    x = F.col(v) if isinstance(v, str) else v
+    size = F.abs(x)
+    exponent = F.when(size == F.lit(float("inf")), F.lit(1025)).otherwise(F.floor(F.log2(size)).cast("int"))
+    steps = F.lit(float(1 << bits))
+    mantissa = F.when(exponent < 1024, F.floor((size / F.pow(F.lit(2.0), exponent) - F.lit(1.0)) * steps)).otherwise(F.lit(0))
+    mantissa = F.greatest(F.lit(0).cast("long"), F.least(F.lit((1 << bits) - 1).cast("long"), mantissa.cast("long")))
+    return (F.when(x == F.lit(0.0), F.lit(0).cast("long"))
+            .otherwise(F.signum(x).cast("long") * ((exponent + F.lit(1100)).cast("long") * F.lit(1 << bits) + mantissa + F.lit(1))))
+
+
+def _ranks(probs: list[float], n: Column) -> Column:
+    """Array of all ranks that the probabilities interpolate between."""
+    at = [F.lit(p) * (n - F.lit(1)).cast("double") for p in probs]
+    return F.array(*[f(x).cast("long") for x in at for f in (F.floor, F.ceil)])
+
+
+def _within(ranks: Column) -> Column:
+    return F.exists(ranks, lambda r: (r >= F.col("_from")) & (r < F.col("_to")))
+
+
+def _running(keys: list[str], order: str):
+    return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def _located(data: DataFrame, keys: list[str], probs: list[float], bits: int) -> DataFrame:
+    """Per group: ``_n`` and ``_bins``, the (bin, number of values below it) that hold wanted ranks."""
+    placed = (data.groupBy(*keys, value_bin("_v", bits).alias("_b")).agg(F.count("_v").alias("_c"))
+              .withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys)))
+              .withColumn("_to", F.sum("_c").over(_running(keys, "_b")))
+              .withColumn("_from", F.col("_to") - F.col("_c")))
+    return (placed.where((F.col("_n") == 0) | _within(_ranks(probs, F.col("_n"))))
+            .groupBy(*keys).agg(F.max("_n").alias("_n"),
+                                F.collect_list(F.when(F.col("_n") > 0, F.struct("_b", "_from"))).alias("_bins")))
+
+
+def _in_bins(data: DataFrame, located: DataFrame, keys: list[str], bits: int) -> DataFrame:
+    """The values of ``data`` that lie in a located bin, as ``keys, _n, _b, _from, _v``."""
+    own = data.withColumn("_b", value_bin("_v", bits)).where(F.col("_v").isNotNull())
+    if keys and located.count() > MAX_GROUPS:
+        bins = located.select(*keys, "_n", F.explode("_bins").alias("_x")).select(*keys, "_n", "_x.*")
+        return own.join(bins, [*keys, "_b"])
+    if keys:
+        own = own.join(F.broadcast(located.where(F.col("_n") > 0)), keys)
+    else:
+        one = located.select(F.struct("_n", "_bins").alias("_t")).scalar()
+        own = own.withColumn("_t", one).select("_v", "_b", "_t.*")
+    start = F.try_element_at(F.filter("_bins", lambda x: x["_b"] == F.col("_b")), F.lit(1))["_from"]
+    return own.withColumn("_from", start).where(F.col("_from").isNotNull())
+
+
+def exact_percentiles(df: DataFrame, value: str, probs, names=None, by=None, bits: int = BITS) -> DataFrame:
     """Per group (``by``; global when empty): ``n`` and one column per probability."""
     group_keys = list(by or [])
     probs = [float(p) for p in probs]
     names = list(names) if names else [f"p{int(round(p * 100)):02d}" for p in probs]
-    nj = len(probs)
-    width = float(margin) / float(accuracy)
 
     # one non-NULL grouping column: a struct holding a NULL key is itself not NULL and
     # equal to itself, so plain equi-joins keep a NULL group
-    group = F.struct(*group_keys) if group_keys else F.struct(F.lit(0).alias("_all"))
-    data = df.select(group.alias("_g"), nan_to_null(F.col(value).cast("double")).alias("_v"))
-
-    # 1. counts per value, brackets per group
-    counts = (data.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c"))
-              .withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(SALTS))))
-    bracket_probs = []
-    for p in probs:
-        bracket_probs += [max(0.0, p - width), min(1.0, p + width)]
-    stats = data.groupBy("_g").agg(F.count("_v").alias("_n"),
-                                   F.percentile_approx("_v", bracket_probs, accuracy).alias("_q"))
-    brackets = stats.select(
-        "_g", "_n",
-        *[F.col("_q")[2 * j].alias(f"_L{j}") for j in range(nj)],
-        *[F.col("_q")[2 * j + 1].alias(f"_U{j}") for j in range(nj)],
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_salt"))
-
-    # 2. tag each value: -1 = the group's counting record, j = inside bracket j
-    tagged = counts.hint("merge").join(brackets, ["_g", "_salt"])
-    tags = F.filter(
-        F.array(F.lit(-1), *[F.when(F.col("_v").between(F.col(f"_L{j}"), F.col(f"_U{j}")), F.lit(j))
-                             for j in range(nj)]),
-        lambda t: t.isNotNull())
-    counting = F.col("_j") == -1
-    low = F.element_at(F.array(*[F.col(f"_L{j}") for j in range(nj)]), F.col("_j") + 1)
-    high = F.element_at(F.array(*[F.col(f"_U{j}") for j in range(nj)]), F.col("_j") + 1)
-    part = F.when(counting | (high <= low), F.lit(0)).otherwise(
-        F.least(F.lit(PARTS - 1), F.floor((F.col("_v") - low) / (high - low) * PARTS)).cast("int"))
-    agg = (tagged
-           .select("_g", "_v", "_c", "_n", *[f"_L{j}" for j in range(nj)],
-                   *[f"_U{j}" for j in range(nj)], F.explode(tags).alias("_j"))
-           .groupBy("_g", "_j", F.when(~counting, part).otherwise(F.lit(0)).alias("_s"),
-                    F.when(~counting, F.col("_v")).alias("_cv"))
-           .agg(F.sum("_c").alias("_cnt"),
-                F.first("_n").alias("_n"),
-                *[F.sum(F.when(counting & (F.col("_v") < F.col(f"_L{j}")), F.col("_c")).otherwise(0))
-                  .alias(f"_below{j}") for j in range(nj)],
-                *[F.sum(F.when(counting & (F.col("_v") <= F.col(f"_U{j}")), F.col("_c")).otherwise(0))
-                  .alias(f"_upto{j}") for j in range(nj)],
-                # the neighbours just outside each bracket: ranks below-1 and upto
-                *[F.max(F.when(counting & (F.col("_v") < F.col(f"_L{j}")), F.col("_v")))
-                  .alias(f"_pred{j}") for j in range(nj)],
-                *[F.min(F.when(counting & (F.col("_v") > F.col(f"_U{j}")), F.col("_v")))
-                  .alias(f"_succ{j}") for j in range(nj)]))
-
-    # 3. the parts that hold the ranks, then the ranks inside them
-    counters = agg.where(counting).select("_g", "_n", *[F.col(f"_{c}{j}") for c in ("below", "upto", "pred", "succ")
-                                                        for j in range(nj)])
-    cands = agg.where(~counting).select("_g", "_j", "_s", "_cv", "_cnt")
-    over_parts = Window.partitionBy("_g", "_j").orderBy("_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    parts = (cands.groupBy("_g", "_j", "_s").agg(F.sum("_cnt").alias("_in"))
-             .withColumn("_after", F.sum("_in").over(over_parts)))
-    prob = F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_j") + 1)
-    below = F.element_at(F.array(*[F.col(f"_below{j}") for j in range(nj)]), F.col("_j") + 1)
-    pos = prob * (F.col("_n") - F.lit(1)).cast("double")
-    first, last = F.col("_start"), F.col("_start") + F.col("_in")
-
-    def inside(rank):
-        return (rank >= first) & (rank < last)
-    targets = (parts.join(counters.select("_g", "_n", *[f"_below{j}" for j in range(nj)]), "_g")
-               .withColumns({"_start": below + F.col("_after") - F.col("_in"), "_lo": F.floor(pos), "_hi": F.ceil(pos)})
-               .where(inside(F.col("_lo")) | inside(F.col("_hi")))
-               .select("_g", "_j", "_s", "_start", "_lo", "_hi"))
-    in_part = (Window.partitionBy("_g", "_j", "_s").orderBy("_cv")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = (cands.join(targets, ["_g", "_j", "_s"])
-              .withColumn("_to", F.col("_start") + F.sum("_cnt").over(in_part))
-              .withColumn("_from", F.col("_to") - F.col("_cnt")))
-
-    def at_rank(rank, j):
-        hit = (F.col("_j") == j) & (F.col("_from") <= F.col(rank)) & (F.col(rank) < F.col("_to"))
-        return F.min(F.when(hit, F.col("_cv")))
-    found = ranked.groupBy("_g").agg(*[at_rank("_lo", j).alias(f"_vlo{j}") for j in range(nj)],
-                                     *[at_rank("_hi", j).alias(f"_vhi{j}") for j in range(nj)])
-    final = counters.join(found, "_g", "left")
-    if not group_keys:  # a global result has one row, also over no rows
-        one = df.sparkSession.range(1).select(group.alias("_g"))
-        final = one.join(final, "_g", "left")
+    keys = ["_g"] if group_keys else []
+    data = df.select(*([F.struct(*group_keys).alias("_g")] if keys else []),
+                     nan_to_null(F.col(value).cast("double")).alias("_v"))
+    located = _located(data, keys, probs, bits)
+    if keys:
+        located = written(located)
+
+    counts = (_in_bins(data, located, keys, bits).groupBy(*keys, "_n", "_b", "_from", "_v").agg(F.count(F.lit(1)).alias("_c")))
+    # a group's candidates together: the windows over its bins and its result need no other exchange
+    counts = counts.repartition("_g") if keys else counts.repartition(1)
+    ranked = (counts.withColumn("_to", F.col("_from") + F.sum("_c").over(_running([*keys, "_b"], "_v")))
+              .withColumn("_first", F.col("_to") - F.col("_c")))
+
+    def at_rank(f, p):
+        r = f(F.lit(p) * (F.col("_n") - F.lit(1)).cast("double")).cast("long")
+        return F.min(F.when((F.col("_first") <= r) & (r < F.col("_to")), F.col("_v")))
+    found = ranked.groupBy(*keys).agg(
+        F.max("_n").alias("_n"), *[at_rank(F.floor, p).alias(f"_lo{j}") for j, p in enumerate(probs)],
+        *[at_rank(F.ceil, p).alias(f"_hi{j}") for j, p in enumerate(probs)])
+    if keys:  # groups without a valid value
+        found = found.unionByName(located.where(F.col("_n") == 0).select("_g", "_n"), allowMissingColumns=True)
 
     n = F.coalesce(F.col("_n"), F.lit(0))
-    result_cols = []
+    columns = []
     for j, name in enumerate(names):
         pos = F.lit(probs[j]) * (n - F.lit(1)).cast("double")
-        lo, hi = F.floor(pos), F.ceil(pos)
-        below, upto = F.col(f"_below{j}"), F.col(f"_upto{j}")
-        ok = (below - 1 <= lo) & (hi <= upto)
-
-        def at(rank, cand):
-            # rank below-1 is the predecessor, rank upto the successor, else a candidate
-            return (F.when(rank == below - 1, F.col(f"_pred{j}"))
-                     .when(rank == upto, F.col(f"_succ{j}"))
-                     .otherwise(cand))
-        vlo, vhi = at(lo, F.col(f"_vlo{j}")), at(hi, F.col(f"_vhi{j}"))
-        interp = F.when(vlo == vhi, vlo).otherwise(vlo + (pos - lo) * (vhi - vlo))
-        result_cols.append(
-            F.when(n == 0, F.lit(None).cast("double"))
-             .when(ok & vlo.isNotNull() & vhi.isNotNull(), interp)
-             .otherwise(F.raise_error(F.lit(f"percentile bracket missed its rank for p={probs[j]}"))
-                        .cast("double"))
-             .alias(name))
-    key_cols = [F.col("_g").getField(k).alias(k) for k in group_keys]
-    return final.select(*key_cols, n.cast("long").alias("n"), *result_cols)
+        lo, hi = F.col(f"_lo{j}"), F.col(f"_hi{j}")
+        between = F.when(lo == hi, lo).otherwise(lo + (pos - F.floor(pos)) * (hi - lo))
+        columns.append(F.when(n > 0, between).alias(name))
+    return found.select(*[F.col("_g").getField(k).alias(k) for k in group_keys], n.cast("long").alias("n"), *columns)
 
 
 def percentile_limits(df: DataFrame, value: str, low: float = 0.02, high: float = 0.98,

@@ -33,7 +33,8 @@ def raster_cells(obs: DataFrame, value: str, grid: GridSpec = GRID_025,
 
 
 def dense_raster(obs: DataFrame, value: str, grid: GridSpec = GRID_025,
-                 month_col: str = "year_month", months: DataFrame | None = None) -> DataFrame:
+                 month_col: str = "year_month", months: DataFrame | None = None,
+                 unique_cells: bool = False) -> DataFrame:
     """R2: ``n_lat`` rows per month of ``(month, lat_i, latitude, values array<double>)``
     with ``values[lon_i]`` = the cell's value or NaN.
 
@@ -42,11 +43,17 @@ def dense_raster(obs: DataFrame, value: str, grid: GridSpec = GRID_025,
 
     Cells are reduced to one value each first (partial aggregation absorbs any
     number of duplicate copies before the shuffle), so every collected row holds at
-    most ``n_lon`` entries whatever the input's duplication.
+    most ``n_lon`` entries whatever the input's duplication. ``unique_cells`` says that no
+    two observations fall on one cell (staged input), which saves that aggregate; if two do,
+    the query fails on the duplicate.
     """
+    if unique_cells:
+        cells = obs.select(month_col, lat_raster_index("latitude", grid).alias("lat_i"),
+                           lon_raster_index("longitude", grid).alias("lon_i"), F.col(value).cast("double").alias(value))
+    else:
+        cells = raster_cells(obs, value, grid, month_col)
     # a cell without a coordinate has no place on the grid (and cannot be a map key)
-    cells = (raster_cells(obs, value, grid, month_col)
-             .where(F.col("lat_i").isNotNull() & F.col("lon_i").isNotNull()))
+    cells = cells.where(F.col("lat_i").isNotNull() & F.col("lon_i").isNotNull())
     rows = (cells.groupBy(month_col, "lat_i")
                  .agg(F.map_from_entries(F.collect_list(F.struct("lon_i", value))).alias("_cells")))
     if months is None:
@@ -68,22 +75,13 @@ def dense_fill(obs: DataFrame, value: str, grid: GridSpec = GRID_025,
     """The full cell grid of each month as long rows, missing cells as NaN:
     ``(month, lat_i, lon_i, latitude, longitude, value)``.
 
-    A spine of cell indices is joined with the cells. ``unique_cells`` says that no two
-    observations fall on one cell (staged input), which saves the aggregate that makes sure."""
-    if unique_cells:
-        cells = obs.select(month_col, lat_raster_index("latitude", grid).alias("lat_i"),
-                           lon_raster_index("longitude", grid).alias("lon_i"), F.col(value).cast("double").alias(value))
-    else:
-        cells = raster_cells(obs, value, grid, month_col)
-    if months is None:
-        months = obs.select(month_col).distinct()
-    spine = (months.select(month_col, F.explode(F.sequence(F.lit(0), F.lit(grid.n_lat - 1))).alias("lat_i"))
-             .select(month_col, "lat_i", F.explode(F.sequence(F.lit(0), F.lit(grid.n_lon - 1))).alias("lon_i")))
-    return spine.join(cells, [month_col, "lat_i", "lon_i"], "left").select(
-        month_col, "lat_i", "lon_i",
-        (F.lit(grid.lat_min) + F.col("lat_i").cast("double") * F.lit(grid.step)).alias("latitude"),
-        (F.lit(grid.lon_min) + F.col("lon_i").cast("double") * F.lit(grid.step)).alias("longitude"),
-        F.coalesce(F.col(value), F.lit(NAN)).alias(value))
+    The rows of :func:`dense_raster`, exploded: what is shuffled is one row per month and
+    latitude, not one per cell of the grid. A month of ``obs`` without any cell on the grid
+    has no rows unless ``months`` names it."""
+    rows = dense_raster(obs, value, grid, month_col, months, unique_cells)
+    return rows.select(month_col, "lat_i", "latitude", F.posexplode("values").alias("lon_i", value)).select(
+        month_col, "lat_i", "lon_i", "latitude",
+        (F.lit(grid.lon_min) + F.col("lon_i").cast("double") * F.lit(grid.step)).alias("longitude"), value)
 
 
 def pivot_grid(df: DataFrame, value: str, row: str = "latitude", col: str = "longitude",

@@ -19,11 +19,13 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 from tidemart.operators.marts import marts_from_partials, zone_partials
-from tidemart.operators.staging import filter_months, keyed_cells, month_floor, public_cells, regrid_sst, stage_sla
+from tidemart.operators.staging import CELL_KEYS, filter_months, keyed_cells, month_floor, public_cells, regrid_sst, stage_sla
 from tidemart.schemas import RAW_SLA, RAW_SST
 from tidemart.sources.lake import scan_lake
 from tidemart.session import ensure_checkpoint_dir
-from tidemart.sources.tables import create_tables, create_view, delete_insert
+from tidemart.sources.tables import (
+    create_cell_table, create_staged_view, create_tables, create_view, delete_insert, publish_lake, read_cells, write_cells,
+)
 
 
 @dataclass(frozen=True)
@@ -33,11 +35,22 @@ class Layout:
     sla_lake: str
     sst_lake: str
     prefix: str = ""
+    #: over 0: stage both variables into tables with so many buckets per month, which join without an exchange
+    cell_buckets: int = 0
+    #: make the staging view of sea level in the catalog, over an external table on the lake
+    catalog_view: bool = False
 
     @property
     def staging_sst(self) -> str:
         return f"{self.prefix}staging.sea_surface_temperature"
 
+    def cells(self, variable: str) -> str:
+        return f"{self.prefix}staging.{variable}_cells"
+
+    @property
+    def staged_view(self) -> str:
+        return f"{self.prefix}staging.sea_level_anomaly"
+
     @property
     def monthly(self) -> str:
         return f"{self.prefix}mart.monthly_global_trends"
@@ -60,8 +73,16 @@ def build(spark: SparkSession, layout: Layout, start: str, end: str) -> None:
     raw_sla = scan_lake(spark, layout.sla_lake, RAW_SLA, start, end)
     sla = stage_sla(raw_sla)
     # the published view covers the whole lake, whatever range is rebuilt
-    every_sla = stage_sla(scan_lake(spark, layout.sla_lake, RAW_SLA))
-    create_view(public_cells(every_sla), f"{layout.prefix.replace('.', '_')}staging_sea_level_anomaly")
+    if layout.catalog_view:
+        raw_table = f"{layout.prefix}staging.sea_level_anomaly_lake"
+        publish_lake(spark, layout.sla_lake, RAW_SLA, raw_table)
+        create_staged_view(spark, layout.staged_view, raw_table)
+    else:
+        every_sla = stage_sla(scan_lake(spark, layout.sla_lake, RAW_SLA))
+        create_view(public_cells(every_sla), f"{layout.prefix.replace('.', '_')}staging_sea_level_anomaly")
+    if layout.cell_buckets:
+        sla, staged_sst = (_in_buckets(spark, layout, keyed, name, start, end) for keyed, name in
+                           ((sla, "sea_level_anomaly"), (staged_sst, "sea_surface_temperature")))
 
     ensure_checkpoint_dir(spark)
     partials = zone_partials(sla, staged_sst, start, end).checkpoint(eager=True)
@@ -70,6 +91,14 @@ def build(spark: SparkSession, layout: Layout, start: str, end: str) -> None:
     delete_insert(spark, zones, layout.zones)
 
 
+def _in_buckets(spark: SparkSession, layout: Layout, keyed, variable: str, start, end):
+    """The keyed frame written to its bucketed table and read back for the range."""
+    table = layout.cells(variable)
+    create_cell_table(spark, table, [c for c in keyed.columns if c not in CELL_KEYS], layout.cell_buckets)
+    write_cells(spark, keyed, table)
+    return read_cells(spark, table, start, end)
+
+
 def ingest_month(spark: SparkSession, grid_rows, base: str, schema, measure: str,
                  primary: str, measures: list[str] | None = None,
                  kelvin: list[str] | None = None, range_partitions: int | None = None) -> None:

@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,10 +28,14 @@ from tidemart.operators.quantiles import exact_percentiles
 from tidemart.operators.trends import linear_trend, month_ordinal, with_fitted
 from tidemart.plans import dashboard
 from tidemart.sources import fixtures as fx
-from tidemart.session import ensure_checkpoint_dir
 from tidemart.sources.frames import concat_months, empty_typed, values_table
-from tidemart.sources.gridded import grid_flatten
-from tidemart.sources.lake import scan_lake, write_lake_month
+from tidemart.sources.gridded import grid_flatten, rename_source_columns, tag_month
+from tidemart.sources.lake import scan_lake, scan_newest_month, scan_published, write_lake_month, write_published
+from tidemart.sources.scratch import ends, scratch_path
+from tidemart.sources.tables import (
+    append_table, bulk_load_append, create_cell_table, create_staged_view, create_table, ctas_temp, delete_insert,
+    publish_lake, read_cells, read_published, read_table, write_cells,
+)
 from tidemart.schemas import STAGING_SST
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -297,13 +301,109 @@ def q_grid_flatten_two(spark, sf):
 def q_scan_range(spark, sf):
     """The raw SST observations written as a lake and read back for a range that
     begins and ends inside a month."""
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemart-lake-{uuid.uuid4().hex}"
+    base = scratch_path(spark, "lake")
     raw = fx.raw_sst(spark, sf)
     write_lake_month(raw, base)
     back = scan_lake(spark, base, raw.schema, "1996-11-15", "1997-02-02")
     return rounded(back.select(*raw.columns))
 
 
+def q_published_range(spark, sf):
+    """S1 / S3 in the published layout: one object per month, read for the same range."""
+    prefix = scratch_path(spark, "published")
+    raw = fx.raw_sst(spark, sf)
+    write_published(raw, prefix)
+    return rounded(scan_published(spark, prefix, raw.schema, "1996-11-15", "1997-02-02"))
+
+
+def q_newest_month_slice(spark, sf):
+    """A8 / F4 on a lake: the newest month, found by listing folders."""
+    base = scratch_path(spark, "lake")
+    raw = fx.raw_sla(spark, sf)
+    write_lake_month(raw, base)
+    return rounded(scan_newest_month(spark, base, raw.schema))
+
+
+def _table(spark, kind: str) -> tuple[str, str]:
+    """Name and folder of a table that ends with the open lifetime."""
+    place = scratch_path(spark, kind)
+    name = f"tidemart_{kind}_{uuid.uuid4().hex}"
+    ends("table", name)
+    return name, place
+
+
+def q_bucketed_join(spark, sf):
+    """Both variables staged into bucketed tables, read back and joined in place."""
+    sides = []
+    for keyed, measures in zip(_keyed(spark, sf), (["sea_level_anomaly_m"], ["sst_celsius", "sea_ice_fraction"])):
+        name, place = _table(spark, "cells")
+        create_cell_table(spark, name, measures, buckets=4, location=place)
+        write_cells(spark, keyed, name)
+        sides.append(read_cells(spark, name))
+    return rounded(staging.public_cells(joins.cell_join(*sides)))
+
+
+def q_staged_view(spark, sf):
+    """The staging view of the catalog, over an external table on the raw lake."""
+    base = scratch_path(spark, "lake")
+    raw = fx.raw_sla(spark, sf)
+    write_lake_month(raw, base)
+    name, _ = _table(spark, "lake_table")
+    publish_lake(spark, base, raw.schema, name)
+    create_staged_view(spark, f"{name}_staged", name)
+    ends("catalog view", f"{name}_staged")
+    return rounded(spark.table(f"{name}_staged"))
+
+
+def q_ctas_table(spark, sf):
+    """A computed-once temporary table, read twice by name."""
+    source, name = (f"tidemart_{k}_{uuid.uuid4().hex}" for k in ("source", "ctas"))
+    fx.raw_sla(spark, sf).createOrReplaceTempView(source)
+    ends("view", source)
+    ctas_temp(spark, name, f"SELECT year, month, count(*) AS n, max(sea_level_anomaly_m) AS top FROM {source} GROUP BY year, month")
+    years = read_table(spark, f"SELECT year, sum(n) AS year_n FROM {name} GROUP BY year")
+    return rounded(read_table(spark, name).join(years, "year").select("year", "month", "n", "year_n", "top"))
+
+
+def q_month_replacement(spark, sf):
+    """Staged SST appended to a table, then the months of one year replaced."""
+    name, place = _table(spark, "staged")
+    staged = _staged_sst(spark, sf)
+    create_table(spark, name, STAGING_SST, "year_month", ["year", "month"], location=place)
+    append_table(spark, staged, name)
+    delete_insert(spark, staged.where("year = 1996 AND latitude >= 0").withColumn("sst_celsius", F.col("sst_celsius") + 100), name)
+    return rounded(read_published(spark, name, STAGING_SST))
+
+
+def q_bulk_load(spark, sf):
+    """The month folders of a lake loaded into a table twice, as a re-run does."""
+    base = scratch_path(spark, "lake")
+    raw = fx.raw_sla(spark, sf)
+    write_lake_month(raw, base)
+    name, place = _table(spark, "loaded")
+    for _ in range(2):
+        bulk_load_append(spark, [f"{base}/year={y}" for y in (1995, 1997)], raw.schema, name, location=place)
+    return rounded(spark.table(name).select(*raw.columns))
+
+
+def q_rename_tag(spark, sf):
+    """Source names to published names, one month's rows tagged with year and month."""
+    raw = series.slice_month(fx.raw_sst_kelvin(spark, sf), 1997, 6).drop("year", "month")
+    return rounded(tag_month(rename_source_columns(raw.withColumnsRenamed({"latitude": "lat", "longitude": "lon"})), 1997, 6))
+
+
+def q_trends_ordered(spark, sf):
+    """O1: the order of the D1 series, as the position of each month in the sorted result."""
+    ordered = dashboard.trends(_monthly(spark, sf), ordered=True).select("year_month")
+    place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
+    return ordered.withColumn("position", place.cast("long"))
+
+
+def q_raw_cell_join_filtered(spark, sf):
+    """J2 with the key filter before the shuffle of the larger side."""
+    return rounded(joins.raw_cell_join(fx.raw_sla(spark, sf), fx.raw_sst(spark, sf), prefilter=True))
+
+
 def q_concat_months(spark, sf):
     """UNION ALL of three month slices, of which one is empty."""
     raw = fx.raw_sla(spark, sf)
@@ -478,6 +578,16 @@ QUERIES: dict[str, Query] = {
     "sst_map_month": q_sst_map_month,
     "grid_flatten_two": q_grid_flatten_two,
     "scan_range": q_scan_range,
+    "published_range": q_published_range,
+    "newest_month_slice": q_newest_month_slice,
+    "bucketed_join": q_bucketed_join,
+    "staged_view": q_staged_view,
+    "ctas_table": q_ctas_table,
+    "month_replacement": q_month_replacement,
+    "bulk_load": q_bulk_load,
+    "rename_tag": q_rename_tag,
+    "trends_ordered": q_trends_ordered,
+    "raw_cell_join_filtered": q_raw_cell_join_filtered,
     "concat_months": q_concat_months,
     "values_join": q_values_join,
     "zone_slice": q_zone_slice,
