@@ -12,8 +12,13 @@ none reaches that.  A shorter stretch (a heading, a table row, a closing line) i
 its neighbours when fewer than ``WINDOW`` empty elements, dropped lines or lines of links lie
 between, tags around text not counted, and when it has a container in common with a surge.
 
+Names of taxonomy, layout and negation ("category-social", "has-related", "ad-free") mark
+nothing.  Where the lists leave no text, or little beside an element that they drop although it
+holds the article or most of the page's text (a form around the page, a "widget" of a page
+builder), the page is read again without dropping such elements; hidden ones stay out.
+
 Edge cases: NULL or empty html gives an empty text; unclosed elements end with their
-parent, and an unclosed boilerplate element ends at the next block; pages of any length
+parent, to any depth in linear time, and an unclosed boilerplate element ends at the next block; pages of any length
 are read whole; repeated rows are extracted each; other columns are ignored.
 """
 
@@ -21,6 +26,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -55,24 +61,38 @@ _WEAK = frozenset(["header", "masthead", "topbar"])
 _MAIN = frozenset("article body content entry has main no post with without".split())
 _STRONG = frozenset("ad ads advert comment comments cookie disqus related share social sponsored".split())
 _CONTENT = ("article", "main")
+#: class names that say what a page is about, what it has or lacks
+_ABOUT = re.compile(r"(?:category|tag|has|no|not|with|without)[-_]|.*[-_]free$", re.I)
+LITTLE = 4  # text lost to one dropped element, in lengths of the text found, at which a page is read again
 #: parts of a table, which is the container of their text
 _ROWS = frozenset("caption tbody td tfoot th thead tr".split())
 _SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 
+def _values(attrs: str) -> dict[str, str]:
+    return {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(attrs)}
+
+
+def _hidden(attrs: str) -> bool:
+    values = _values(attrs)
+    return "hidden" in values or values.get("aria-hidden") == "true" \
+        or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", values.get("style", "")))
+
+
 def _marks(name: str, attrs: str, inside: bool) -> bool:
     """Whether an element's own name and attributes mark it as boilerplate."""
     if name in _DROP or name == "header" and not inside:
         return True
     if not attrs.strip() or name in ("html", "body"):
         return False
-    values = {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(attrs)}
-    if "hidden" in values or values.get("aria-hidden") == "true" \
-            or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", values.get("style", "")):
+    if _hidden(attrs):
         return True
+    values = _values(attrs)
     if values.get("role", "").lower() in _ROLES:
         return True
     for token in f"{values.get('class', '')} {values.get('id', '')}".split():
+        if _ABOUT.match(token):
+            continue
         parts = {x.lower() for x in _SPLIT.split(token) if x}
         found = parts & _PARTS
         if found & _STRONG or (found or parts & _WEAK and not inside) and not parts & _MAIN:
@@ -94,7 +114,7 @@ def _tokens(page: str):
         name = m.group(2) or m.group(5)
         if name is None:
             if m.group().startswith("<![CDATA["):
-                yield "text", m.group()[9:-3], ""
+                yield "text", m.group()[9:].removesuffix("]]>"), ""
             continue
         name = name.lower()
         if m.group(1) or m.group(4):
@@ -114,51 +134,82 @@ def _tokens(page: str):
 def _unclosed(tokens: list) -> set[int]:
     """Indexes of open tags that no close tag of their own ends."""
     stack: list[tuple[str, int]] = []
+    live: Counter = Counter()
     out = set()
     for i, (kind, name, _) in enumerate(tokens):
         if kind == "open" and name not in _VOID:
             stack.append((name, i))
-        elif kind == "close" and any(n == name for n, _ in stack):
+            live[name] += 1
+        elif kind == "close" and live[name]:
             while stack[-1][0] != name:
-                out.add(stack.pop()[1])
+                lost, at = stack.pop()
+                live[lost] -= 1
+                out.add(at)
             stack.pop()
+            live[name] -= 1
     return out | {i for _, i in stack}
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool, bool, int]]:
+def _holders(tokens: list) -> dict[int, int]:
+    """Text outside links of every element that holds an article or more than half of all such text."""
+    stack: list[tuple[str, int, int, int]] = []  # name, index, text and contents before it
+    live: Counter = Counter()
+    sizes, seen, contents, links = {}, 0, 0, 0
+
+    def pop():
+        nonlocal links
+        name, at, before, articles = stack.pop()
+        live[name] -= 1
+        links -= name == "a"
+        sizes[at] = seen - before, contents > articles
+
+    for i, (kind, name, _) in enumerate(tokens):
+        if kind == "text":
+            seen += 0 if links else len(" ".join(name.split()))
+        elif kind == "open" and name not in _VOID:
+            stack.append((name, i, seen, contents))
+            contents += name in _CONTENT
+            live[name] += 1
+            links += name == "a"
+        elif kind == "close" and live[name]:
+            while stack[-1][0] != name:
+                pop()
+            pop()
+    while stack:
+        pop()
+    return {i: size for i, (size, article) in sizes.items() if article or 2 * size > seen}
+
+
+def lines_of(page: str, tokens: list | None = None, keep: frozenset = frozenset(),
+             lost: set | None = None) -> list[tuple[str, int, bool, bool, int]]:
     """(text, length outside links, inside the marked article, void, container) of each line.
 
     Dropped lines are empty.  Empty lines of dropped and of empty elements are void, those of
-    tags around text are not.  A container is the index of the tag that opened it.
+    tags around text are not.  A container is the index of the tag that opened it.  Elements whose
+    index is in ``keep`` are not dropped; indexes of dropped ones are added to ``lost``.
     """
-    tokens = list(_tokens(page))
+    tokens = list(_tokens(page)) if tokens is None else tokens
     unclosed = _unclosed(tokens)
     out: list[tuple[str, int, bool, bool, int]] = []
-    stack: list[tuple[str, bool, bool, int]] = []  # name, drops, drops up to the next block, index
+    # name, drops, drops up to the next block, container of text in it, innermost block that is no part of a table
+    stack: list[tuple[str, bool, bool, int, int]] = []
+    live: Counter = Counter()
     text: list[str] = []
     linked = drops = article = links = 0
     bare = False  # no text and no other block since a block began
 
-    def container() -> int:
-        found = 0
-        for name, _, _, at in reversed(stack):
-            if name in _BLOCK:
-                if found and name not in _ROWS:
-                    return at
-                found += 1
-        return -1
-
     def flush(ends: bool = False):
         nonlocal linked, bare
         line = " ".join(entities.unescape("".join(text)).split())
-        out.append((line, max(0, len(line) - linked), bool(article), drops > 0 or ends and bare, container() if line else -1))
+        out.append((line, max(0, len(line) - linked), bool(article), drops > 0 or ends and bare, stack[-1][3] if line and stack else -1))
         text.clear()
         linked = 0
         bare = False
 
     def pop():
         nonlocal drops, article, links
-        name, drop, _, _ = stack.pop()
+        name, drop, *_ = stack.pop()
+        live[name] -= 1
         drops -= drop
         article -= name in _CONTENT and not drop
         links -= name == "a"
@@ -181,8 +232,14 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool, int]]:
             elif name == "br":
                 text.append(" ")
             if name not in _VOID:
-                drop = _marks(name, attrs, article > 0)
-                stack.append((name, drop, drop and i in unclosed, i))
+                drop = i not in keep and _marks(name, attrs, article > 0)
+                if drop and lost is not None:
+                    lost.add(i)
+                home, near = stack[-1][3:] if stack else (-1, -1)
+                if name in _BLOCK:
+                    home, near = near, near if name in _ROWS else i
+                stack.append((name, drop, drop and i in unclosed, home, near))
+                live[name] += 1
                 bare = bare or name in _BLOCK
                 drops += drop
                 article += name in _CONTENT and not drop
@@ -190,7 +247,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool, int]]:
         else:
             if name in _BLOCK:
                 flush(ends=True)
-            if any(n == name for n, *_ in stack):
+            if live[name]:
                 while stack[-1][0] != name:
                     pop()
                 pop()
@@ -200,7 +257,24 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool, int]]:
 
 def main_text(page: str, window: int = WINDOW, surge: int = SURGE) -> str:
     """Text between the surge and dive points of a page's line-block distribution."""
-    lines = lines_of(page)
+    tokens, lost = list(_tokens(page)), set()
+    text = _between(lines_of(page, tokens, lost=lost), window, surge)
+    if not lost or LITTLE * len(text) >= sum(len(a) for kind, a, _ in tokens if kind == "text"):
+        return text
+    holders = _holders(tokens)
+    doubtful = frozenset(i for i in lost if i in holders and not _hidden(tokens[i][2]))
+    if text:  # beside a text, what carries a strong name (comments, adverts) stays out
+        doubtful = frozenset(i for i in doubtful if holders[i] >= LITTLE * len(text) and not _strong(tokens[i][2]))
+    return _between(lines_of(page, tokens, doubtful), window, surge) if doubtful else text
+
+
+def _strong(attrs: str) -> bool:
+    values = _values(attrs)
+    return any({x.lower() for x in _SPLIT.split(token)} & _STRONG
+               for token in f"{values.get('class', '')} {values.get('id', '')}".split() if not _ABOUT.match(token))
+
+
+def _between(lines: list, window: int, surge: int) -> str:
     marked = any(x[2] and x[0] for x in lines)
     lengths = [(len(line) if inside else 0) if marked else own for line, own, inside, *_ in lines]
     least = 1 if marked else surge
