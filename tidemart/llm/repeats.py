@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 
 from .words import mix
 
-#: k: shuffle key; tag 0: only one owner in its task; 1: marker of several; 2: told directly
+#: k: shuffle key; tag 0: only one owner in its task; 1: marker of several; 2: told directly.  Rows of
+#: tag 0 and 1 are dealt by their hash, which is k; h is 0 there and costs next to nothing when compressed
 LOCAL_SCHEMA = "k long, h long, doc long, tie long, tag int"
 _FIELDS = pa.schema([("k", pa.int64()), ("h", pa.int64()), ("doc", pa.int64()), ("tie", pa.int64()), ("tag", pa.int32())])
 
@@ -44,7 +45,8 @@ def local_rows(h: np.ndarray, row: np.ndarray, doc: np.ndarray, tie: np.ndarray,
     for at, tag in ((single, 0), (marker, 1), (told, 2)):
         d, t = doc[row[at]], tie[row[at]]
         key = signed(mix(d.view(np.uint64) ^ t.view(np.uint64))) if tag == 2 else signed(h[at])
-        parts.append((key, signed(h[at]), d, t, np.full(len(d), tag, np.int32)))
+        own = signed(h[at]) if tag == 2 else np.zeros(len(d), np.int64)
+        parts.append((key, own, d, t, np.full(len(d), tag, np.int32)))
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts)], schema=_FIELDS)
 
 
@@ -57,7 +59,7 @@ def _settle(batches):
         told = batch.filter(pa.array(tag == 2))
         yield pa.RecordBatch.from_arrays([told.column(x) for x in ("doc", "tie", "h")], schema=out)
         keep = tag < 2
-        held.append([np.asarray(batch.column(x))[keep] for x in ("h", "doc", "tie", "tag")])
+        held.append([np.asarray(batch.column(x))[keep] for x in ("k", "doc", "tie", "tag")])
     if held:
         h, doc, tie, tag = (np.concatenate(x) for x in zip(*held))
         held.clear()
