@@ -293,19 +293,21 @@ def _meet(k: int):
                 qs, vs = q_vectors[asked].astype(np.float64), vectors[rows].astype(np.float64)
                 near = qs @ vs.T
                 best = min(k + 1, len(rows))  # one class may hold the query alone
-                # a matrix product rounds in its own way: all within its rounding of the last place go on
-                # to the exact score, and ties there go to the smallest id
+                top = np.argpartition(-near, best - 1, axis=1)[:, :best]
+                # a matrix product rounds in its own way: where more rows than these are within its rounding of
+                # the last place, all go on to the exact score, and ties there go to the smallest id
                 slack = 4 * vs.shape[1] * np.finfo(np.float64).eps * np.linalg.norm(qs, axis=1) * np.linalg.norm(vs, axis=1).max()
-                last = -np.partition(-near, best - 1, axis=1)[:, best - 1]
-                for lo in range(0, len(asked), 16):
-                    i, j = np.nonzero(near[lo: lo + 16] >= (last - slack)[lo: lo + 16, None])
-                    i += lo
-                    found = names[rows[j]]
+                last = np.take_along_axis(near, top[:, -1:], 1)[:, 0] - slack
+                tied = np.count_nonzero(near >= last[:, None], axis=1) > best
+                clear = np.flatnonzero(~tied)
+                exact = (vs[top[clear]] * qs[clear, None, :]).sum(axis=2)
+                parts.append((np.repeat(q_ids[asked[clear], 0], best), names[rows[top[clear].reshape(-1)]], exact.reshape(-1)))
+                for i in np.flatnonzero(tied):
+                    j = np.flatnonzero(near[i] >= last[i])
                     exact = (vs[j] * qs[i]).sum(axis=1)
-                    first = np.lexsort((found[:, 1], found[:, 0], -exact, i))
-                    i, found, exact = i[first], found[first], exact[first]
-                    keep = np.arange(len(i)) - np.searchsorted(i, i) < best
-                    parts.append((q_ids[asked[i[keep]], 0], found[keep], exact[keep]))
+                    found = names[rows[j]]
+                    first = np.lexsort((found[:, 1], found[:, 0], -exact))[:best]
+                    parts.append((np.repeat(q_ids[asked[i], 0], len(first)), found[first], exact[first]))
         if not parts:
             return _best_rows(np.zeros(0, np.int64), np.zeros((0, 2), np.int64), np.zeros(0), k)
         return _best_rows(*(np.concatenate(x) for x in zip(*parts)), k)
