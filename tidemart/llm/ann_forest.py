@@ -293,12 +293,14 @@ def _meet(k: int):
                 qs, vs = q_vectors[asked].astype(np.float64), vectors[rows].astype(np.float64)
                 near = qs @ vs.T
                 best = min(k + 1, len(rows))  # one class may hold the query alone
-                top = np.argpartition(-near, best - 1, axis=1)[:, :best]
-                # a matrix product rounds in its own way: where more rows than these are within its rounding of
-                # the last place, all go on to the exact score, and ties there go to the smallest id
+                more = best < len(rows)
+                top = np.argpartition(-near, (best - 1, best) if more else best - 1, axis=1)[:, :best + 1]
+                # a matrix product rounds in its own way: where the next row is within its rounding of
+                # the last place, all such go on to the exact score, and ties there go to the smallest id
                 slack = 4 * vs.shape[1] * np.finfo(np.float64).eps * np.linalg.norm(qs, axis=1) * np.linalg.norm(vs, axis=1).max()
-                last = np.take_along_axis(near, top[:, -1:], 1)[:, 0] - slack
-                tied = np.count_nonzero(near >= last[:, None], axis=1) > best
+                last = np.take_along_axis(near, top[:, best - 1: best], 1)[:, 0] - slack
+                tied = np.take_along_axis(near, top[:, best:], 1)[:, 0] >= last if more else np.zeros(len(top), bool)
+                top = top[:, :best]
                 clear = np.flatnonzero(~tied)
                 exact = (vs[top[clear]] * qs[clear, None, :]).sum(axis=2)
                 parts.append((np.repeat(q_ids[asked[clear], 0], best), names[rows[top[clear].reshape(-1)]], exact.reshape(-1)))
