@@ -47,7 +47,7 @@ def main():
              "the query: shuffles actually performed (identical stages and subqueries are reused)",
              "and the bytes they wrote. `single` exchanges gather a global aggregate's *partial*",
              "results (one row per task), never raw rows; `windows` are over monthly series or",
-             "over one percentile bracket's candidates (both bounded).", "",
+             "over the bins and one bin's values of a percentile (all bounded).", "",
              "| query | hash | range | single | broadcast | scalar subqueries | scans | windows "
              "| executed shuffles | executed shuffle bytes |",
              "|---|---|---|---|---|---|---|---|---|---|"]
