@@ -39,6 +39,8 @@ SEARCH = 0.6         # share of the rows that a query takes from all trees toget
 SEARCH_LEAST = 8_000 # ... and least number
 PART = 5_000         # rows, and queries, of one leaf that meet in one cell
 BUCKET = 25_000      # rows of the cells that one task takes
+HELD = 1 << 17       # query and row pairs that wait for their exact score
+NEAR = 1 << 20       # query and row pairs of one matrix product
 SEED = 11
 BATCH_IDS = "vec array<float>, salt int, ids array<long>"
 
@@ -270,63 +272,94 @@ def _deal(salts, buckets: int):
 
 
 def _meet(k: int):
-    """Cogrouped by bucket: the k + 1 best classes for each query over the cells of the bucket."""
+    """Cogrouped by bucket: the k + 1 best classes for each query over the cells of the bucket.
+
+    Only rows that reach a query's bound, the least of its k + 1 best scores so far, are held.  A
+    matrix product rounds in its own way, so rows within its rounding below the bound go on to the
+    exact score, too; ties there go to the smallest id.
+    """
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        parts = []
-        if left.num_rows and right.num_rows:
-            at, names, vectors = _unpacked(right, 2)
-            cell = np.asarray(right.column("cell"))[at]
-            order = np.argsort(cell, kind="stable")
-            cells = cell[order]
-            q_at, q_ids, q_vectors = _unpacked(left, 1)
-            q_cell = np.asarray(left.column("cell"))[q_at]
-            q_order = np.argsort(q_cell, kind="stable")
-            ends = np.append(np.flatnonzero(np.diff(q_cell[q_order])) + 1, len(q_order))
-            a = 0
-            for b in ends.tolist():
-                asked = q_order[a:b]
-                a = b
-                value = q_cell[asked[0]]
-                rows = order[np.searchsorted(cells, value): np.searchsorted(cells, value, side="right")]
-                if not len(rows):
-                    continue
-                qs, vs = q_vectors[asked].astype(np.float64), vectors[rows].astype(np.float64)
-                near = qs @ vs.T
-                best = min(k + 1, len(rows))  # one class may hold the query alone
-                more = best < len(rows)
-                top = np.argpartition(-near, (best - 1, best) if more else best - 1, axis=1)[:, :best + 1]
-                # a matrix product rounds in its own way: where the next row is within its rounding of
-                # the last place, all such go on to the exact score, and ties there go to the smallest id
-                slack = 4 * vs.shape[1] * np.finfo(np.float64).eps * np.linalg.norm(qs, axis=1) * np.linalg.norm(vs, axis=1).max()
-                last = np.take_along_axis(near, top[:, best - 1: best], 1)[:, 0] - slack
-                tied = np.take_along_axis(near, top[:, best:], 1)[:, 0] >= last if more else np.zeros(len(top), bool)
-                top = top[:, :best]
-                clear = np.flatnonzero(~tied)
-                exact = (vs[top[clear]] * qs[clear, None, :]).sum(axis=2)
-                parts.append((np.repeat(q_ids[asked[clear], 0], best), names[rows[top[clear].reshape(-1)]], exact.reshape(-1)))
-                for i in np.flatnonzero(tied):
-                    j = np.flatnonzero(near[i] >= last[i])
-                    exact = (vs[j] * qs[i]).sum(axis=1)
-                    found = names[rows[j]]
-                    first = np.lexsort((found[:, 1], found[:, 0], -exact))[:best]
-                    parts.append((np.repeat(q_ids[asked[i], 0], len(first)), found[first], exact[first]))
-        if not parts:
-            return _best_rows(np.zeros(0, np.int64), np.zeros((0, 2), np.int64), np.zeros(0), k)
-        return _best_rows(*(np.concatenate(x) for x in zip(*parts)), k)
+        if not left.num_rows or not right.num_rows:
+            return _best_table(np.zeros(0, np.int64), np.zeros((0, 2), np.int64), np.zeros(0), k)
+        at, names, vectors = _unpacked(right, 2)
+        order, cells = _by_cell(np.asarray(right.column("cell"))[at])
+        q_at, q_ids, q_vectors = _unpacked(left, 1)
+        q_order, q_cells = _by_cell(np.asarray(left.column("cell"))[q_at])
+        ids, asker = np.unique(q_ids[:, 0], return_inverse=True)
+        slack = (4 * vectors.shape[1] * np.finfo(np.float64).eps * np.linalg.norm(vectors.astype(np.float64), axis=1).max()
+                 * np.linalg.norm(q_vectors.astype(np.float64), axis=1))
+        bound = np.full(len(ids), -np.inf)
+        order_of, first = np.lexsort((names[:, 1], names[:, 0])), np.zeros(len(names), bool)
+        first[1:] = (names[order_of[1:]] != names[order_of[:-1]]).any(axis=1)
+        number = np.empty(len(names), np.int64)  # of the class, in the order of the names
+        number[order_of] = np.cumsum(first)
+        best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        held, many = [], 0
+
+        def settle():
+            nonlocal best, many
+            asked, rows = (np.concatenate(x) for x in zip(*held))
+            exact = np.concatenate([(vectors[rows[a: a + HELD]].astype(np.float64) * q_vectors[asked[a: a + HELD]]).sum(axis=1)
+                                    for a in range(0, len(rows), HELD)])
+            fit = exact >= bound[asker[asked]]
+            found = asker[asked[fit]], number[rows[fit]], exact[fit]
+            best = _best(*(np.concatenate(x) for x in zip(best, found)), k)
+            full = np.flatnonzero(np.bincount(best[0], minlength=len(ids)) > k)
+            bound[full] = best[2][np.searchsorted(best[0], full, side="right") - 1]
+            held.clear()
+            many = 0
+
+        begins = np.flatnonzero(np.diff(q_cells, prepend=q_cells[0] - 1))
+        for a, b in zip(begins, np.append(begins[1:], len(q_cells))):
+            rows = order[np.searchsorted(cells, q_cells[a]): np.searchsorted(cells, q_cells[a], side="right")]
+            if not len(rows):
+                continue
+            vs = vectors[rows].astype(np.float64)
+            step = max(1, NEAR // len(rows))
+            for c in range(a, b, step):
+                asked = q_order[c: min(b, c + step)]
+                near = q_vectors[asked].astype(np.float64) @ vs.T
+                least = bound[asker[asked]]
+                new = np.flatnonzero(np.isneginf(least))
+                if len(new) and len(rows) > k:  # a class is once in a cell; one may hold the query alone
+                    least[new] = np.partition(near[new], len(rows) - k - 1, axis=1)[:, len(rows) - k - 1]
+                    np.maximum.at(bound, asker[asked[new]], least[new] - slack[asked[new]])
+                i, j = np.nonzero(near >= (least - slack[asked])[:, None])
+                held.append((asked[i], rows[j]))
+                many += len(i)
+                if many > HELD:
+                    settle()
+        if held:
+            settle()
+        row = np.empty(len(names), np.int64)
+        row[number] = np.arange(len(names))
+        return _best_table(ids[best[0]], names[row[best[1]]], best[2], k)
     return run
 
 
-def _best_rows(query, names, score, k: int) -> pa.Table:
-    """Rows (query, cids, hashes, scores): the k + 1 best distinct classes of each query, as bytes."""
-    order = np.lexsort((names[:, 1], names[:, 0], -score, query))
-    query, names, score = query[order], names[order], score[order]
+def _by_cell(cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(cell, kind="stable")
+    return order, cell[order]
+
+
+def _best(query, number, score, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k + 1 best distinct classes of each query, by query and from the best on; ties by their number."""
+    order = np.lexsort((number, -score, query))
+    query, number, score = query[order], number[order], score[order]
     new = np.ones(len(query), bool)  # a class comes from several trees
-    new[1:] = (query[1:] != query[:-1]) | (names[1:] != names[:-1]).any(axis=1)
-    query, names, score = query[new], names[new], score[new]
+    new[1:] = (query[1:] != query[:-1]) | (number[1:] != number[:-1])
+    query, number, score = query[new], number[new], score[new]
     first = np.flatnonzero(np.diff(query, prepend=query[0] - 1)) if len(query) else np.zeros(0, np.int64)
     place = np.arange(len(query)) - np.repeat(first, np.diff(np.append(first, len(query))))
-    query, names, score = (x[place <= k] for x in (query, names, score))
-    first = np.flatnonzero(np.diff(query, prepend=query[0] - 1)) if len(query) else first
+    return tuple(x[place <= k] for x in (query, number, score))
+
+
+def _best_table(query, names, score, k: int) -> pa.Table:
+    """Rows (query, cids, hashes, scores): the k + 1 best distinct classes of each query, as bytes."""
+    names, number = np.unique(names, axis=0, return_inverse=True)
+    query, number, score = _best(query, number.reshape(-1), score, k)
+    names = names[number]
+    first = np.flatnonzero(np.diff(query, prepend=query[0] - 1)) if len(query) else np.zeros(0, np.int64)
     ends = np.append(first[1:], len(query))
     return pa.table({
         "query": pa.array(query[first], pa.int64()),
@@ -344,7 +377,7 @@ def _merge(k: int):
             parts = {c: flat.field(c).to_pylist() for c in ("cids", "hashes", "scores")}
             query = np.repeat(np.repeat(np.asarray(batch.column("query")), n), [len(x) // 8 for x in parts["scores"]])
             names = np.stack([np.frombuffer(b"".join(parts[c]), np.int64) for c in ("cids", "hashes")], 1)
-            best = _best_rows(query, names, np.frombuffer(b"".join(parts["scores"]), np.float64), k)
+            best = _best_table(query, names, np.frombuffer(b"".join(parts["scores"]), np.float64), k)
             size = [len(x) // 8 for x in best.column("scores").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(np.asarray(best.column("query")), size)),
