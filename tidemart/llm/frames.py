@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.session import ensure_checkpoint_dir
+from tidemart.sources.scratch import lifetime, scratch_path
+
+#: Spark's own setting: shuffle files go when the query that wrote them ends
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,13 +20,41 @@ def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
     Cuts the lineage like ``checkpoint()``, but as compressed columnar files; a lost
-    executor costs a reread.  Files stay until the folder is cleaned, as checkpoints do.
+    executor costs a reread.  The shuffle files of the write, which nothing reads again, go
+    with its end; the written files stay until the open lifetime ends (``finished``) or,
+    without one, until the folder is cleaned, as checkpoints do.
     """
+    return _written(df, scratch_path(df.sparkSession))
+
+
+def finished(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
+    """``build()`` written and read back, without all that was materialised to make it."""
+    path = scratch_path(spark)
+    with lifetime(spark):
+        return _written(build(), path)
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemart-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names`` behind as many underscores as keep them apart from the columns of ``df``, in any case."""
+    taken, lead = {c.lower() for c in df.columns}, "_"
+    while any(lead + x in taken for x in names):
+        lead += "_"
+    return [lead + x for x in names]
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .frames import materialise, read, shuffle_partitions
+from .frames import free_names, materialise, read, shuffle_partitions
 from .repeats import LOCAL_SCHEMA, local_rows, repeated, signed
 from .stars import grouped_components
 from .substring_dedup import keyed, _NO_ID
@@ -307,16 +307,17 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: i
 
     First is the smallest id (NULL before all); of rows that repeat id and text one stays.
     """
+    d, t = free_names(docs, "doc", "tie")
     members, comp = link_keyed(keyed(docs, doc_id, text), k, percent)
     named = members.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     kept = named.groupBy("component").agg(F.min(F.struct("doc", "tie")).alias("first"))
     gone = (named.join(kept, "component").filter("n_shingles > 0 AND struct(doc, tie) != first")
-            .select(F.col("doc").alias("_doc"), F.col("tie").alias("_tie")).distinct())
+            .select(F.col("doc").alias(d), F.col("tie").alias(t)).distinct())
     doc = F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID))
-    same = (F.col("_tie") == 0) | (F.col("_tie") == F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    same = (F.col(t) == 0) | (F.col(t) == F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
     gone = materialise(gone)
     few = gone.count() <= MAX_IDS
-    left = docs.join(F.broadcast(gone) if few else gone, (doc == F.col("_doc")) & same, "left_anti")
+    left = docs.join(F.broadcast(gone) if few else gone, (doc == F.col(d)) & same, "left_anti")
     repeats = not members.filter("tie != 0").isEmpty()
     return left.dropDuplicates([doc_id, text]) if repeats else left
 
