@@ -80,3 +80,69 @@ def _settle(batches):
 def repeated(local: DataFrame, partitions: int) -> DataFrame:
     """(doc, tie, h) of the hashes that occur more than once, from rows of LOCAL_SCHEMA."""
     return local.repartition(partitions, "k").mapInArrow(_settle, "doc long, tie long, h long")
+
+
+#: keys of one slice in one bucket of keys, as the planes of their 6 leading bytes, and their owners; tags as above
+PACKED_SCHEMA = "bucket int, tag int, keys binary, owners binary"
+PACKED_BYTES = 6   # of a key; what two keys share beyond them is for the caller to find out
+SPREAD = 4         # buckets for each shuffle partition
+
+
+def packed_rows(h: np.ndarray, row: np.ndarray, owner: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Rows of PACKED_SCHEMA for occurrences of evenly spread keys h in row ``row`` of one slice."""
+    h = h >> np.uint64(64 - 8 * PACKED_BYTES)
+    order = np.lexsort((row, h))
+    h, row = h[order], row[order]
+    new, head = np.ones(len(h), bool), np.ones(len(h), bool)
+    head[1:] = h[1:] != h[:-1]
+    new[1:] = head[1:] | (row[1:] != row[:-1])
+    several = (np.bincount(np.cumsum(head) - 1, new) > 1)[np.cumsum(head) - 1] if len(h) else new
+    out = []
+    for tag, at in enumerate((new & ~several, head & several, new & several)):
+        key, own = h[at], owner[row[at]]
+        dealt = mix(own.view(np.uint64)) >> np.uint64(64 - 8 * PACKED_BYTES) if tag == 2 else key
+        bucket = ((dealt >> np.uint64(8 * PACKED_BYTES - 24)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int64)
+        if tag == 2:
+            by = np.argsort(bucket, kind="stable")
+            key, own, bucket = key[by], own[by], bucket[by]
+        first = np.flatnonzero(np.diff(bucket, prepend=-1))
+        for a, b in zip(first.tolist(), np.append(first[1:], len(bucket)).tolist()):
+            planes = key[a:b].astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - PACKED_BYTES:].T
+            out.append((int(bucket[a]), tag, planes.tobytes(), b"" if tag == 1 else own[a:b].tobytes()))
+    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(
+        (pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "tag", "keys", "owners"])
+
+
+def _unpacked(table: pa.Table, tag: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, owners) of the rows of a tag; owners of markers are 0."""
+    rows = table.filter(pa.array(np.asarray(table.column("tag")) == tag))
+    keys = []
+    for blob in rows.column("keys").to_pylist():
+        wide = np.zeros((len(blob) // PACKED_BYTES, 8), np.uint8)
+        wide[:, 8 - PACKED_BYTES:] = np.frombuffer(blob, np.uint8).reshape(PACKED_BYTES, -1).T
+        keys.append(wide.view(">u8").reshape(-1).astype(np.int64))
+    keys = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+    return keys, np.zeros(len(keys), np.int64) if tag == 1 else np.frombuffer(b"".join(rows.column("owners").to_pylist()), np.int64)
+
+
+def _settle_packed(table: pa.Table) -> pa.Table:
+    """All rows of a bucket: (key, node) of every key that has another owner, too."""
+    told = _unpacked(table, 2)
+    (key, node), (marked, none) = _unpacked(table, 0), _unpacked(table, 1)
+    marker = np.repeat([0, 2], [len(key), len(marked)])
+    key, node = np.concatenate([key, marked]), np.concatenate([node, none])
+    order = np.lexsort((marker, node, key))
+    key, node, marker = key[order], node[order], marker[order]
+    head = np.ones(len(key), bool)
+    head[1:] = key[1:] != key[:-1]
+    other = head.copy()  # an owner may come from several slices: lines that repeat
+    other[1:] |= (node[1:] != node[:-1]) | (marker[1:] != marker[:-1])
+    group = np.cumsum(head) - 1
+    several = (np.bincount(group, other + marker) > 1)[group] if len(key) else head
+    at = several & other & (marker == 0)
+    return pa.table({"key": pa.array(np.concatenate([key[at], told[0]])), "node": pa.array(np.concatenate([node[at], told[1]]))})
+
+
+def repeated_owners(packed: DataFrame) -> DataFrame:
+    """(key, node) of the keys that more than one node owns, from rows of PACKED_SCHEMA; a pair may come again."""
+    return packed.groupBy("bucket").applyInArrow(_settle_packed, "key long, node long")
