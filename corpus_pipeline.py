@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidemart.llm import decontaminate, jaccard_join, line_dedup, packing, toxicity  # noqa: E402
-from tidemart.llm.frames import materialise, read  # noqa: E402
+from tidemart.llm.frames import finished, materialise, read  # noqa: E402, F401 (stages run one by one)
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,10 +61,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again."""
+    """All stages over ``documents``, each written to the shared folder and read again; its intermediates go then."""
     docs = read(spark, sf_dir, "documents")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = materialise(docs)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = finished(spark, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
