@@ -62,3 +62,19 @@ def test_texts_of_the_named_licences(spark):
     table = spark.createDataFrame(list(enumerate(t for _, t in cases)), "doc_id long, text string")
     got = {r.doc_id: r.license for r in license_scan.scan(table).collect()}
     assert [got[i] for i in range(len(cases))] == [n for n, _ in cases]
+
+
+def test_no_exchange_where_known_digests_are_broadcast_and_the_same_rows_beyond(spark, monkeypatch):
+    table = spark.createDataFrame([(1, license_scan.MIT), (1, license_scan.MIT), (2, "Released under the MIT Licence!\n" * 50),
+                                   (None, "q\nReleased under the MIT licence\nz"), (3, None), (4, "")], "doc_id long, text string").repartition(3)
+    known = spark.createDataFrame([("A", "released under the MIT license"), ("0", "Released under the MIT licence."), (None, "q"),
+                                   ("M", license_scan.MIT), ("E", "")], "name string, text string")
+    narrow = license_scan.scan(table, known)
+    plan = narrow._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    rows = sorted(map(str, narrow.collect()))
+    monkeypatch.setattr(license_scan, "MAX_KNOWN", 1)
+    wide = license_scan.scan(table, known)
+    assert wide.columns == narrow.columns and sorted(map(str, wide.collect())) == rows
+    got = {r.doc_id: (r.license, r.n_notices, r.notices) for r in wide.collect()}
+    assert got == {1: ("M", 0, ""), 2: (None, 50, "0"), None: (None, 1, "0"), 3: (None, 0, ""), 4: (None, 0, "")}

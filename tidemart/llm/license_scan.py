@@ -6,6 +6,11 @@ non-ASCII characters kept, equivalent spellings mapped to one, copyright lines (
 of the words that are left.  A document is joined to the known licences as a whole, and each
 of its lines as a notice of its own.
 
+Up to ``MAX_KNOWN`` known digests (the library has a few hundred) are counted and broadcast:
+lines are looked up where they are read, so that a row per document leaves a task and nothing
+is shuffled.  More are joined by a shuffle of all digests, in which the rows of one digest go
+to ``SALTS`` places.
+
 Edge cases: NULL or empty texts, and texts of copyright lines alone, have the digest of
 nothing and match nothing; repeated rows are scanned each; texts of any length are read
 whole; known texts that normalise alike are one digest with the first name; an empty table
@@ -124,6 +129,8 @@ NOTICES = (("MIT", "MIT License"), ("Apache-2.0", "Apache License, Version 2.0")
            ("CC-BY-NC-ND-4.0", "CC BY-NC-ND 4.0"))
 SAYINGS = ("Released under {}.", "Licensed under {}.", "This work is licensed under {}.",
            "This software is licensed under {}.", "Distributed under {}.", "Published under {}.")
+MAX_KNOWN = 1 << 18  # known digests that are broadcast
+SALTS = 16           # places of one digest where more are joined
 _WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _COPYRIGHT = re.compile(r"[ \t]*(?:copyright|©|\(c\)).*?(?:[^0-9](?:19|20)[0-9]{2}(?:[^0-9]|$)|©|\(c\))", re.S)
 _LOWER = {i: i + 32 for i in range(65, 91)}
@@ -190,22 +197,46 @@ def normal_text(text: str | None) -> str:
     return " ".join(x for x in map(normal_line, (text or "").split("\n")) if x)
 
 
+def _normal_units(text: str | None) -> tuple[str, list[tuple[int, str]]]:
+    """A text as a whole, and (number, normalised line) of each line with words."""
+    lines = [(i, x) for i, x in enumerate(map(normal_line, (text or "").split("\n"))) if x]
+    return " ".join(x for _, x in lines), lines
+
+
 def _units(batches):
     """Rows (row, doc_id, line, digest): a text as a whole (line -1), and each line with words."""
     for batch in batches:
         for part in slices(batch, "text"):
             out = {"row": [], "doc_id": [], "line": [], "digest": []}
             for row, doc_id, text in zip(*(part.column(c).to_pylist() for c in ("row", "doc_id", "text"))):
-                lines = [normal_line(x) for x in (text or "").split("\n")]
-                units = [(-1, " ".join(x for x in lines if x)), *((i, x) for i, x in enumerate(lines) if x)]
-                out["row"] += [row] * len(units)
-                out["doc_id"] += [doc_id] * len(units)
-                out["line"] += [i for i, _ in units]
-                out["digest"] += [digest(x) for _, x in units]
+                whole, lines = _normal_units(text)
+                out["row"] += [row] * (len(lines) + 1)
+                out["doc_id"] += [doc_id] * (len(lines) + 1)
+                out["line"] += [-1, *(i for i, _ in lines)]
+                out["digest"] += [digest(whole), *(digest(x) for _, x in lines)]
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema(
                 [("row", pa.int64()), ("doc_id", pa.int64()), ("line", pa.int32()), ("digest", pa.binary())]))
 
 
+def _found(shared):
+    """Rows (doc_id, digest, n_notices, notices): a text as a whole, and the known ones among its lines."""
+    def run(batches):
+        names = shared.value
+        for batch in batches:
+            for part in slices(batch, "text"):
+                digests, counts, notices = [], [], []
+                for text in part.column("text").to_pylist():
+                    whole, lines = _normal_units(text)
+                    known = [n for n in (names.get(digest(x)) for _, x in lines) if n is not None]
+                    digests.append(digest(whole))
+                    counts.append(len(known))
+                    notices.append(",".join(sorted(set(known), key=str.encode)))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(digests, pa.binary()), pa.array(counts, pa.int64()),
+                     pa.array(notices, pa.string())], names=["doc_id", "digest", "n_notices", "notices"])
+    return run
+
+
 def known_digests(known: DataFrame, name: str = "name", text: str = "text") -> DataFrame:
     """(digest, license): first name of each distinct normalised text that is not empty."""
     return (known.select(F.lit(0).cast("long").alias("row"), F.lit(0).cast("long").alias("doc_id"),
@@ -224,19 +255,30 @@ def _named(batches):
 
 def scan(docs: DataFrame, known: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text",
          name: str = "name", known_text: str = "text") -> DataFrame:
-    """doc_id, digest, license (of the whole text), n_notices and notices (of single lines) of every row.
-
-    Spark chooses the join by the size of ``known``; the usual notices are broadcast.
-    """
+    """doc_id, digest, license (of the whole text), n_notices and notices (of single lines) of every row."""
+    spark = docs.sparkSession
     if known is None:
-        known = docs.sparkSession.createDataFrame(known_licenses(), "name string, text string")
+        known = spark.createDataFrame(known_licenses(), "name string, text string")
         name, known_text = "name", "text"
-    units = (docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).cast("long").alias("doc_id"),
-                         F.col(text).alias("text"))
-             .mapInArrow(_units, "row long, doc_id long, line int, digest binary"))
-    found = units.join(known_digests(known, name, known_text), "digest", "left")
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    names = known_digests(known, name, known_text)
+    few = names.limit(MAX_KNOWN + 1).toArrow()
+    if few.num_rows > MAX_KNOWN:
+        return _scan_joined(texts, names)
+    shared = spark.sparkContext.broadcast(dict(zip(few.column("digest").to_pylist(), few.column("license").to_pylist())))
+    found = texts.mapInArrow(_found(shared), "doc_id long, digest binary, n_notices long, notices string")
+    return (found.join(F.broadcast(spark.createDataFrame(few, names.schema)), "digest", "left")
+            .select("doc_id", F.lower(F.hex("digest")).alias("digest"), "license", "n_notices", "notices"))
+
+
+def _scan_joined(texts: DataFrame, names: DataFrame) -> DataFrame:
+    """The rows of ``scan`` where the known digests are too many for a broadcast."""
+    units = (texts.withColumn("row", F.monotonically_increasing_id())
+             .mapInArrow(_units, "row long, doc_id long, line int, digest binary")
+             .withColumn("salt", F.pmod("row", F.lit(SALTS)).cast("int")))
+    dealt = names.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    found = units.join(dealt, ["digest", "salt"], "left")
     whole = F.col("line") == -1
-    # all units of a row come from one task, so they are aggregated before they are shuffled
     return (found.groupBy("row", "doc_id")
             .agg(F.max(F.when(whole, F.lower(F.hex("digest")))).alias("digest"),
                  F.max(F.when(whole, F.col("license"))).alias("license"),
