@@ -2,14 +2,16 @@
 
 Features of a text are its distinct words, word pairs and pairs with one or two words
 between them, hashed to ``2**BITS`` slots; nothing but the text enters a score.  Training
-runs on a sample of labelled rows bounded by ``MAX_TRAIN`` (chosen by a hash of the id),
-with per-coordinate learning rates and L1 sparsity, so that the weights that remain are a
-few thousand and are broadcast.  Scoring is one narrow pass over whole texts.
+runs on a sample of labelled rows: in the order of a hash of the id the first ``MAX_TRAIN``,
+and of these each whose distinct slots still fit in ``MAX_SLOTS`` (4 bytes each on the
+driver).  Per-coordinate learning rates and L1 sparsity leave a few thousand weights, which
+are broadcast.  Scoring is one narrow pass over whole texts.
 
 Edge cases: NULL and empty texts get the score of the intercept; without any labelled row
 the intercept is the prior ``PRIOR``; rows whose label is NULL are not learned from, and of
 several labels of one id the largest counts; a NULL id is not held out and never learned
-from; repeated rows are scored each; extra columns are ignored or passed through.
+from; repeated rows are scored each, and of several texts of one id the sample has one; labels
+without a document take their place of the ``MAX_TRAIN``; extra columns are ignored or passed through.
 """
 
 from __future__ import annotations
@@ -19,12 +21,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .frames import read
+from tidemart.sources.scratch import lifetime
+
+from .frames import materialise, read
 from .words import alnum_table, mix, scan, slices
 
 BITS = 22
 SKIPS = (1, 2, 3)      # distance between the two words of a pair
 MAX_TRAIN = 8000       # labelled texts learned from, at most
+MAX_SLOTS = 1 << 25    # distinct slots of all of them, at most
 EPOCHS = 6
 ALPHA, BETA, L1, L2 = 3.0, 1.0, 6.0, 1.0
 PRIOR = 0.05
@@ -116,20 +121,42 @@ def weight_table(slots: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return table
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, doc_id: str = "doc_id", text: str = "text",
-        label: str = "toxic") -> tuple[np.ndarray, np.ndarray, float]:
-    """Train on at most ``max_train`` labelled texts outside the held-out rows."""
+def _fitting(sizes: pa.Table, most: int) -> list[int]:
+    """Ids of the texts that fit, one after the other in the order of ``place``, in ``most`` slots."""
+    out, left = [], most
+    for doc_id, n in zip(*(sizes.sort_by([("place", "ascending"), ("doc_id", "ascending")]).column(c).to_pylist()
+                           for c in ("doc_id", "n"))):
+        if n <= left:
+            out.append(doc_id)
+            left -= n
+    return out
+
+
+def sample(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_slots: int = MAX_SLOTS, doc_id: str = "doc_id",
+           text: str = "text", label: str = "toxic") -> DataFrame:
+    """(doc_id, y, slots) of the texts to learn from, none of them held out; slots are packed as uint32."""
     known = (labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
              .filter("doc_id IS NOT NULL AND y IS NOT NULL").filter(~held_out("doc_id"))
-             .groupBy("doc_id").agg(F.max("y").alias("y")))
-    total = known.count()
-    share = min(1.0, 0.97 * max_train / max(1, total))
-    picked = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))).limit(max_train)
-    found = (docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-             .join(F.broadcast(picked), "doc_id")  # at most max_train rows of 12 bytes
-             .select("doc_id", "y", "text").limit(max_train)
-             .mapInArrow(_collect_features, "doc_id long, y int, slots binary"))
-    table = found.toArrow().sort_by([("doc_id", "ascending"), ("slots", "ascending")])
+             .groupBy("doc_id").agg(F.max("y").alias("y")).withColumn("place", F.xxhash64("doc_id")))
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    picked = known.orderBy("place", "doc_id").limit(max_train)  # rows of 20 bytes
+    # features are made by the tasks that read the texts
+    found = materialise(texts.join(F.broadcast(picked), "doc_id").select("doc_id", "y", "text")
+                        .mapInArrow(_collect_features, "doc_id long, y int, slots binary")
+                        .groupBy("doc_id", "y").agg(F.min("slots").alias("slots")))
+    sizes = found.select("doc_id", F.xxhash64("doc_id").alias("place"), (F.octet_length("slots") / 4).cast("long").alias("n")).toArrow()
+    taken = _fitting(sizes, max_slots)
+    if len(taken) == sizes.num_rows:
+        return found
+    ids = docs.sparkSession.createDataFrame([(i,) for i in taken], "doc_id long")
+    return found.join(F.broadcast(ids), "doc_id", "left_semi")
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, doc_id: str = "doc_id", text: str = "text",
+        label: str = "toxic", max_slots: int = MAX_SLOTS) -> tuple[np.ndarray, np.ndarray, float]:
+    """Train on the labelled texts of ``sample``, which are all outside the held-out rows."""
+    with lifetime(docs.sparkSession):
+        table = sample(docs, labels, max_train, max_slots, doc_id, text, label).toArrow().sort_by("doc_id")
     samples = [np.frombuffer(x.as_buffer(), np.uint32) for x in table.column("slots")]
     model = train(samples, np.array(table.column("y").to_pylist(), float))
     del samples, table
