@@ -5,10 +5,9 @@
 2. Trees are fitted on at most ``SAMPLE`` classes: each node splits its sample at the median
    of the projection on the difference of two of its points.  The forest is at most
    ``TREES * SAMPLE / 4`` planes, whatever the size of the corpus, and is broadcast.
-3. Every class goes to one leaf of each tree.  Every query walks all trees with one shared
-   priority queue, nearest split first (squared margins add up along a path), until the
-   leaves taken hold enough rows; the
-   numbers of rows in the leaves (one number each) are known to it.
+3. Every class goes to one leaf of each tree.  Every query takes the leaves of all trees in one
+   order, nearest split first (squared margins add up along a path), until those taken hold
+   enough rows; the numbers of rows in the leaves (one number each) are known to it.
 4. Queries and classes meet by leaf; inner products in double precision rank the candidates
    exactly, and the best of all leaves are merged.  A large leaf is dealt by hash into
    parts, and so are its queries.
@@ -21,7 +20,6 @@ result; extra columns are ignored.
 
 from __future__ import annotations
 
-import heapq
 from typing import NamedTuple
 
 import numpy as np
@@ -38,7 +36,7 @@ LEAF = 96            # rows of a leaf aimed at, where the sample allows so many
 SEARCH = 0.6         # share of the rows that a query takes from all trees together ...
 SEARCH_LEAST = 8_000 # ... and least number
 PART = 5_000         # rows, and queries, of one leaf that meet in one cell
-BUCKET = 25_000      # rows of the cells that one task takes
+BUCKET = 1 << 22     # numbers in the vectors of the cells that one task takes: a query's bound starts anew in each
 HELD = 1 << 17       # query and row pairs that wait for their exact score
 NEAR = 1 << 20       # query and row pairs of one matrix product
 SEED = 11
@@ -105,27 +103,48 @@ def leaves_of(forest: Forest, vectors: np.ndarray) -> np.ndarray:
     return out
 
 
-def walk(forest: Forest, sizes: list[int], margin: list[float], enough: float, children=None) -> list[int]:
-    """Leaves for one query, taken by one queue over all trees until they hold ``enough`` rows.
+def levels(forest: Forest) -> list[np.ndarray]:
+    """Inner nodes of all trees, by depth."""
+    out, node = [], forest.roots[forest.roots >= 0]
+    while len(node):
+        out.append(node)
+        node = np.concatenate([forest.left[node], forest.right[node]])
+        node = node[node >= 0]
+    return out
+
 
-    ``margin``: signed distance of the query to the plane of every inner node.
+def walk(forest: Forest, sizes: np.ndarray, margins: np.ndarray, enough: float, by_depth: list[np.ndarray]) -> list[np.ndarray]:
+    """Leaves of each query, taken as by one queue over all trees until they hold ``enough`` rows.
+
+    ``margins``: (queries, inner nodes) signed distances to the planes.  A node costs its parent's
+    sum of squared margins, and on the side away from the query that of the parent, too; the queue
+    would give the leaves in the order of these costs, so they are summed for all of them at once.
     """
-    left, right = children or (forest.left.tolist(), forest.right.tolist())
-    queue = [(0.0, i, int(root)) for i, root in enumerate(forest.roots)]
-    heapq.heapify(queue)
-    taken, rows, ties = [], 0, len(queue)
-    push, pop = heapq.heappush, heapq.heappop
-    while queue and rows < enough:
-        bound, _, node = pop(queue)
-        while node >= 0:  # down the side of the query; the other side waits with its margin
-            m = margin[node]
-            push(queue, (bound + m * m, ties, right[node] if m < 0 else left[node]))
-            ties += 1
-            node = left[node] if m < 0 else right[node]
-        if sizes[~node]:
-            taken.append(~node)
-            rows += sizes[~node]
-    return taken
+    margins = np.ascontiguousarray(margins.T)
+    inner, cost = np.zeros(margins.shape), np.zeros((forest.leaves, margins.shape[1]))
+    least = np.finfo(np.float64).tiny
+    for node in by_depth:
+        m, near = margins[node], inner[node]
+        far, low = near + np.maximum(m * m, least), m < 0  # on a plane, too, the query's side is first
+        for child, bound in ((forest.left[node], np.where(low, near, far)), (forest.right[node], np.where(low, far, near))):
+            leaf = child < 0
+            inner[child[~leaf]] = bound[~leaf]
+            cost[~child[leaf]] = bound[leaf]
+    used = np.flatnonzero(sizes)
+    rows, out = sizes[used], []
+    if not len(used):
+        return [used] * margins.shape[1]
+    for own in np.ascontiguousarray(cost[used].T):
+        most = 64 + int(2 * enough / rows.mean())
+        while True:  # the nearest leaves first; more of them where those are small
+            at = np.sort(np.argpartition(own, most)[:most]) if most < len(own) else np.arange(len(own))
+            at = at[np.argsort(own[at], kind="stable")]
+            held = np.cumsum(rows[at])
+            if held[-1] >= enough or len(at) == len(own):
+                break
+            most *= 2
+        out.append(used[at[: np.searchsorted(held, enough) + 1]])
+    return out
 
 
 def _vectors(column) -> np.ndarray:
@@ -215,16 +234,16 @@ def _route(shared, sizes, enough: float):
     """Rows (leaf, n, names, vecs): the queries of a batch that take a leaf, one after the other."""
     def run(batches):
         forest = Forest(*shared.value)
-        rows, children = sizes.value.tolist(), (forest.left.tolist(), forest.right.tolist())
+        by_depth = levels(forest)
         for batch in batches:
             if not batch.num_rows:
                 continue
             vectors, taken = _vectors(batch.column("vec")), []
-            for a in range(0, len(vectors), 64):
-                margins = vectors[a: a + 64].astype(np.float64) @ forest.planes.T - forest.cuts
-                taken += [walk(forest, rows, m.tolist(), enough, children) for m in margins]
+            for a in range(0, len(vectors), 16):
+                margins = vectors[a: a + 16].astype(np.float64) @ forest.planes.T - forest.cuts
+                taken += walk(forest, sizes.value, margins, enough, by_depth)
             row = np.repeat(np.arange(len(taken)), [len(x) for x in taken])
-            leaf = np.array([x for own in taken for x in own], np.int64)
+            leaf = np.concatenate(taken)
             yield _grouped(leaf, row, np.asarray(batch.column("id"))[:, None], vectors, ["leaf"], [leaf])
     return run
 
@@ -416,7 +435,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, trees: int = TREE
         asks[row["leaf"]] = row["n"]
     parts, sides = np.maximum(1, -(-sizes // PART)), np.maximum(1, -(-asks // PART))
     salts = spark.sparkContext.broadcast((parts, sides))
-    buckets = max(1, -(-int((sizes * sides).sum()) // BUCKET))
+    buckets = max(1, -(-int((sizes * sides).sum()) * (sample.shape[1] if n else 0) // BUCKET))
     packed = "bucket long, cell long, n long, names binary, vecs binary"
     index = classes.select("vec", "hash", "cid").mapInArrow(_index(shared, salts, buckets), packed)
     sent = routes.mapInArrow(_deal(salts, buckets), packed)
