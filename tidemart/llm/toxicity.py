@@ -30,6 +30,7 @@ BITS = 22
 SKIPS = (1, 2, 3)      # distance between the two words of a pair
 MAX_TRAIN = 8000       # labelled texts learned from, at most
 MAX_SLOTS = 1 << 25    # distinct slots of all of them, at most
+SLICE = 1 << 20        # bytes of text whose features a task holds at a time
 EPOCHS = 6
 ALPHA, BETA, L1, L2 = 3.0, 1.0, 6.0, 1.0
 PRIOR = 0.05
@@ -54,7 +55,7 @@ def features(column) -> tuple[np.ndarray, np.ndarray, int]:
 
 def _collect_features(batches):
     for batch in batches:
-        for part in slices(batch, "text", 2 << 20):
+        for part in slices(batch, "text", SLICE):
             rows, slots, n = features(part.column("text"))
             key = np.unique(rows << BITS | slots)
             bounds = np.searchsorted(key >> BITS, np.arange(n + 1))
@@ -77,7 +78,14 @@ def train(samples: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) -
     used = np.flatnonzero(count > 1)  # a slot of one text only says nothing about others
     place = np.full(1 << BITS, -1, np.int32)
     place[used] = np.arange(len(used))
-    known = [at[at >= 0] for at in (place[s] for s in samples)]
+    # one array for all texts: thousands of small ones would leave the driver's heap in pieces
+    flat, ends = np.empty(sum(map(len, samples)), np.int32), np.zeros(len(samples) + 1, np.int64)
+    for i, s in enumerate(samples):
+        at = place[s]
+        at = at[at >= 0]
+        ends[i + 1] = ends[i] + len(at)
+        flat[ends[i]: ends[i + 1]] = at
+    del count, place
     z, n = np.zeros(len(used)), np.zeros(len(used))
     bias = [0.0, 0.0]
     rng = np.random.default_rng(SEED)
@@ -86,8 +94,8 @@ def train(samples: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) -
         return np.where(np.abs(zi) > L1, -(zi - np.sign(zi) * L1) / ((BETA + np.sqrt(ni)) / ALPHA + L2), 0.0)
 
     for _ in range(epochs):
-        for i in rng.permutation(len(known)):
-            at = known[i]
+        for i in rng.permutation(len(samples)):
+            at = flat[ends[i]: ends[i + 1]]
             w = weights(z[at], n[at])
             b = -bias[0] / ((BETA + bias[1] ** 0.5) / ALPHA)
             p = 1 / (1 + np.exp(-np.clip(w.sum() + b + base, -35, 35)))
@@ -156,10 +164,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, doc_id:
         label: str = "toxic", max_slots: int = MAX_SLOTS) -> tuple[np.ndarray, np.ndarray, float]:
     """Train on the labelled texts of ``sample``, which are all outside the held-out rows."""
     with lifetime(docs.sparkSession):
-        table = sample(docs, labels, max_train, max_slots, doc_id, text, label).toArrow().sort_by("doc_id")
-    samples = [np.frombuffer(x.as_buffer(), np.uint32) for x in table.column("slots")]
-    model = train(samples, np.array(table.column("y").to_pylist(), float))
-    del samples, table
+        table = sample(docs, labels, max_train, max_slots, doc_id, text, label).toArrow()
+    order = np.argsort(table.column("doc_id").to_numpy(), kind="stable")  # of the ids; the slots are not copied
+    slots, y = table.column("slots"), table.column("y").to_numpy().astype(float)
+    samples = [np.frombuffer(x.as_buffer(), np.uint32) for x in slots]
+    model = train([samples[i] for i in order], y[order])
+    del samples, slots, table
     pa.default_memory_pool().release_unused()  # the driver goes on without the sample
     return model
 
@@ -173,7 +183,7 @@ def _score(shared, text: str):
         slots, weights, bias = shared.value
         table = weight_table(slots, weights)
         for batch in batches:
-            for part in slices(batch, text, 4 << 20):
+            for part in slices(batch, text, SLICE):
                 yield part, scores(part.column(text), slots, weights, bias, table)
     return run
 
