@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tidemart.llm import jaccard_join, words
+from tidemart.llm import decontaminate, jaccard_join, packing, words
 from tidemart.llm.frames import BATCH, BATCH_BYTES, collected, materialise
 
 
@@ -56,7 +56,21 @@ def test_prefixes_settle_repeats_over_all_slices(monkeypatch):
     assert sum(x["tag"] == 0 for x in found[0]) > 2000
 
 
-def test_workers_give_memory_back_when_a_task_ends(monkeypatch):
+def test_leaks_are_sought_in_slices_of_text(monkeypatch):
+    real, held = decontaminate.scan, []
+
+    def watched(column, *args, **kwargs):
+        held.append(column.nbytes)
+        return real(column, *args, **kwargs)
+    monkeypatch.setattr(decontaminate, "scan", watched)
+    monkeypatch.setattr(decontaminate, "_open", lambda shared: None)
+    monkeypatch.setattr(decontaminate, "_hits", lambda words, block: (np.zeros(len(words.hash), bool), None))
+    found = list(decontaminate._clean(None, "text", False)(iter([_batch()])))
+    assert sum(b.num_rows for b in found) == 2500 and 2 < len(held) and max(held) < 2.2 * 2**20
+
+
+@pytest.mark.parametrize("task", [jaccard_join._members(5), packing._pieces(2048, True)])
+def test_workers_give_memory_back_when_a_task_ends(monkeypatch, task):
     calls = []
 
     class Libc:
@@ -66,7 +80,8 @@ def test_workers_give_memory_back_when_a_task_ends(monkeypatch):
         def malloc_trim(self, pad):
             calls.append(pad)
     monkeypatch.setattr(words.ctypes, "CDLL", Libc)
-    rows = jaccard_join._members(5)(iter([_batch(), _batch()]))
+    batch = _batch().append_column("doc_id", pa.array(range(2500)))
+    rows = task(iter([batch, batch]))
     next(rows)
     assert not calls
     list(rows)

@@ -27,10 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .frames import materialise, read
-from .words import Words, alnum_table, row_of, scan, slices, windows
+from .words import Words, alnum_table, released, row_of, scan, slices, windows
 
 N_GRAM = 10
 MAX_WINDOWS = 1_000_000
+SLICE = 2 << 20           # bytes of text whose words a task of ``remove`` holds at a time
 FLAG_SCHEMA = ("doc_id long, n_words long, n_hit long, n_items long, "
                "items_sha256 string, contaminated boolean")
 
@@ -248,10 +249,11 @@ def flag(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
 
 
 def _clean(shared, text: str, spans: bool):
+    @released
     def run(batches):
         block = _open(shared)
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, SLICE):
                 words = scan(part.column(text), alnum_table(), lower=True)
                 hit, _ = _hits(words, block)
                 n_hit = _per_row(words, hit)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .frames import materialise, read
-from .words import scan, slices, utf8, whitespace_table
+from .words import released, scan, slices, utf8, whitespace_table
 
 MAX_LEN = 2048
 N_BUCKETS = 8
@@ -29,6 +29,7 @@ BATCHES = 512  # batches that a hash group of a bucket holds on average
 
 
 def _pieces(max_len: int, with_text: bool):
+    @released
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidemart.sources.scratch import lifetime
 
 from .frames import materialise, read
-from .words import alnum_table, mix, scan, slices
+from .words import alnum_table, mix, released, scan, slices
 
 BITS = 22
 SKIPS = (1, 2, 3)      # distance between the two words of a pair
@@ -53,6 +53,7 @@ def features(column) -> tuple[np.ndarray, np.ndarray, int]:
     return np.concatenate(rows), np.concatenate(slots).astype(np.int64), len(words.first) - 1
 
 
+@released
 def _collect_features(batches):
     for batch in batches:
         for part in slices(batch, "text", SLICE):
@@ -189,6 +190,7 @@ def _score(shared, text: str):
 
 
 def _with_scores(shared, threshold: float):
+    @released
     def run(batches):
         for part, score in _score(shared, "text")(batches):
             yield pa.RecordBatch.from_arrays(
@@ -199,6 +201,7 @@ def _with_scores(shared, threshold: float):
 
 
 def _kept(shared, text: str, threshold: float):
+    @released
     def run(batches):
         for part, score in _score(shared, text)(batches):
             yield part.filter(pa.array(score < threshold))
