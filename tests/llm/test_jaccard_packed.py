@@ -17,7 +17,7 @@ def test_shingles_of_a_slice_leave_it_by_bucket():
     rng = random.Random(1)
     texts = [" ".join(f"w{rng.randrange(400)}" for _ in range(200)) for _ in range(60)]
     batch = pa.RecordBatch.from_pydict({"doc": list(range(60)), "tie": [0] * 60, "text": texts})
-    rows = sum(b.num_rows for b in jaccard_join._prefixes(5, 80, Levels, 4)([batch]))
+    rows = sum(b.num_rows for b in jaccard_join._packed_prefixes(5, 80, Levels, 4)([batch]))
     assert 0 < rows <= 3 * 4  # a row of a bucket and tag, where there was one for each of some 2,400 shingles
 
 
